@@ -8,14 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arriero.functions.calendar import month_of
+from arriero.functions.identity import is_natural_person
+from arriero.functions.text import decimal_comma
 from arriero.operators import concentration as conc
-from arriero.operators import facts
+from arriero.operators import dims, facts, incremental, integrity, quality, serving
 from arriero.operators.dedupe import keep_latest
+from arriero.operators.privacy import pseudonymise
 from arriero.plans import fixtures as fx
+from arriero.plans import jobs
+from arriero.plans.oracle import PERSON_KEY
+from arriero.session import scratch_dir
+from arriero.sinks.publish import publish_months
+from arriero.sinks.tables import register_table, replace_partitions
+from arriero.sources import positions as pos
+from arriero.sources.procurement import CSV_OPTIONS, read_items_csv, read_orders_json, typed_items, typed_orders
+from arriero.streaming import positions as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+LOAD_1, LOAD_2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+
 
 def register(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -37,6 +51,12 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def moment(text: str, kind: str = "timestamp_ntz"):
+    return F.lit(text).cast(kind)
+
+
+# ---------------------------------------------------------------- concentration
+
 def order_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with the names of their agency and supplier, one row per (month, order)."""
     names = ["nombre_organismo", "sector", "nombre_proveedor", "rut_proveedor"]
@@ -47,14 +67,22 @@ def order_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def newest_order_month(spark: SparkSession, sf: str):
-    from arriero.functions.calendar import month_of
-    return fx.table(spark, sf, "orders").agg(month_of(F.max("o_orderdate"))).scalar()
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return conc.nest_top(conc.spend_concentration(conc.pair_totals(order_rows(spark, sf))))
+
+
+def exploded(docs: DataFrame) -> DataFrame:
+    """Documents with one row per listed supplier."""
+    flat = [c for c in docs.columns if c != "principales_proveedores"]
+    rows = docs.select(*flat, F.explode("principales_proveedores").alias("p"))
+    return rows.select(*flat, *[F.col(f"p.{c}").alias(f"p_{c}") for c in (
+        "posicion", "codigo_proveedor", "nombre_proveedor", "rut_proveedor", "monto_clp", "ordenes", "pct_monto")])
 
 
 @register
 def spend_concentration(spark: SparkSession, sf: str) -> DataFrame:
-    month = order_rows(spark, sf).where(F.col("mes") == newest_order_month(spark, sf))
+    newest = fx.table(spark, sf, "orders").agg(month_of(F.max("o_orderdate"))).scalar()
+    month = order_rows(spark, sf).where(F.col("mes") == newest)
     return plain(conc.spend_concentration(conc.pair_totals(month)))
 
 
@@ -63,7 +91,497 @@ def spend_concentration_all_months(spark: SparkSession, sf: str) -> DataFrame:
     return plain(conc.spend_concentration(conc.pair_totals(order_rows(spark, sf))))
 
 
+@register
+def spend_concentration_star(spark: SparkSession, sf: str) -> DataFrame:
+    """The same summary from facts and dimensions, summed on integer keys before the dimensions are joined."""
+    stage, agency, unit, supplier = star_inputs(spark, sf)
+    orders = facts.load_fact_orders(stage, agency, unit, supplier)
+    return plain(conc.spend_concentration(conc.star_pair_totals(orders, agency, supplier)))
+
+
+@register
+def entity_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return exploded(documents(spark, sf))
+
+
+@register
+def hhi_by_entity(spark: SparkSession, sf: str) -> DataFrame:
+    return conc.entity_totals(conc.pair_totals(order_rows(spark, sf))).select("mes", "codigo_organismo", "proveedores", "hhi")
+
+
+@register
+def flagged_spend_share(spark: SparkSession, sf: str) -> DataFrame:
+    totals = conc.entity_totals(conc.pair_totals(order_rows(spark, sf)))
+    return plain(totals.select("mes", "codigo_organismo", "monto_trato_directo_clp", "monto_compra_agil_clp",
+                               "pct_monto_trato_directo", "pct_monto_compra_agil"))
+
+
+@register
+def concentration_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every month's alerts, each with its leading supplier."""
+    return exploded(serving.concentration_alerts(documents(spark, sf)))
+
+
+@register
+def entity_summary_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """All agencies in the newest published month, read through the publication registry."""
+    root = scratch_dir(spark, "resumen")
+    docs = fx.written(documents(spark, sf), "docs").select(*jobs.DOCUMENT_COLUMNS)
+    publish_months(root, jobs.DOCUMENTS, docs, fx.order_month_list(docs))
+    return exploded(serving.entity_summary(jobs.read_documents(spark, root)))
+
+
+# ---------------------------------------------------------------- ingestion
+
 @register
 def dedupe_latest_item(spark: SparkSession, sf: str) -> DataFrame:
     latest = keep_latest(fx.item_lines(spark, sf), ["id_item"], fx.ITEM_ORDER)
     return plain(latest.select("id_item", "codigo", "codigo_proveedor", "fecha_ultima_modificacion", "cantidad", "total_linea_neto"))
+
+
+ITEM_OUTPUT = [
+    "id_item", "codigo", "nombre", "tipo", "es_trato_directo", "es_compra_agil", "codigo_estado", "fecha_envio",
+    "fecha_aceptacion", "fecha_ultima_modificacion", "total_neto_oc", "porcentaje_iva", "codigo_organismo", "region_unidad",
+    "codigo_proveedor", "nombre_proveedor", "rut_proveedor", "codigo_licitacion", "cantidad", "precio_neto",
+    "total_linea_neto", "mes",
+]
+
+
+def raw_item_files(spark: SparkSession, sf: str) -> str:
+    root = f"{scratch_dir(spark, 'crudo')}/items"
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
+    fx.raw_items(spark, sf).hint("rebalance", "mes").write.options(**options, emptyValue="").partitionBy("mes").csv(root)
+    return root
+
+
+@register
+def typed_items_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Text files in the bulk format, read back, typed and deduplicated."""
+    return plain(typed_items(read_items_csv(spark, raw_item_files(spark, sf))).select(*ITEM_OUTPUT))
+
+
+@register
+def typed_orders_nested(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{scratch_dir(spark, 'crudo')}/ordenes"
+    fx.raw_orders(spark, sf).write.option("encoding", "UTF-8").text(path)
+    orders = typed_orders(read_orders_json(spark, path))
+    return plain(orders.drop("estado", "fecha_aceptacion", "fecha_cancelacion", "impuestos", "rut_unidad", "nombre_unidad",
+                             "comuna_unidad", "actividad_proveedor"))
+
+
+@register
+def masked_items_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole items job: files in, masked partitions out, read back."""
+    raw, base = raw_item_files(spark, sf), scratch_dir(spark, "items")
+    months = fx.order_month_list(fx.order_headers(spark, sf))
+    jobs.items_job(spark, raw, months, f"{base}/items", f"{base}/sensible", PERSON_KEY)
+    return plain(jobs.read_months(spark, f"{base}/items").select("mes", "id_item", "nombre_proveedor", "rut_proveedor", "es_persona_natural"))
+
+
+@register
+def person_dictionary_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The restricted dictionary the items job writes, per month."""
+    raw, base = raw_item_files(spark, sf), scratch_dir(spark, "items")
+    months = fx.order_month_list(fx.order_headers(spark, sf))
+    jobs.items_job(spark, raw, months, f"{base}/items", f"{base}/sensible", PERSON_KEY)
+    return jobs.read_months(spark, f"{base}/sensible").select("mes", "token_proveedor", "rut_proveedor", "nombre_proveedor")
+
+
+@register
+def comma_decimal_parse(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.col("c_custkey")
+    money = F.translate(F.col("c_acctbal").cast("decimal(12,2)").cast("string"), ".", ",")
+    text = (
+        F.when(key % 7 == 0, "   ").when(key % 7 == 1, F.concat(F.lit("1."), money))
+        .when(key % 7 == 2, F.concat(F.lit("  "), money, F.lit(" "))).otherwise(money)
+    )
+    rows = fx.table(spark, sf, "customer").select("c_custkey", text.alias("texto"))
+    return rows.select("c_custkey", "texto", decimal_comma("texto").cast("double").alias("monto"))
+
+
+@register
+def natural_person_flag(spark: SparkSession, sf: str) -> DataFrame:
+    """Flag over plain, dotted, dashless, malformed and missing tax ids."""
+    k = F.col("l_suppkey")
+    body = F.substring_index("rut_proveedor", "-", 1).cast("bigint")
+    dotted = F.concat(F.translate(F.format_number(body, 0), ",", "."), F.lit("-"), F.substring_index("rut_proveedor", "-", -1))
+    variant = (
+        F.when(k % 5 == 0, dotted).when(k % 5 == 1, body.cast("string")).when(k % 10 == 2, F.lit("sin rut"))
+        .when(k % 10 == 7, F.lit(None).cast("string")).otherwise(F.col("rut_proveedor"))
+    )
+    rows = fx.suppliers(spark, sf).select(k.alias("s_suppkey"), variant.alias("rut"))
+    return rows.withColumn("es_persona_natural", is_natural_person("rut"))
+
+
+@register
+def pseudonymised_items(spark: SparkSession, sf: str) -> DataFrame:
+    masked, _ = pseudonymise(fx.decorated(fx.item_lines(spark, sf), spark, sf), PERSON_KEY)
+    return plain(masked.select("id_item", "fecha_ultima_modificacion", "total_linea_neto", "nombre_proveedor", "rut_proveedor",
+                               "es_persona_natural"))
+
+
+@register
+def pseudonym_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    return pseudonymise(fx.decorated(fx.item_lines(spark, sf), spark, sf), PERSON_KEY)[1]
+
+
+# ---------------------------------------------------------------- dimensions and facts
+
+@register
+def calendar_dim(spark: SparkSession, sf: str) -> DataFrame:
+    """Calendar over the years the orders span."""
+    day = F.col("o_orderdate")
+    bounds = fx.table(spark, sf, "orders").agg(
+        F.trunc(F.min(day), "year").alias("a"), F.last_day(F.max(day)).alias("b"))
+    return plain(dims.calendar_rows(bounds, "a", "b"))
+
+
+def two_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    items = fx.written(
+        fx.decorated(keep_latest(fx.item_lines(spark, sf), ["id_item"], fx.ITEM_ORDER), spark, sf)
+        .select("mes", "codigo_organismo", "nombre_organismo", F.col("codigo").alias("sector"), "codigo_unidad", "nombre_unidad",
+                F.col("rubro_n2").alias("rut_unidad"), F.col("rubro_n1").alias("region_unidad")), "cargas")
+    return items.where(F.col("mes") < fx.SECOND_LOAD_FROM), items.where(F.col("mes") >= fx.SECOND_LOAD_FROM)
+
+
+@register
+def scd1_entity(spark: SparkSession, sf: str) -> DataFrame:
+    first, second = two_loads(spark, sf)
+    dim = dims.upsert_agencies(None, first, moment(LOAD_1, "timestamp"))
+    return plain(dims.upsert_agencies(dim, second, moment(LOAD_2, "timestamp")).drop("sk_organismo"))
+
+
+@register
+def scd1_unit(spark: SparkSession, sf: str) -> DataFrame:
+    """A changed name or region also rewrites the tax id and agency; a changed tax id alone does not."""
+    first, second = two_loads(spark, sf)
+    dim = dims.upsert_units(None, first, moment(LOAD_1, "timestamp"))
+    return plain(dims.upsert_units(dim, second, moment(LOAD_2, "timestamp")).drop("sk_unidad"))
+
+
+@register
+def scd2_supplier(spark: SparkSession, sf: str) -> DataFrame:
+    """Yearly loads applied one after another."""
+    snapshots = fx.written(fx.buyer_snapshots(spark, sf, "year"), "anual", "desde")
+    dim = dims.empty_scd2(snapshots.drop("desde"), "codigo", ["nombre", "region", "persona"], "sk")
+    for start in fx.order_month_list(snapshots, "desde"):
+        load = snapshots.where(F.col("desde") == F.lit(start)).drop("desde")
+        dim = dims.scd2_apply(dim, load, "codigo", ["nombre"], ["region"], F.lit(start), "sk", ["persona"])
+    return plain(dim.drop("sk"))
+
+
+@register
+def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
+    """All monthly loads at once."""
+    return plain(dims.scd2_history(fx.buyer_snapshots(spark, sf, "month"), "codigo", "desde", ["nombre"], ["region"], ["persona"]))
+
+
+def star_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Stage and dimensions as written tables, the state the fact loads start from."""
+    stage = fx.stage(spark, sf).withColumn("rut_unidad", F.lit(None).cast("string")).withColumn("actividad_proveedor", F.lit(None).cast("string"))
+    stage = fx.written(stage, "stage", "mes")
+    now = moment(LOAD_1, "timestamp")
+    return (
+        stage,
+        fx.written(dims.upsert_agencies(None, stage, now), "organismo"),
+        fx.written(dims.upsert_units(None, stage, now), "unidad"),
+        fx.written(dims.upsert_suppliers(None, stage, F.lit("1990-01-01").cast("date")), "proveedor"),
+    )
+
+
+def _codes(fact: DataFrame, *joins: tuple[DataFrame, str, str]) -> DataFrame:
+    for dim, sk, code in joins:
+        fact = fact.join(dim.select(sk, code), sk, "left").drop(sk)
+    return fact
+
+
+@register
+def fact_items(spark: SparkSession, sf: str) -> DataFrame:
+    stage, agency, _, supplier = star_inputs(spark, sf)
+    fact = facts.load_fact_items(stage, agency, supplier)
+    return plain(_codes(fact, (agency, "sk_organismo", "codigo_organismo"), (supplier, "sk_proveedor", "codigo_proveedor")))
+
+
+@register
+def fact_orders(spark: SparkSession, sf: str) -> DataFrame:
+    stage, agency, unit, supplier = star_inputs(spark, sf)
+    fact = facts.load_fact_orders(stage, agency, unit, supplier)
+    named = _codes(fact, (agency, "sk_organismo", "codigo_organismo"), (unit, "sk_unidad", "codigo_unidad"),
+                   (supplier, "sk_proveedor", "codigo_proveedor"))
+    return plain(named)
+
+
+@register
+def month_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """Load all months, reload them, then replace the newest month by nothing."""
+    root = f"{scratch_dir(spark, 'meses')}/items"
+    items = fx.written(fx.stage(spark, sf).select("id_item", "codigo", "mes", "total_linea_neto"), "stage", "mes")
+    months = fx.order_month_list(items)
+    replace_partitions(items, root, months)
+    replace_partitions(items, root, months)
+    replace_partitions(items.where("false"), root, months[-1:])
+    return plain(jobs.read_months(spark, root, schema=items.schema).select(*items.columns))
+
+
+@register
+def warehouse_months(spark: SparkSession, sf: str) -> DataFrame:
+    """The star loaded year by year through the publication registry, then summarised and published as documents."""
+    base = scratch_dir(spark, "bodega")
+    stage = star_inputs(spark, sf)[0].withColumn("mes", F.concat(F.substring("mes", 1, 4), F.lit("-01")))
+    loads = fx.order_month_list(stage)
+    for mes in loads:
+        jobs.warehouse_job(spark, stage, base, mes, moment(LOAD_1, "timestamp"), calendar=dims.calendar_dim(spark, "1990-01-01"))
+    jobs.summary_job(spark, base, loads, f"{base}/api")
+    return exploded(jobs.read_documents(spark, f"{base}/api"))
+
+
+@register
+def publish_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents published twice and read through the registry."""
+    root = scratch_dir(spark, "publicado")
+    docs = fx.written(documents(spark, sf), "docs").select(*jobs.DOCUMENT_COLUMNS)
+    months = fx.order_month_list(docs)
+    publish_months(root, jobs.DOCUMENTS, docs, months)
+    publish_months(root, jobs.DOCUMENTS, docs, months)
+    return exploded(jobs.read_documents(spark, root))
+
+
+@register
+def register_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Partitioned files registered in the catalog and counted through it."""
+    root = f"{scratch_dir(spark, 'catalogo')}/items"
+    items = fx.stage(spark, sf).select("id_item", "codigo", "mes", "total_linea_neto")
+    items.hint("rebalance", "mes").write.partitionBy("mes").parquet(root)
+    register_table(spark, "arriero_items", root, items)
+    return quality.items_per_month(spark.table("arriero_items"))
+
+
+# ---------------------------------------------------------------- quality
+
+@register
+def items_per_month(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.items_per_month(fx.stage(spark, sf))
+
+
+@register
+def latest_check_status(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(quality.latest_check_status(fx.check_log(spark, sf)))
+
+
+@register
+def volume_over_time(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(quality.measure_over_time(fx.check_log(spark, sf), "view"))
+
+
+@register
+def alert_feed(spark: SparkSession, sf: str) -> DataFrame:
+    log = fx.check_log(spark, sf)
+    alerts = quality.alerts_from(log).withColumn("alerta_id", F.col("chequeo_id"))
+    return plain(quality.alert_feed(alerts, log))
+
+
+@register
+def alerts_total(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.alerts_total(quality.alerts_from(fx.check_log(spark, sf)))
+
+
+@register
+def failed_checks_24h(spark: SparkSession, sf: str) -> DataFrame:
+    log = fx.check_log(spark, sf)
+    return quality.failed_checks_24h(log, log.agg(F.max("ejecutado_en")).scalar())
+
+
+def _pending_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of one status only, so some months have items but no order."""
+    return fx.order_headers(spark, sf).where(F.col("tipo") == "P")
+
+
+@register
+def check_volume(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(quality.check_volume(fx.months_expected(spark, sf), fx.stage(spark, sf), fx.volume_history(spark, sf)))
+
+
+@register
+def check_items_without_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(quality.check_items_without_orders(fx.months_expected(spark, sf), fx.stage(spark, sf), _pending_orders(spark, sf)))
+
+
+@register
+def check_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(quality.check_freshness(fx.months_expected(spark, sf), fx.listing(spark, sf), moment(fx.RUN_AT)))
+
+
+def _checks(spark: SparkSession, sf: str) -> DataFrame:
+    items = fx.stage(spark, sf).select("mes")
+    return quality.run_checks(fx.months_expected(spark, sf), fx.listing(spark, sf), items, _pending_orders(spark, sf),
+                              fx.volume_history(spark, sf), moment(fx.RUN_AT))
+
+
+@register
+def run_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(_checks(spark, sf).drop("chequeo_id"))
+
+
+@register
+def check_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(quality.alerts_from(_checks(spark, sf)).select("creada_en", "mensaje", "explicacion"))
+
+
+@register
+def reconcile_layers(spark: SparkSession, sf: str) -> DataFrame:
+    stage, agency, unit, supplier = star_inputs(spark, sf)
+    totals = integrity.fact_totals(facts.load_fact_items(stage, agency, supplier), facts.load_fact_orders(stage, agency, unit, supplier))
+    return plain(integrity.reconcile(integrity.layer_totals(stage), totals))
+
+
+@register
+def reconcile_raw_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Item versions before and after the dedupe; months with several versions of an item disagree."""
+    lines = fx.item_lines(spark, sf).join(
+        fx.order_headers(spark, sf).select("l_orderkey", "mes"), "l_orderkey").withColumn("monto_total_oc_clp", F.col("total_linea_neto"))
+    return plain(integrity.reconcile(integrity.layer_totals(lines), integrity.layer_totals(keep_latest(lines, ["id_item"], fx.ITEM_ORDER))))
+
+
+@register
+def integrity_suite(spark: SparkSession, sf: str) -> DataFrame:
+    stage, agency, unit, supplier = star_inputs(spark, sf)
+    items, orders = facts.load_fact_items(stage, agency, supplier), facts.load_fact_orders(stage, agency, unit, supplier)
+    return integrity.integrity_suite(stage, agency, unit, supplier, dims.calendar_dim(spark, "1990-01-01"), items, orders)
+
+
+@register
+def integrity_raw_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules broken by item versions that were not deduplicated, against the suppliers of the first nations."""
+    lines = fx.item_lines(spark, sf)
+    some = fx.table(spark, sf, "supplier").where(F.col("s_nationkey") < 20).select(F.col("s_suppkey").cast("string").alias("codigo_proveedor"))
+    return (
+        integrity.duplicates(lines, ["id_item"], "item duplicado")
+        .unionByName(integrity.orphans(lines, some, "codigo_proveedor", "item sin proveedor"))
+        .unionByName(integrity.violations(lines, {
+            "item con texto largo": integrity.too_long({"codigo": 7}),
+            "monto alto": F.col("total_linea_neto") > 90000}))
+    )
+
+
+# ---------------------------------------------------------------- incremental control
+
+@register
+def in_processing_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Three days into a month in local time: both months are open."""
+    stage = fx.order_headers(spark, sf)
+    return plain(incremental.in_processing_window(stage, moment("1998-03-04 02:00:00")).select("mes", "l_orderkey", "fecha_envio"))
+
+
+@register
+def partition_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return incremental.partition_coverage(fx.listing(spark, sf), fx.months_expected(spark, sf), F.lit("2024-01-31").cast("date"))
+
+
+@register
+def changed_files(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(incremental.changed_files(fx.listing(spark, sf), fx.manifest(spark, sf)))
+
+
+# ---------------------------------------------------------------- positions
+
+def _positions(spark: SparkSession, sf: str) -> DataFrame:
+    return pos.parse_positions(fx.position_records(spark, sf), F.col("ahora"))
+
+
+@register
+def parse_positions(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(_positions(spark, sf))
+
+
+@register
+def parse_report(spark: SparkSession, sf: str) -> DataFrame:
+    return pos.parse_report(fx.position_records(spark, sf), F.col("ahora"))
+
+
+@register
+def active_vehicles(spark: SparkSession, sf: str) -> DataFrame:
+    """Records received and vehicles active per poll."""
+    received = fx.position_records(spark, sf).groupBy("consulta").agg(F.count(F.lit(1)).alias("buses_respuesta"))
+    active = _positions(spark, sf).groupBy("consulta").agg(F.count(F.lit(1)).alias("buses_activos"))
+    return received.join(active, "consulta", "left").fillna(0, ["buses_activos"])
+
+
+@register
+def keyed_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Keyed messages through a file sink and back."""
+    path = f"{scratch_dir(spark, 'mensajes')}/m"
+    pos.publish_messages(pos.keyed_messages(_positions(spark, sf)), "parquet", {"path": path})
+    return spark.read.parquet(path)
+
+
+@register
+def active_by_service(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.active_by_service(fx.vehicle_state(spark, sf), "error", "I", 25)
+
+
+@register
+def active_by_every_service(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.active_by_every_service(fx.vehicle_state(spark, sf))
+
+
+@register
+def speed_class(spark: SparkSession, sf: str) -> DataFrame:
+    kmh = F.when(F.col("event_id") % 9 == 0, F.lit(0.0)).otherwise(F.col("value"))
+    return fx.table(spark, sf, "events").select("event_id", serving.speed_class(kmh).alias("clase"))
+
+
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = fx.table(spark, sf, "events").schema
+    return stream.read_stream(spark, sf, schema, glob="events.parquet")
+
+
+@register
+def stream_latest_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest event per user kept by the snapshot merge."""
+    base = scratch_dir(spark, "estado")
+    stream.latest_state(_event_stream(spark, sf), f"{base}/t", f"{base}/cp", ["user_id"], ["ts", "event_id"]).awaitTermination()
+    return plain(stream.current_snapshot(spark, f"{base}/t"))
+
+
+@register
+def stream_latest_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest event per user kept in the state store; each batch writes its changed keys."""
+    base = scratch_dir(spark, "cambios")
+    newest = stream.latest_updates(_event_stream(spark, sf), ["user_id"], ["ts", "event_id"])
+    stream.write_updates(newest, f"{base}/t", f"{base}/cp").awaitTermination()
+    return plain(keep_latest(spark.read.parquet(f"{base}/t"), ["user_id"], ["lote"]).drop("lote"))
+
+
+@register
+def stream_archive(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "archivo")
+    stream.archive_stream(_event_stream(spark, sf), f"{base}/t", f"{base}/cp", F.col("ts")).awaitTermination()
+    back = spark.read.schema("event_id bigint, user_id bigint, value double, fecha string, hora string").json(f"{base}/t")
+    return back.groupBy("fecha", "hora").agg(
+        F.count(F.lit(1)).alias("registros"), F.min("event_id").alias("desde"), F.max("event_id").alias("hasta"))
+
+
+# ---------------------------------------------------------------- service dictionary
+
+def _dictionary_dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Services and routes after a partial first load and a full second one."""
+    deco = fx.dictionary(spark, sf)
+    early = deco.where(F.col("codigo_mtt") < "M25")
+    a, b = moment(LOAD_1, "timestamp"), moment(LOAD_2, "timestamp")
+    late = deco.where(F.col("codigo_mtt") >= "M2")
+    return (dims.service_dim(late, b, dims.service_dim(early, a)), dims.route_dim(late, b, dims.route_dim(early, a)))
+
+
+@register
+def service_dim(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(_dictionary_dims(spark, sf)[0])
+
+
+@register
+def route_dim(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(_dictionary_dims(spark, sf)[1])
+
+
+@register
+def dictionary_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return dims.dictionary_summary(*_dictionary_dims(spark, sf))

@@ -79,6 +79,18 @@ def latest_updates(stream: DataFrame, keys: Sequence[str], order: Sequence[str])
     return stream.groupBy(*keys).agg(newest).select(*keys, "_r.*")
 
 
+def write_updates(newest: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Append the keys each batch changed, with its number in ``lote``; the highest number holds a key's state.
+
+    A replayed batch overwrites its own folder.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/lote={batch_id}")
+
+    writer = newest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, every).start()
+
+
 def archive_stream(stream: DataFrame, path: str, checkpoint: str, at: Column | None = None, every: str | None = None) -> StreamingQuery:
     """Append every record as JSON lines under ``fecha=/hora=`` of ``at``, by default the processing time (UTC)."""
     moment = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) if at is None else at
