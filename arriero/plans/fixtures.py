@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from arriero.functions.calendar import month_of
 from arriero.functions.identity import is_natural_person
@@ -12,8 +13,15 @@ from arriero.operators.dedupe import keep_latest
 ITEM_ORDER = ["fecha_ultima_modificacion", "total_linea_neto", "codigo_proveedor"]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its file footer is read for the schema once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +84,17 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last modified version of each item."""
+    return keep_latest(item_lines(spark, sf_dir), ["id_item"], ITEM_ORDER)
+
+
 def decorated(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item lines with order, buyer, supplier and product columns."""
+    """Item lines with order, buyer, supplier and product columns.
+
+    Lines and order headers both grow with the data, so that join is never a broadcast; the hint also lets AQE split a
+    dominant order.
+    """
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("producto_generico"),
         F.col("p_type").alias("rubro_n1"), F.col("p_brand").alias("rubro_n2"),
@@ -85,7 +102,7 @@ def decorated(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast("decimal(20,4)").alias("precio_neto"),
     )
     return (
-        lines.join(order_headers(spark, sf_dir), "l_orderkey")
+        lines.join(order_headers(spark, sf_dir).hint("merge"), "l_orderkey")
         .join(suppliers(spark, sf_dir), "l_suppkey")
         .join(part, "l_partkey")
         .withColumn("es_persona_natural", is_natural_person("rut_proveedor"))
@@ -97,18 +114,33 @@ def decorated(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated items without the order amount."""
+    return decorated(latest_lines(spark, sf_dir), spark, sf_dir)
+
+
 def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deduplicated items; the order amount repeats on each item of the order, as in the source files."""
-    lines = keep_latest(item_lines(spark, sf_dir), ["id_item"], ITEM_ORDER)
+    lines = written(latest_lines(spark, sf_dir), "lineas")
     totals = lines.groupBy("codigo").agg(F.sum("total_linea_neto").cast("decimal(20,4)").alias("monto_total_oc_clp"))
     amount = F.col("monto_total_oc_clp")
     return (
-        decorated(lines.join(totals, "codigo"), spark, sf_dir)
+        decorated(lines.join(totals.hint("merge"), "codigo"), spark, sf_dir)
         .withColumn("monto_total_oc", amount)
         .withColumn("total_neto_oc", amount)
     )
 
 
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order grain with the names of agency and supplier: lines are summed per order before anything is joined."""
+    totals = latest_lines(spark, sf_dir).groupBy("l_orderkey", "l_suppkey").agg(
+        F.sum("total_linea_neto").cast("decimal(20,4)").alias("monto_total_oc_clp"))
+    return totals.join(order_headers(spark, sf_dir).hint("merge"), "l_orderkey").join(suppliers(spark, sf_dir), "l_suppkey").select(
+        "mes", "codigo_organismo", "nombre_organismo", "sector", F.col("l_suppkey").cast("string").alias("codigo_proveedor"),
+        "nombre_proveedor", "rut_proveedor", "monto_total_oc_clp", "es_trato_directo", "es_compra_agil",
+    )
+
+
 def written(df: DataFrame, label: str, *partition: str) -> DataFrame:
     """Write a table that a query uses several times to the scratch folder, as the jobs do, and read it back."""
     from arriero.session import scratch_dir

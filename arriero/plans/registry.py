@@ -57,18 +57,17 @@ def moment(text: str, kind: str = "timestamp_ntz"):
 
 # ---------------------------------------------------------------- concentration
 
-def order_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with the names of their agency and supplier, one row per (month, order)."""
-    names = ["nombre_organismo", "sector", "nombre_proveedor", "rut_proveedor"]
-    stage = fx.stage(spark, sf)
-    return stage.groupBy("mes", "codigo").agg(
-        *[F.max(c).alias(c) for c in ("codigo_organismo", "codigo_proveedor", "monto_total_oc_clp", *names)],
-        F.bool_or("es_trato_directo").alias("es_trato_directo"), F.bool_or("es_compra_agil").alias("es_compra_agil"),
-    )
+def pairs(spark: SparkSession, sf: str, newest_only: bool = False) -> DataFrame:
+    """Agency-supplier amounts as a written table: the summary reads them twice."""
+    orders = fx.orders(spark, sf)
+    if newest_only:
+        newest = fx.table(spark, sf, "orders").agg(month_of(F.max("o_orderdate"))).scalar()
+        orders = orders.where(F.col("mes") == newest)
+    return fx.written(conc.pair_totals(orders), "pares")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return conc.nest_top(conc.spend_concentration(conc.pair_totals(order_rows(spark, sf))))
+    return conc.nest_top(conc.spend_concentration(pairs(spark, sf)))
 
 
 def exploded(docs: DataFrame) -> DataFrame:
@@ -81,14 +80,13 @@ def exploded(docs: DataFrame) -> DataFrame:
 
 @register
 def spend_concentration(spark: SparkSession, sf: str) -> DataFrame:
-    newest = fx.table(spark, sf, "orders").agg(month_of(F.max("o_orderdate"))).scalar()
-    month = order_rows(spark, sf).where(F.col("mes") == newest)
-    return plain(conc.spend_concentration(conc.pair_totals(month)))
+    """The newest month."""
+    return plain(conc.spend_concentration(pairs(spark, sf, newest_only=True)))
 
 
 @register
 def spend_concentration_all_months(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(conc.spend_concentration(conc.pair_totals(order_rows(spark, sf))))
+    return plain(conc.spend_concentration(pairs(spark, sf)))
 
 
 @register
@@ -96,7 +94,7 @@ def spend_concentration_star(spark: SparkSession, sf: str) -> DataFrame:
     """The same summary from facts and dimensions, summed on integer keys before the dimensions are joined."""
     stage, agency, unit, supplier = star_inputs(spark, sf)
     orders = facts.load_fact_orders(stage, agency, unit, supplier)
-    return plain(conc.spend_concentration(conc.star_pair_totals(orders, agency, supplier)))
+    return plain(conc.spend_concentration(fx.written(conc.star_pair_totals(orders, agency, supplier), "pares")))
 
 
 @register
@@ -106,12 +104,12 @@ def entity_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def hhi_by_entity(spark: SparkSession, sf: str) -> DataFrame:
-    return conc.entity_totals(conc.pair_totals(order_rows(spark, sf))).select("mes", "codigo_organismo", "proveedores", "hhi")
+    return conc.entity_totals(conc.pair_totals(fx.orders(spark, sf))).select("mes", "codigo_organismo", "proveedores", "hhi")
 
 
 @register
 def flagged_spend_share(spark: SparkSession, sf: str) -> DataFrame:
-    totals = conc.entity_totals(conc.pair_totals(order_rows(spark, sf)))
+    totals = conc.entity_totals(conc.pair_totals(fx.orders(spark, sf)))
     return plain(totals.select("mes", "codigo_organismo", "monto_trato_directo_clp", "monto_compra_agil_clp",
                                "pct_monto_trato_directo", "pct_monto_compra_agil"))
 
@@ -238,7 +236,7 @@ def calendar_dim(spark: SparkSession, sf: str) -> DataFrame:
 
 def two_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     items = fx.written(
-        fx.decorated(keep_latest(fx.item_lines(spark, sf), ["id_item"], fx.ITEM_ORDER), spark, sf)
+        fx.items(spark, sf)
         .select("mes", "codigo_organismo", "nombre_organismo", F.col("codigo").alias("sector"), "codigo_unidad", "nombre_unidad",
                 F.col("rubro_n2").alias("rut_unidad"), F.col("rubro_n1").alias("region_unidad")), "cargas")
     return items.where(F.col("mes") < fx.SECOND_LOAD_FROM), items.where(F.col("mes") >= fx.SECOND_LOAD_FROM)
@@ -297,8 +295,10 @@ def _codes(fact: DataFrame, *joins: tuple[DataFrame, str, str]) -> DataFrame:
 
 @register
 def fact_items(spark: SparkSession, sf: str) -> DataFrame:
-    stage, agency, _, supplier = star_inputs(spark, sf)
-    fact = facts.load_fact_items(stage, agency, supplier)
+    items = fx.written(fx.items(spark, sf).withColumn("actividad_proveedor", F.lit(None).cast("string")), "items", "mes")
+    agency = fx.written(dims.upsert_agencies(None, items, moment(LOAD_1, "timestamp")), "organismo")
+    supplier = fx.written(dims.upsert_suppliers(None, items, F.lit("1990-01-01").cast("date")), "proveedor")
+    fact = facts.load_fact_items(items, agency, supplier)
     return plain(_codes(fact, (agency, "sk_organismo", "codigo_organismo"), (supplier, "sk_proveedor", "codigo_proveedor")))
 
 
@@ -315,7 +315,7 @@ def fact_orders(spark: SparkSession, sf: str) -> DataFrame:
 def month_replace(spark: SparkSession, sf: str) -> DataFrame:
     """Load all months, reload them, then replace the newest month by nothing."""
     root = f"{scratch_dir(spark, 'meses')}/items"
-    items = fx.written(fx.stage(spark, sf).select("id_item", "codigo", "mes", "total_linea_neto"), "stage", "mes")
+    items = fx.written(fx.items(spark, sf).select("id_item", "codigo", "mes", "total_linea_neto"), "items", "mes")
     months = fx.order_month_list(items)
     replace_partitions(items, root, months)
     replace_partitions(items, root, months)
@@ -350,7 +350,7 @@ def publish_documents(spark: SparkSession, sf: str) -> DataFrame:
 def register_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     """Partitioned files registered in the catalog and counted through it."""
     root = f"{scratch_dir(spark, 'catalogo')}/items"
-    items = fx.stage(spark, sf).select("id_item", "codigo", "mes", "total_linea_neto")
+    items = fx.items(spark, sf).select("id_item", "codigo", "mes", "total_linea_neto")
     items.hint("rebalance", "mes").write.partitionBy("mes").parquet(root)
     register_table(spark, "arriero_items", root, items)
     return quality.items_per_month(spark.table("arriero_items"))
@@ -360,7 +360,7 @@ def register_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def items_per_month(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.items_per_month(fx.stage(spark, sf))
+    return quality.items_per_month(fx.items(spark, sf))
 
 
 @register
@@ -398,12 +398,12 @@ def _pending_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def check_volume(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(quality.check_volume(fx.months_expected(spark, sf), fx.stage(spark, sf), fx.volume_history(spark, sf)))
+    return plain(quality.check_volume(fx.months_expected(spark, sf), fx.items(spark, sf), fx.volume_history(spark, sf)))
 
 
 @register
 def check_items_without_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(quality.check_items_without_orders(fx.months_expected(spark, sf), fx.stage(spark, sf), _pending_orders(spark, sf)))
+    return plain(quality.check_items_without_orders(fx.months_expected(spark, sf), fx.items(spark, sf), _pending_orders(spark, sf)))
 
 
 @register
@@ -412,7 +412,7 @@ def check_freshness(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _checks(spark: SparkSession, sf: str) -> DataFrame:
-    items = fx.stage(spark, sf).select("mes")
+    items = fx.written(fx.items(spark, sf).select("mes"), "items")
     return quality.run_checks(fx.months_expected(spark, sf), fx.listing(spark, sf), items, _pending_orders(spark, sf),
                               fx.volume_history(spark, sf), moment(fx.RUN_AT))
 
