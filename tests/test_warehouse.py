@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from arriero.operators import facts, integrity, quality
+from arriero.operators import dims, facts, integrity, quality
 from arriero.operators.incremental import changed_files, in_processing_window, partition_coverage
 from arriero.plans import fixtures as fx
 from arriero.plans import jobs
@@ -28,6 +28,10 @@ def now():
     return F.lit("2026-01-01 00:00:00").cast("timestamp")
 
 
+def load(spark, stage, root, mes):
+    return jobs.warehouse_job(spark, stage, root, mes, now(), dims.calendar_dim(spark, "1990-01-01"))
+
+
 def fact_rows(spark, root):
     items = read_published(spark, root, "fact_orden_compra_item", jobs.FACT_ITEM_SCHEMA)
     orders = read_published(spark, root, "fact_orden_compra", jobs.FACT_ORDER_SCHEMA)
@@ -38,13 +42,13 @@ def test_load_twice_equals_once_and_layers_agree(spark, stage, tmp_path):
     root = str(tmp_path / "dw")
     a, b = fx.order_month_list(stage)[:2]
     for mes in (a, b):
-        jobs.warehouse_job(spark, stage, root, mes, now())
+        load(spark, stage, root, mes)
     items, orders = fact_rows(spark, root)
     before = rows(items), rows(orders), rows(read_whole(spark, root, "dim_proveedor"))
     part = stage.where(F.col("mes").isin(a, b))
     report = integrity.reconcile(integrity.layer_totals(part), integrity.fact_totals(items, orders))
     assert report.count() == 2 and report.where("not coincide").count() == 0
-    jobs.warehouse_job(spark, stage, root, b, now())
+    load(spark, stage, root, b)
     items, orders = fact_rows(spark, root)
     assert (rows(items), rows(orders), rows(read_whole(spark, root, "dim_proveedor"))) == before
     assert published_months(spark, root, "fact_orden_compra") == [a, b]
@@ -59,20 +63,20 @@ def test_load_twice_equals_once_and_layers_agree(spark, stage, tmp_path):
 def test_empty_month_leaves_facts_alone(spark, stage, tmp_path):
     root = str(tmp_path / "dw")
     mes = fx.order_month_list(stage)[0]
-    jobs.warehouse_job(spark, stage, root, mes, now())
+    load(spark, stage, root, mes)
     n = fact_rows(spark, root)[0].count()
-    assert jobs.warehouse_job(spark, stage.where("false"), root, mes, now()) is None
+    assert load(spark, stage.where("false"), root, mes) is None
     assert fact_rows(spark, root)[0].count() == n > 0
 
 
 def test_order_that_moves_month_stops_the_load_untouched(spark, stage, tmp_path):
     root = str(tmp_path / "dw")
     a, b = fx.order_month_list(stage)[:2]
-    jobs.warehouse_job(spark, stage, root, a, now())
+    load(spark, stage, root, a)
     registry = open(f"{root}/_publicado.json").read()
     moved = stage.where(F.col("mes") == a).limit(3).withColumn("mes", F.lit(b)).withColumn("id_item", -F.col("id_item") - 1)
     with pytest.raises(RuntimeError, match="otro mes"):
-        jobs.warehouse_job(spark, stage.unionByName(moved), root, b, now())
+        load(spark, stage.unionByName(moved), root, b)
     assert open(f"{root}/_publicado.json").read() == registry
     assert published_months(spark, root, "fact_orden_compra") == [a]
 
@@ -81,7 +85,7 @@ def test_date_outside_the_calendar_stops_the_load(spark, stage, tmp_path):
     mes = fx.order_month_list(stage)[0]
     old = stage.withColumn("fecha_envio", F.lit("1950-01-01").cast("date"))
     with pytest.raises(RuntimeError, match="fuera del calendario"):
-        jobs.warehouse_job(spark, old, str(tmp_path / "dw"), mes, now())
+        load(spark, old, str(tmp_path / "dw"), mes)
     assert not os.path.exists(tmp_path / "dw" / "_publicado.json")
 
 
@@ -217,7 +221,7 @@ def test_items_without_orders(spark):
 def test_monitoring_job_logs_and_compares_with_the_last_run(spark, stage, tmp_path):
     root, log = str(tmp_path / "dw"), str(tmp_path / "log")
     mes = fx.order_month_list(stage)[0]
-    jobs.warehouse_job(spark, stage, root, mes, now())
+    load(spark, stage, root, mes)
     listing = spark.createDataFrame([(mes, "f", dt.datetime(2026, 1, 1))], "mes string, ruta string, modificado timestamp_ntz")
     first = jobs.monitoring_job(spark, root, months(spark, mes), listing, log, ts("2026-01-01 10:00:00"))
     assert {r.chequeo: r.estado for r in first.collect()} == {"frescura_raw": "ok", "volumen_items": "ok", "items_sin_ordenes": "ok"}
