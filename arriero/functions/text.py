@@ -45,8 +45,9 @@ def yes_flag(c: Column | str, yes: str = "Si") -> Column:
 
 def day_first_timestamp(c: Column | str) -> Column:
     """``dd-mm-yyyy hh:mm:ss`` to TIMESTAMP_NTZ (a UTC wall clock, whatever the session zone is)."""
-    iso = F.regexp_replace(_col(c), r"^(\d{2})-(\d{2})-(\d{4}) (\d{2}:\d{2}:\d{2})$", "$3-$2-$1 $4")
-    return F.when(_col(c).rlike(r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$"), iso.try_cast("timestamp_ntz"))
+    s = _col(c)
+    iso = F.concat(F.substring(s, 7, 4), F.lit("-"), F.substring(s, 4, 2), F.lit("-"), F.substring(s, 1, 2), F.substring(s, 11, 9))
+    return F.when(s.rlike(r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$"), iso.try_cast("timestamp_ntz"))
 
 
 def last_letter(c: Column | str, allowed: tuple[str, ...]) -> Column:

@@ -528,7 +528,7 @@ ORACLE: dict[str, str] = {
                patente, latitud, longitud, velocidad, sentido, ruta_sinoptico, fecha_gps
         FROM state QUALIFY posicion <= 100"""),
     "speed_class": """
-        SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'detenido' WHEN value < 20 THEN 'menos de 20 km/h' ELSE '20 km/h o más' END AS clase
+        SELECT event_id, CASE WHEN event_id % 9 = 0 OR value = 0 THEN 'detenido' WHEN value < 20 THEN 'menos de 20 km/h' ELSE '20 km/h o más' END AS clase
         FROM events""",
     "stream_latest_state": f"""
         SELECT event_id, {STAMP.format('ts')} AS ts, user_id, event_type, value, props FROM events
@@ -540,6 +540,9 @@ ORACLE: dict[str, str] = {
         SELECT strftime(ts, '%Y-%m-%d') AS fecha, strftime(ts, '%H') AS hora, count(*) AS registros, min(event_id) AS desde,
                max(event_id) AS hasta
         FROM events GROUP BY 1, 2""",
+    "parameterised_sql": _with(ORDERS, """
+        SELECT mes, codigo_organismo, count(*) AS ordenes, CAST(sum(monto) AS DOUBLE) AS monto_clp FROM oc
+        WHERE monto > 0 AND mes >= '1992-01' GROUP BY mes, codigo_organismo"""),
     "service_dim": _with(DECO, "SELECT * FROM services"),
     "route_dim": _with(DECO, "SELECT * FROM routes"),
     "dictionary_summary": _with(DECO, """

@@ -18,6 +18,7 @@ from arriero.operators.privacy import pseudonymise
 from arriero.plans import fixtures as fx
 from arriero.plans import jobs
 from arriero.plans.oracle import PERSON_KEY
+from arriero.plans.sql import run_query
 from arriero.session import scratch_dir
 from arriero.sinks.publish import publish_months
 from arriero.sinks.tables import register_table, replace_partitions
@@ -585,3 +586,15 @@ def route_dim(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def dictionary_summary(spark: SparkSession, sf: str) -> DataFrame:
     return dims.dictionary_summary(*_dictionary_dims(spark, sf))
+
+
+# ---------------------------------------------------------------- SQL text
+
+@register
+def parameterised_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Bound values and a named DataFrame in SQL text: positive amounts of a span of months."""
+    return run_query(
+        spark, """
+        SELECT mes, codigo_organismo, count(*) AS ordenes, CAST(sum(monto_total_oc_clp) AS DOUBLE) AS monto_clp
+        FROM {ordenes} WHERE mes >= :desde AND monto_total_oc_clp > :minimo GROUP BY mes, codigo_organismo
+        """, {"desde": "1992-01", "minimo": 0}, ordenes=fx.orders(spark, sf))

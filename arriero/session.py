@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Keyed stream state on the executors' disks instead of their heaps.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Keeps the pseudonym key out of plan strings and the UI.
     "spark.sql.redaction.string.regex": "(?i)sha2\\(concat\\([^,]*",
 }

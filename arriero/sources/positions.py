@@ -30,17 +30,31 @@ def explode_payload(payloads: DataFrame) -> DataFrame:
     return payloads.select(F.col("fecha_consulta").alias("consulta"), F.explode(positions).alias("registro"))
 
 
-def _fields(record: str, now_utc: Column, max_age_minutes: int, max_future_minutes: int | None) -> dict[str, Column]:
-    parts = F.split(F.col(record), ";")
-    gps = day_first_timestamp(F.get(parts, F.lit(0)))
-    age = F.expr(f"interval {int(max_age_minutes)} minutes")
-    fresh = gps >= now_utc.cast("timestamp_ntz") - age
+def _bind(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    A filter on a plain computed column is pushed below it and computes it again, once per reference; a filter is not
+    pushed below a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _parsed(records: DataFrame, now_utc: Column, max_age_minutes: int, max_future_minutes: int | None, record: str) -> DataFrame:
+    """Records with their text parts in ``_p`` and the outcome of each test in ``_t``."""
+    split = _bind(records, "_p", F.split(F.col(record), ";"))
+    now = now_utc.cast("timestamp_ntz")
+    numbers = {n: reads_as_number(F.get("_p", F.lit(FIELDS.index(n)))).alias(n) for n in NUMBERS}
+    tests = F.struct(
+        (F.coalesce(F.size("_p"), F.lit(0)) >= len(FIELDS)).alias("complete"),
+        day_first_timestamp(F.get("_p", F.lit(0))).alias("gps"),
+        *numbers.values(), now.alias("now"),
+    )
+    t = "_t."
+    fresh = F.col(t + "gps") >= F.col(t + "now") - F.expr(f"interval {int(max_age_minutes)} minutes")
     if max_future_minutes is not None:
-        fresh &= gps <= now_utc.cast("timestamp_ntz") + F.expr(f"interval {int(max_future_minutes)} minutes")
-    numbers = [reads_as_number(F.get(parts, F.lit(FIELDS.index(n)))) for n in NUMBERS]
-    complete = F.size(parts) >= len(FIELDS)
-    numeric = numbers[0].isNotNull() & numbers[1].isNotNull() & numbers[2].isNotNull()
-    return {"parts": parts, "gps": gps, "fresh": fresh, "complete": complete, "numeric": numeric}
+        fresh &= F.col(t + "gps") <= F.col(t + "now") + F.expr(f"interval {int(max_future_minutes)} minutes")
+    numeric = F.col(t + NUMBERS[0]).isNotNull() & F.col(t + NUMBERS[1]).isNotNull() & F.col(t + NUMBERS[2]).isNotNull()
+    return _bind(split, "_t", tests).withColumn("_fresh", fresh).withColumn("_numeric", numeric)
 
 
 def parse_positions(records: DataFrame, now_utc: Column, max_age_minutes: int = ACTIVE_MINUTES,
@@ -51,25 +65,24 @@ def parse_positions(records: DataFrame, now_utc: Column, max_age_minutes: int =
     records, bad dates and bad numbers are dropped. A GPS time in the future passes unless ``max_future_minutes`` is set.
     Row-local column expressions: no shuffle. ``gps`` is the typed UTC time next to its ISO-8601 text.
     """
-    f = _fields(record, now_utc, max_age_minutes, max_future_minutes)
-    values = {name: F.get(f["parts"], F.lit(i)) for i, name in enumerate(FIELDS)}
-    values["fecha_gps"] = F.concat(F.date_format(f["gps"], "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    values = {name: F.get("_p", F.lit(i)) for i, name in enumerate(FIELDS)}
+    values["fecha_gps"] = F.concat(F.date_format("_t.gps", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     for name in NUMBERS:
-        values[name] = reads_as_number(values[name])
-    return records.where(f["complete"] & f["fresh"] & f["numeric"]).select(
-        *[values[n].alias(n) for n in FIELDS], "consulta", f["gps"].alias("gps")
+        values[name] = F.col(f"_t.{name}")
+    rows = _parsed(records, now_utc, max_age_minutes, max_future_minutes, record)
+    return rows.where(F.col("_t.complete") & F.col("_fresh") & F.col("_numeric")).select(
+        *[values[n].alias(n) for n in FIELDS], "consulta", F.col("_t.gps").alias("gps")
     )
 
 
 def parse_report(records: DataFrame, now_utc: Column, max_age_minutes: int = ACTIVE_MINUTES, record: str = "registro") -> DataFrame:
     """How many records fall under each outcome; the first failing test names it."""
-    f = _fields(record, now_utc, max_age_minutes, None)
     outcome = (
-        F.when(F.coalesce(f["complete"], F.lit(False)) == F.lit(False), "corto")
-        .when(f["gps"].isNull(), "fecha inválida").when(~f["fresh"], "antiguo")
-        .when(~f["numeric"], "número inválido").otherwise("activo")
+        F.when(~F.col("_t.complete"), "corto").when(F.col("_t.gps").isNull(), "fecha inválida")
+        .when(~F.col("_fresh"), "antiguo").when(~F.col("_numeric"), "número inválido").otherwise("activo")
     )
-    return records.select(outcome.alias("resultado")).groupBy("resultado").agg(F.count(F.lit(1)).alias("registros"))
+    rows = _parsed(records, now_utc, max_age_minutes, None, record)
+    return rows.select(outcome.alias("resultado")).groupBy("resultado").agg(F.count(F.lit(1)).alias("registros"))
 
 
 def keyed_messages(positions: DataFrame, key: str = "patente") -> DataFrame:
