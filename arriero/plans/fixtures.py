@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from arriero.functions.calendar import month_of
 from arriero.functions.identity import is_natural_person
 from arriero.operators.dedupe import keep_latest
+from arriero.sinks.tables import written
 
 ITEM_ORDER = ["fecha_ultima_modificacion", "total_linea_neto", "codigo_proveedor"]
 
@@ -141,16 +142,6 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def written(df: DataFrame, label: str, *partition: str) -> DataFrame:
-    """Write a table that a query uses several times to the scratch folder, as the jobs do, and read it back."""
-    from arriero.session import scratch_dir
-
-    root = f"{scratch_dir(df.sparkSession, label)}/tabla"
-    writer = df.hint("rebalance", *partition).write if partition else df.write
-    (writer.partitionBy(*partition) if partition else writer).parquet(root)
-    return df.sparkSession.read.schema(df.schema).parquet(root).select(*df.columns)
-
-
 # Cut between the two loads of the overwrite-in-place dimensions.
 SECOND_LOAD_FROM = "1998-07"
 

@@ -345,7 +345,8 @@ ORACLE: dict[str, str] = {
     "entity_documents": _with(SUMMARY, EXPLODED),
     "publish_documents": _with(SUMMARY, EXPLODED),
     "warehouse_months": _with(
-        SUMMARY.replace("strftime(o_orderdate, '%Y-%m') AS mes", "strftime(o_orderdate, '%Y-01') AS mes"), EXPLODED),
+        SUMMARY.replace("strftime(o_orderdate, '%Y-%m') AS mes",
+                        "CASE WHEN o_orderdate < TIMESTAMP '1998-07-01' THEN '1992-01' ELSE '1998-07' END AS mes"), EXPLODED),
     "hhi_by_entity": _with(SUMMARY, "SELECT mes, codigo_organismo, proveedores, hhi FROM summary WHERE posicion = 1"),
     "flagged_spend_share": _with(SUMMARY, """
         SELECT mes, codigo_organismo, CAST(directo AS DOUBLE) AS monto_trato_directo_clp, CAST(agil AS DOUBLE) AS monto_compra_agil_clp,

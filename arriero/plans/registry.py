@@ -326,10 +326,13 @@ def month_replace(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def warehouse_months(spark: SparkSession, sf: str) -> DataFrame:
-    """The star loaded year by year through the publication registry, then summarised and published as documents."""
+    """The star loaded in two periods through the publication registry, then summarised and published as documents."""
     base = scratch_dir(spark, "bodega")
-    stage = star_inputs(spark, sf)[0].withColumn("mes", F.concat(F.substring("mes", 1, 4), F.lit("-01")))
-    loads = fx.order_month_list(stage)
+    period = F.when(F.col("mes") < fx.SECOND_LOAD_FROM, "1992-01").otherwise(fx.SECOND_LOAD_FROM)
+    stage = fx.stage(spark, sf).withColumn("mes", period)
+    stage = stage.withColumn("rut_unidad", F.lit(None).cast("string")).withColumn("actividad_proveedor", F.lit(None).cast("string"))
+    stage = fx.written(stage, "stage", "mes")
+    loads = ["1992-01", fx.SECOND_LOAD_FROM]
     for mes in loads:
         jobs.warehouse_job(spark, stage, base, mes, moment(LOAD_1, "timestamp"), calendar=dims.calendar_dim(spark, "1990-01-01"))
     jobs.summary_job(spark, base, loads, f"{base}/api")

@@ -22,6 +22,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob pattern."""
+    fs, p = _open(spark, pattern)
+    return [str(status.getPath().toString()) for status in fs.globStatus(p) or [] if status.isDirectory()]
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The file's text, or None when there is none."""
     fs, p = _open(spark, path)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from arriero.session import scratch_dir
 from arriero.sinks import fs
 
 
@@ -22,6 +23,17 @@ def balanced(df: DataFrame, key: str) -> DataFrame:
     return df.hint("rebalance", key)
 
 
+def written(df: DataFrame, label: str, *partition: str) -> DataFrame:
+    """Write a frame that is read several times to the shared scratch folder and read it back.
+
+    Cuts the lineage: a lost executor costs a re-read, not a recomputation of everything before.
+    """
+    root = f"{scratch_dir(df.sparkSession, label)}/tabla"
+    writer = df.hint("rebalance", *partition).write if partition else df.write
+    (writer.partitionBy(*partition) if partition else writer).parquet(root)
+    return df.sparkSession.read.schema(df.schema).parquet(root).select(*df.columns)
+
+
 def replace_partitions(df: DataFrame, root: str, values: Sequence[str], key: str = "mes",
                        max_rows_per_file: int = 5_000_000) -> dict[str, int]:
     """Make ``df`` the content of exactly the named partitions; returns the rows written per value.

@@ -9,7 +9,7 @@ from arriero.operators import dims, facts, integrity, quality
 from arriero.operators.incremental import changed_files, in_processing_window, partition_coverage
 from arriero.plans import fixtures as fx
 from arriero.plans import jobs
-from arriero.sinks.publish import Publication, insert_in_batches, publish_months, published_months, read_published, read_whole
+from arriero.sinks.publish import Publication, insert_in_batches, prune, publish_months, published_months, read_published, read_whole
 from tests.conftest import rows
 
 
@@ -136,6 +136,8 @@ def test_publication_is_all_or_nothing(spark, tmp_path):
     publish_months(root, "t", df.withColumn("x", F.col("x") * 10), ["2026-02"])
     assert rows(read_published(spark, root, "t", df.schema)) == [(20, "2026-02")]
     assert rows(read_published(spark, root, "t", df.schema, ["2026-01"])) == []
+    assert len(prune(spark, root)) == 2 and prune(spark, root) == []
+    assert rows(read_published(spark, root, "t", df.schema)) == [(20, "2026-02")] and read_whole(spark, root, "d").count() == 2
 
 
 def test_batches_reach_the_store_complete(spark, tmp_path):
