@@ -460,7 +460,7 @@ def integrity_raw_layer(spark: SparkSession, sf: str) -> DataFrame:
     some = fx.table(spark, sf, "supplier").where(F.col("s_nationkey") < 20).select(F.col("s_suppkey").cast("string").alias("codigo_proveedor"))
     return (
         integrity.duplicates(lines, ["id_item"], "item duplicado")
-        .unionByName(integrity.orphans(lines, some, "codigo_proveedor", "item sin proveedor"))
+        .unionByName(integrity.orphans(lines, {"item sin proveedor": ("codigo_proveedor", some, "codigo_proveedor")}))
         .unionByName(integrity.violations(lines, {
             "item con texto largo": integrity.too_long({"codigo": 7}),
             "monto alto": F.col("total_linea_neto") > 90000}))

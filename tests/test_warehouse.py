@@ -244,7 +244,8 @@ def test_integrity_counts_what_is_broken(spark):
     dup = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, c string")
     assert integrity.duplicates(dup, ["k"], "d").first().infracciones == 1
     dim = spark.createDataFrame([("a",)], "c string")
-    assert integrity.orphans(dup, dim, "c", "o").first().infracciones == 1
+    assert rows(integrity.orphans(dup, {"o": ("c", dim, "c"), "todas": ("c", dup, "c")})) == [("o", 1), ("todas", 0)]
+    assert rows(integrity.orphans(dup.where("false"), {"o": ("c", dim, "c")})) == [("o", 0)]
     assert rows(integrity.violations(dup, {"nulo": F.col("c").isNull(), "largo": integrity.too_long({"c": 0})})) == [("largo", 2), ("nulo", 1)]
     with pytest.raises(RuntimeError, match="d=1"):
         integrity.require_clean(integrity.duplicates(dup, ["k"], "d"))
