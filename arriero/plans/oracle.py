@@ -74,7 +74,7 @@ pairs AS (
   FROM oc WHERE monto > 0 GROUP BY mes, codigo_organismo, codigo_proveedor
 ),
 shared AS (
-  SELECT *, sum(m) OVER e AS total, sum(n) OVER e AS ordenes, count(*) OVER e AS proveedores,
+  SELECT *, sum(n) OVER e AS ordenes, count(*) OVER e AS proveedores,
          sum(m_directo) OVER e AS directo, sum(m_agil) OVER e AS agil,
          sum(pow(100 * CAST(m AS DOUBLE) / CAST(total AS DOUBLE), 2)) OVER e AS hhi_raw,
          row_number() OVER (PARTITION BY mes, codigo_organismo ORDER BY m DESC, codigo_proveedor) AS posicion
@@ -91,7 +91,6 @@ summary AS (
          round(100 * CAST(m AS DOUBLE) / CAST(total AS DOUBLE), 2) AS pct_proveedor
   FROM shared WHERE posicion <= 5
 )"""
-SUMMARY = SUMMARY.replace("*, sum(m) OVER e AS total, sum(n)", "*, sum(n)")
 
 
 def _with(block: str, query: str) -> str:
@@ -204,8 +203,7 @@ fresh AS (
   FROM months m LEFT JOIN listing l ON l.mes = m.mes
 ),
 volume AS (
-  SELECT m.mes, coalesce(i.n, 0) AS n, CAST(l.n AS DOUBLE) * 3.3 AS prev_raw,
-         CAST(CAST(l.n * 3.3 AS DECIMAL(20,2)) AS DOUBLE) AS prev
+  SELECT m.mes, coalesce(i.n, 0) AS n, CAST(CAST(l.n * 3.3 AS DECIMAL(20,2)) AS DOUBLE) AS prev
   FROM months m LEFT JOIN items i ON i.mes = m.mes LEFT JOIN listing l ON l.mes = m.mes
 ),
 checks AS (

@@ -22,7 +22,7 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Keeps the pseudonym key out of plan strings and the UI.
-    "spark.sql.redaction.string.regex": "(?i)sha2\\(concat\\([^,]*",
+    "spark.sql.redaction.string.regex": r"(?is)(?<=sha2\(cast\(concat\().*?(?=, regexp_replace\()",
 }
 
 

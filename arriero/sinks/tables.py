@@ -12,7 +12,10 @@ from arriero.sinks import fs
 
 
 def observed(df: DataFrame, name: str, metrics: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
-    """Attach run metrics (at least the row count) that the job's own pass collects."""
+    """Attach run metrics (at least the row count) that the job's own pass collects.
+
+    Attach them right below a write: they are then counted in the write stage, once per partition, also when tasks rerun.
+    """
     seen = Observation(name)
     columns = {"filas": F.count(F.lit(1)), **(metrics or {})}
     return df.observe(seen, *[c.alias(n) for n, c in columns.items()]), seen

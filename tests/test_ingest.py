@@ -108,6 +108,13 @@ def test_unknown_ids_keep_or_mask(spark):
         pseudonymise(df, "k", on_unknown="drop")
 
 
+def test_key_stays_out_of_plans(spark):
+    df = spark.createDataFrame([("x", "1-9")], "nombre_proveedor string, rut_proveedor string")
+    masked, people = pseudonymise(df, "mi clave, secreta")
+    for frame in (masked, people):
+        assert "secreta" not in frame._jdf.queryExecution().toString()
+
+
 def test_allow_list(spark):
     df = spark.createDataFrame([(1, "a")], "x int, email string")
     assert keep_only(df, ["x", "y"]).columns == ["x"]
