@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from arriero.plans.oracle import ORACLE
+from arriero.plans.registry import QUERIES
 from arriero.plans.sql import run_script, statements
 from tools.check_oracle import TABLES, compare
 
@@ -17,10 +19,10 @@ def duck(sf):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, sf, name):
     ok, text = compare(spark, duck, name, sf)
     assert ok, text
