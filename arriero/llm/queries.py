@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arriero.llm import near_dup
+from arriero.llm import near_dup, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,3 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under shingle similarity 0.75."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@register
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 200-byte strings that occur twice."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
