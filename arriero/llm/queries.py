@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arriero.llm import near_dup, repeats
+from arriero.llm import near_dup, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +32,11 @@ def op10_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 200-byte strings that occur twice."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_toxicity_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; labels of the rows held out are never read."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.toxicity(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score", "predicted")
