@@ -28,6 +28,8 @@ from arriero.sinks.tables import written
 LENGTH = 200
 #: Text bytes of one suffix array.
 SHARD_BYTES = 3 << 20
+#: Stands for a null doc_id inside the operator.
+NO_ID = -(1 << 63)
 
 
 def _anchors(length: int):
@@ -183,7 +185,7 @@ def _shard(length: int):
         seg = np.searchsorted(starts, low, side="right") - 1
         first = pdf.low.to_numpy()
         out = [pd.DataFrame({"doc_id": pdf.doc_id.to_numpy()[seg], "th": pdf.th.to_numpy()[seg], "low": (low - starts[seg] + first[seg]).astype(np.int32),
-                             "high": (high - starts[seg] + first[seg]).astype(np.int32)})]
+                             "high": (high - starts[seg] + first[seg]).astype(np.int32)}).assign(family=0, slice=0)]
         if len(heads) and pdf.slices.iloc[0] > 1:
             slices = int(pdf.slices.iloc[0])
             sums = prefix_sums(text)
@@ -196,9 +198,9 @@ def _shard(length: int):
             ids = np.stack([pdf.doc_id.to_numpy(), pdf.th.to_numpy()], 1).astype(np.int64).tobytes()
             cut = np.searchsorted(keys, (np.arange(1, slices, dtype=np.float64) * (2.0 ** 64 / slices)).astype(np.uint64))
             for k, (a, b) in enumerate(zip([0, *cut], [*cut, len(keys)])):
-                out.append(pd.DataFrame({"family": [pdf.family.iloc[0]], "slice": [k], "docs": [ids], "keys": [keys[a:b].tobytes()], "checks": [checks[a:b].tobytes()],
+                out.append(pd.DataFrame({"doc_id": [0], "th": [0], "low": [0], "high": [0], "family": [int(pdf.family.iloc[0])], "slice": [k], "docs": [ids], "keys": [keys[a:b].tobytes()], "checks": [checks[a:b].tobytes()],
                                          "owners": [seg[a:b].astype(np.int32).tobytes()], "places": [(heads - starts[seg] + first[seg])[a:b].astype(np.int32).tobytes()]}))
-        return pd.concat(out).reindex(columns=_SPAN_COLUMNS)
+        return pd.concat([o for o in out if len(o)] or out).reindex(columns=_SPAN_COLUMNS)
 
     return run
 
@@ -273,14 +275,15 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): every row with its key (doc_id, th) and, where a repeat is possible, its text; and the bytes [low, high) to remove.
+    """(texts, spans): every row with its key (doc_id, th), null ids as ``NO_ID``, and, where a repeat is possible, its text; and the bytes [low, high) to remove.
 
     Spans of one document may overlap.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn(
+        "th", F.xxhash64("text"))
     anchors = written(texts.mapInArrow(_anchors(length), "doc_id long, th long, at int, gram long"), "anchors")
     twice = anchors.groupBy("gram").agg(F.count("*").alias("n"), F.min("doc_id").alias("home")).where("n > 1").select("gram", "home")
-    marks = written(anchors.join(twice, "gram").select("doc_id", "th", "at", F.coalesce("home", F.lit(0)).alias("home")), "marks")
+    marks = written(anchors.join(twice, "gram").select("doc_id", "th", "at", "home"), "marks")
     homes = marks.groupBy("home").agg((F.count("*") * (length // 2)).alias("bytes"))
     total = homes.agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
@@ -289,7 +292,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     lists = marks.join(plan, "home").select("doc_id", "th", F.struct(
         shard.alias("shard"), F.when(F.col("slices") > 1, F.col("home")).alias("family"), "slices", "at").alias("m")).groupBy("doc_id", "th").agg(F.collect_set("m").alias("marks"))
     lists = lists.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "marks")
-    texts = written(texts.join(lists, texts.doc_id.eqNullSafe(lists.d) & (texts.th == lists.h), "left").select(
+    texts = written(texts.join(lists, (texts.doc_id == lists.d) & (texts.th == lists.h), "left").select(
         "doc_id", "th", "marks", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("digest"),
         F.when(F.col("marks").isNotNull(), F.col("text")).alias("text")), "texts")
     segments = texts.where("marks is not null").select("doc_id", "th", "text", "marks").mapInPandas(
@@ -302,13 +305,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
 def remove_repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row of ``docs`` (doc_id, text; other columns are ignored).
 
-    A null text is an empty one. Repeated rows are separate documents that repeat each other. Texts under ``length`` bytes stay whole.
+    A null text is an empty one. Repeated rows are separate documents that repeat each other; a null doc_id is kept. Texts under ``length`` bytes stay whole.
     An empty table gives an empty result. Memory per task is bounded by ``shard_bytes`` (or the longest text).
     """
     texts, spans = repeated_spans(docs, length, shard_bytes)
     runs = spans.groupBy("doc_id", "th").agg(F.collect_set(F.struct("low", "high")).alias("spans")).select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "spans")
     touched = texts.where("marks is not null")
-    cut = touched.join(runs, touched.doc_id.eqNullSafe(runs.d) & (touched.th == runs.h), "left").select("doc_id", "text", "spans").mapInArrow(
+    cut = touched.join(runs, (touched.doc_id == runs.d) & (touched.th == runs.h), "left").select("doc_id", "text", "spans").mapInArrow(
         _removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     plain = texts.where("marks is null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("digest").alias("kept_sha256"))
-    return plain.union(cut)
+    return plain.union(cut).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
