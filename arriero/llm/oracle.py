@@ -21,3 +21,19 @@ links AS (
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN least ON least.u = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
+
+ORACLE["op8_url_bloom_cascade"] = r"""
+WITH parsed AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), rules(kind, h, p) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), ruled AS (
+  SELECT page_id, host, path, max_by(h || p, length(h || p)) AS rule, max_by(kind, length(h || p)) AS kind
+  FROM parsed LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY page_id, host, path
+), listed AS (SELECT DISTINCT host AS l FROM ruled WHERE kind = 'block')
+SELECT page_id, host, path, rule, coalesce(kind, CASE WHEN l IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled LEFT JOIN listed ON l = host
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arriero.llm import near_dup, repeats, toxicity
+from arriero.llm import mixing, near_dup, repeats, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,3 +40,15 @@ def op4_toxicity_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.toxicity(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score", "predicted")
+
+
+@register
+def op7_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_url_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
