@@ -37,3 +37,18 @@ WITH parsed AS (
 SELECT page_id, host, path, rule, coalesce(kind, CASE WHEN l IS NULL THEN 'allow' ELSE 'block' END) AS verdict
 FROM ruled LEFT JOIN listed ON l = host
 """
+
+ORACLE["op6_warc_archive"] = r"""
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
+), coded AS (
+  SELECT page_id, octet_length(encode(payload)) AS payload_bytes, max(page_id) OVER (PARTITION BY h) AS keep,
+    array_to_string(list_transform(range(32), lambda i:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4)))::BIGINT & 31)::INT, 1)), '') AS payload_digest
+  FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keep THEN keep END AS refers_to
+FROM coded
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arriero.llm import mixing, near_dup, repeats, toxicity, url_filter
+from arriero.llm import mixing, near_dup, repeats, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,9 @@ def op7_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_url_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@register
+def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, as read back from the archives."""
+    return warc.archived(table(spark, sf_dir, "pages"))
