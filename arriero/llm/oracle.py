@@ -52,3 +52,14 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keep THEN 're
   CASE WHEN page_id <> keep THEN keep END AS refers_to
 FROM coded
 """
+
+ORACLE["op5_pivot_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score,
+  row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id)::INT AS rank
+FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+QUALIFY rank <= 5
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arriero.llm import mixing, near_dup, repeats, toxicity, url_filter, warc
+from arriero.llm import language, mixing, near_dup, pivots, repeats, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,3 +58,17 @@ def op8_url_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, as read back from the archives."""
     return warc.archived(table(spark, sf_dir, "pages"))
+
+
+@register
+def op5_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for every fiftieth vector."""
+    return pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register
+def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows held out are never learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    named = language.label(docs, language.fit(docs))
+    return named.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "lang_pred", "score")
