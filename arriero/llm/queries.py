@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arriero.llm import language, mixing, near_dup, pivots, repeats, toxicity, url_filter, warc
+from arriero.llm import decontaminate, language, mixing, near_dup, pivots, repeats, secrets, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +72,16 @@ def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     named = language.label(docs, language.fit(docs))
     return named.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item or a re-parameterised copy of it."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op1_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(docs, secrets.fit(docs))

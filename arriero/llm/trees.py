@@ -70,7 +70,8 @@ def grow(x: np.ndarray, edges: list[np.ndarray], gradient: np.ndarray, weight: n
             b = binned[rows, k]
             gs = np.cumsum(np.bincount(b, g, len(edges[k]) + 1))[:-1]
             ws = np.cumsum(np.bincount(b, w, len(edges[k]) + 1))[:-1]
-            gain = gs ** 2 / (ws + smoothing) + (total_g - gs) ** 2 / (total_w - ws + smoothing) - parent
+            with np.errstate(divide="ignore", invalid="ignore"):  # an empty side; masked below
+                gain = gs ** 2 / (ws + smoothing) + (total_g - gs) ** 2 / (total_w - ws + smoothing) - parent
             gain[(ws < least) | (total_w - ws < least)] = -np.inf
             at = int(np.argmax(gain))
             if gain[at] > best[0]:
