@@ -24,7 +24,7 @@ def _star(edges: DataFrame, downward: bool) -> DataFrame:
     moved = joined.where("v > u" if not downward else "v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if downward:
         moved = moved.union(least.select("u", F.col("m").alias("v")))
-    return moved.where("u != v").distinct()
+    return moved.where("u != v")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     for _ in range(MAX_ROUNDS):
-        edges = written(_star(_star(edges, False), True), "edges")
+        edges = written(_star(_star(edges, False), True).distinct(), "edges")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
             return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(

@@ -208,8 +208,8 @@ def _decide_two(width: int, percent: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"u": [], "v": []}).astype("int64")
-        i, j = linked(_sets(left.text.tolist(), width), _sets(right.text.tolist(), width), percent)
-        u, v = left.rep.to_numpy()[i], right.rep.to_numpy()[j]
+        i, j = linked(_sets(left.text.tolist(), width), _sets(right.text_r.tolist(), width), percent)
+        u, v = left.rep.to_numpy()[i], right.c_r.to_numpy()[j]  # one link for each component that a row reaches
         return pd.DataFrame({"u": u, "v": v}).drop_duplicates()
 
     return run
@@ -228,20 +228,21 @@ def _regions(crowd: DataFrame, tree: int, levels: int, block_rows: int) -> DataF
 
     The depth adapts: a region of more than ``block_rows`` rows goes one minimum deeper, and at the last one it is dealt by rep.
     """
-    cut = crowd.select("rep", "hood", "n_bytes", F.lit(b"").alias("prefix"), *[
+    cut = crowd.select("rep", "hood", *[
         F.substring("signature", tree * 4 * levels + 1, 4 * d).alias(f"r{d}") for d in range(1, levels + 1)])
+    depths = sorted({1, (levels + 1) // 2, levels})
     block, crowded = F.xxhash64("hood", f"r{levels}", F.pmod(F.xxhash64("rep"), F.ceil(F.col(f"c{levels}") / block_rows))), cut
-    for d in range(levels, 0, -1):
+    for d in reversed(depths):
         crowded = crowded.join(cut.groupBy("hood", f"r{d}").agg(F.count("*").alias(f"c{d}")), ["hood", f"r{d}"])
         block = F.when(F.col(f"c{d}") <= block_rows, F.xxhash64("hood", f"r{d}", F.lit(d))).otherwise(block)
     return crowded.select("rep", F.xxhash64(block, F.lit(tree)).alias("block"))
 
 
-def _large_hoods(rows: DataFrame, width: int, percent: int, levels: int, block_rows: int, block_bytes: int, trees: int) -> DataFrame:
-    """Links (u, v) of neighbourhoods that no single block can hold. ``rows``: rep, hood, n_bytes, signature, text."""
+def _large_hoods(crowd: DataFrame, rows: DataFrame, width: int, percent: int, levels: int, block_rows: int, block_bytes: int, trees: int) -> DataFrame:
+    """Links (u, v) of neighbourhoods that no single block can hold. ``crowd``: rep, hood, signature; ``rows``: rep, hood, n_bytes, text."""
     regions = None
     for tree in range(min(trees, REGION_TREES)):
-        one = _regions(rows, tree, levels, block_rows)
+        one = _regions(crowd, tree, levels, block_rows)
         regions = one if regions is None else regions.union(one)
     parts = rows.select("rep", "n_bytes", "text").join(regions, "rep")
     links = written(_decided(parts, width, percent, block_bytes), "regions")
@@ -257,8 +258,9 @@ def _large_hoods(rows: DataFrame, width: int, percent: int, levels: int, block_r
     lefts = left.groupBy("hood").agg(F.count("*").alias("rest"), F.first("all").alias("r"))
     left = left.join(lefts, "hood").withColumn("kl", dealt(left, F.col("rest")))
     left = left.select("rep", "text", "hood", "kl", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("all") / block_rows) - 1).cast("long"))).alias("kr"))
-    right = every.join(lefts.select("hood", "rest"), "hood").select("rep", "text", "hood", "kr", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("rest") / block_rows) - 1).cast("long"))).alias("kl"))
-    late = left.groupBy("hood", "kl", "kr").cogroup(right.groupBy("hood", "kl", "kr")).applyInPandas(_decide_two(width, percent), "u long, v long")
+    right = every.join(lefts.select("hood", "rest"), "hood").select(
+        F.col("rep").alias("rep_r"), F.col("text").alias("text_r"), F.col("c").alias("c_r"), F.col("hood").alias("hood_r"), F.col("kr").alias("kr_r"), F.explode(F.sequence(F.lit(0), (F.ceil(F.col("rest") / block_rows) - 1).cast("long"))).alias("kl_r"))
+    late = left.groupBy("hood", "kl", "kr").cogroup(right.groupBy("hood_r", "kl_r", "kr_r")).applyInPandas(_decide_two(width, percent), "u long, v long")
     return found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(late)
 
 
@@ -285,8 +287,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WIDTH, tree
     small = written(_decided(held.where("not large").select("rep", "text", "n_bytes", F.col("hood").alias("block")), width, percent, block_bytes), "decided")
     links = small.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     if placed.where("large").limit(1).count():
-        rows = held.where("large").join(placed.select("rep", "signature").dropDuplicates(["rep"]), "rep")
-        links = links.union(components(_large_hoods(rows, width, percent, levels, block_rows, block_bytes, trees)))
+        crowd = placed.where("large").select("rep", "hood", "signature")
+        links = links.union(components(_large_hoods(crowd, held.where("large"), width, percent, levels, block_rows, block_bytes, trees)))
     named = classes.join(links, classes.rep == links.node, "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("c"))
     return marks.drop("signature").join(named, ["low", "high", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("c")), "doc_id")).alias("component_id"),
