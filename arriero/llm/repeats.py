@@ -27,7 +27,7 @@ from arriero.sinks.tables import written
 
 LENGTH = 200
 #: Text bytes of one suffix array.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 1 << 20
 #: Stands for a null doc_id inside the operator.
 NO_ID = -(1 << 63)
 
