@@ -13,6 +13,7 @@ FIELDS = [
     "operador", "servicio", "sentido", "ruta_consola", "ruta_sinoptico", "fecha_insercion",
 ]
 NUMBERS = ("latitud", "longitud", "velocidad")
+MESSAGE_SCHEMA = ", ".join(f"{n} {'double' if n in NUMBERS else 'string'}" for n in [*FIELDS, "consulta"])
 PAYLOAD_SCHEMA = "fecha_consulta string, posiciones array<string>"
 ACTIVE_MINUTES = 5
 
@@ -91,6 +92,15 @@ def keyed_messages(positions: DataFrame, key: str = "patente") -> DataFrame:
     return positions.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*payload)).alias("value"))
 
 
+def decode_messages(messages: DataFrame) -> DataFrame:
+    """Keyed messages back to typed columns, with ``gps`` as the UTC time; a message that is no JSON object, or has no key, is dropped.
+
+    ``key`` and ``value`` may be text or bytes, as Kafka delivers them.
+    """
+    parsed = messages.select(F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA).alias("m")).where("m.patente is not null").select("m.*")
+    return parsed.withColumn("gps", F.to_timestamp_ntz(F.substring("fecha_gps", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+
+
 def publish_messages(messages: DataFrame, fmt: str, options: dict[str, str]) -> None:
     """Append keyed messages to a sink. A Kafka sink places them by key; readers order by event time, not by arrival, so
     nothing here gathers a busy key in one task."""

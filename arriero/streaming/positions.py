@@ -1,9 +1,14 @@
-"""Latest state and history of a keyed stream."""
+"""Latest state and history of a keyed stream.
+
+Every writer puts its stream's id into the paths it writes. The id lives beside the stream's checkpoint: a restart keeps it, a new
+checkpoint gets a new one, so batch numbers that start again from 0 never meet what an earlier stream stored.
+"""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +18,22 @@ from arriero.operators.dedupe import keep_latest
 from arriero.sinks import fs
 
 POINTER = "_vigente.json"
+STREAM_FILE = "_flujo"
+#: Hash buckets of a snapshot table; a batch rewrites only those it touches.
+BUCKETS = 64
+
 
+def read_stream(spark: SparkSession, directory: str | None = None, schema=None, fmt: str = "parquet", glob: str | None = None,
+                files_per_batch: int = 500, options: Mapping[str, str] | None = None) -> DataFrame:
+    """A source as a stream of micro-batches.
 
-def read_stream(spark: SparkSession, directory: str, schema, fmt: str = "parquet", glob: str | None = None,
-                files_per_batch: int = 500) -> DataFrame:
-    """A folder as a stream of micro-batches. For Kafka use ``maxOffsetsPerTrigger`` and ``startingOffsets=latest``."""
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    File sources take a folder and a schema. Other formats have a schema of their own and take ``options`` only; for Kafka at
+    least ``kafka.bootstrap.servers`` and ``subscribe``, with ``maxOffsetsPerTrigger`` to bound a batch.
+    """
+    reader = spark.readStream.format(fmt).options(**(options or {}))
+    if directory is None:
+        return reader.load()
+    reader = reader.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(directory)
 
 
@@ -26,43 +41,75 @@ def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns the checkpoint folder."""
+    path = f"{checkpoint}/{STREAM_FILE}"
+    if not fs.exists(spark, path):
+        fs.replace_text(spark, path, uuid.uuid4().hex)
+    return fs.read_text(spark, path)
+
+
+def without_retries(stream: DataFrame, ids: Sequence[str], at: str, within: str) -> DataFrame:
+    """Drop records that repeat ``ids`` within ``within`` of event time ``at``; state older than that is forgotten."""
+    return stream.withWatermark(at, within).dropDuplicatesWithinWatermark(list(ids))
+
+
 def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row per key of the snapshot and the batch, by event order and not by arrival."""
     rows = batch if previous is None else previous.unionByName(batch)
     return keep_latest(rows, keys, order)
 
 
-def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+def _pointer(spark: SparkSession, root: str) -> dict:
     text = fs.read_text(spark, f"{root}/{POINTER}")
-    return spark.read.parquet(f"{root}/{json.loads(text)['carpeta']}") if text else None
+    return json.loads(text) if text else {"cubetas": {}, "retiradas": [], "vistos": {}}
+
+
+def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    """The live rows: one folder per bucket, whatever number of updates there were. None before the first batch."""
+    folders = sorted(_pointer(spark, root)["cubetas"].values())
+    return spark.read.parquet(*[f"{root}/{f}" for f in folders]) if folders else None
 
 
-def apply_batch(root: str, batch: DataFrame, batch_id: int, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Merge one micro-batch into the snapshot table.
+def apply_batch(root: str, batch: DataFrame, batch_id: int, keys: Sequence[str], order: Sequence[str], stream: str = "",
+                keep: Column | None = None, buckets: int = BUCKETS) -> None:
+    """Merge one micro-batch into the snapshot table, whose rows are dealt to hash buckets of their keys.
 
-    The new snapshot is a new folder and the pointer flips last, so a batch replayed after a crash is either skipped or
-    redone from the same inputs. The folder before the previous one is dropped; readers of the previous one finish.
+    Only buckets the batch has keys of are read and written, to new folders; the pointer flips last. A replay merges the same
+    rows again, which changes nothing. ``keep`` expires rows of the touched buckets. Folders that one flip retires are deleted by
+    the next, so readers of the version before finish. One stream writes a table at a time.
     """
     spark = batch.sparkSession
-    text = fs.read_text(spark, f"{root}/{POINTER}")
-    state = json.loads(text) if text else {"lote": -1, "carpeta": None, "anterior": None}
-    if batch_id <= state["lote"]:
+    state = _pointer(spark, root)
+    dealt = batch.withColumn("cubeta", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    touched = [r.cubeta for r in dealt.select("cubeta").distinct().collect()]  # at most ``buckets``
+    if not touched:
         return
-    previous = spark.read.parquet(f"{root}/{state['carpeta']}") if state["carpeta"] else None
-    folder = f"lote={batch_id}"
-    merge_latest(previous, batch, keys, order).write.mode("overwrite").parquet(f"{root}/{folder}")
-    fs.replace_text(spark, f"{root}/{POINTER}", json.dumps(
-        {"lote": batch_id, "carpeta": folder, "anterior": state["carpeta"]}
-    ))
-    if state["anterior"]:
-        fs.delete(spark, f"{root}/{state['anterior']}")
+    live = [state["cubetas"][str(b)] for b in touched if str(b) in state["cubetas"]]
+    previous = spark.read.parquet(*[f"{root}/{f}" for f in live]).withColumn("cubeta", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")) if live else None
+    merged = merge_latest(previous, dealt, ["cubeta", *keys], order)
+    merged = merged if keep is None else merged.where(keep)
+    folder = f"version={stream or 'directo'}-{batch_id}-{uuid.uuid4().hex[:8]}"
+    merged.hint("rebalance", "cubeta").write.partitionBy("cubeta").parquet(f"{root}/{folder}")
+    for b in touched:
+        if fs.exists(spark, f"{root}/{folder}/cubeta={b}"):
+            state["cubetas"][str(b)] = f"{folder}/cubeta={b}"
+        else:
+            state["cubetas"].pop(str(b), None)
+    before, state["retiradas"] = state["retiradas"], live
+    state["vistos"][stream] = batch_id
+    fs.replace_text(spark, f"{root}/{POINTER}", json.dumps(state, sort_keys=True))
+    for old in before:
+        fs.delete(spark, f"{root}/{old}")
 
 
 def latest_state(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], order: Sequence[str],
-                 every: str | None = None) -> StreamingQuery:
-    """Keep a snapshot table with the newest row per key. Simple; each batch rewrites all keys."""
+                 every: str | None = None, keep: Column | None = None) -> StreamingQuery:
+    """Keep a snapshot table with the newest row per key; a batch costs as much as the buckets it touches."""
+    name = stream_id(stream.sparkSession, checkpoint)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(root, batch, batch_id, keys, order)
+        apply_batch(root, batch, batch_id, keys, order, name, keep)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
@@ -80,17 +127,37 @@ def latest_updates(stream: DataFrame, keys: Sequence[str], order: Sequence[str])
 
 
 def write_updates(newest: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append the keys each batch changed, with its number in ``lote``; the highest number holds a key's state.
+    """Store the keys each batch changed under the stream's id (``flujo``) and the batch's number (``lote``).
 
-    A replayed batch overwrites its own folder.
+    A replayed batch overwrites its own folder, and no other.
     """
+    name = stream_id(newest.sparkSession, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/lote={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/flujo={name}/lote={batch_id}")
 
     writer = newest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
 
 
+def read_updates(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest stored row per key, by event order: batch numbers of different streams do not compare."""
+    return keep_latest(spark.read.parquet(path).drop("flujo", "lote"), keys, order)
+
+
+def compact_updates(spark: SparkSession, path: str, root: str, keys: Sequence[str], order: Sequence[str]) -> int:
+    """Move stored updates into the snapshot table at ``root`` and delete them; returns the folders moved.
+
+    A crash in between leaves updates in both places, which merge to the same state. Run it while no batch is being written.
+    """
+    done = fs.folders(spark, f"{path}/flujo=*/lote=*")
+    if done:
+        apply_batch(root, spark.read.parquet(*done), 0, keys, order, "compactado")
+        for folder in done:
+            fs.delete(spark, folder)
+    return len(done)
+
+
 def archive_stream(stream: DataFrame, path: str, checkpoint: str, at: Column | None = None, every: str | None = None) -> StreamingQuery:
     """Append every record as JSON lines under ``fecha=/hora=`` of ``at``, by default the processing time (UTC)."""
     moment = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) if at is None else at
@@ -102,18 +169,24 @@ def archive_stream(stream: DataFrame, path: str, checkpoint: str, at: Column | N
     return _trigger(writer, every).start()
 
 
+def write_history(batch: DataFrame, history: str, batch_id: int, stream: str, at: Column | None = None) -> None:
+    """One batch's records as JSON lines in a folder of its own, replaced as a whole by a replay, in whatever hour that runs."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) if at is None else at
+    dated = batch.withColumn("fecha", F.date_format(now, "yyyy-MM-dd")).withColumn("hora", F.date_format(now, "HH"))
+    (
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("fecha", "hora")
+        .json(f"{history}/flujo={stream}/lote={batch_id}")
+    )
+
+
 def both_outputs(stream: DataFrame, root: str, history: str, checkpoint: str, keys: Sequence[str], order: Sequence[str],
-                 every: str | None = None) -> StreamingQuery:
-    """Snapshot and history from one read of the stream; the batch id in the history path makes a replay overwrite itself."""
+                 every: str | None = None, at: Column | None = None) -> StreamingQuery:
+    """Snapshot and history from one stream; the batch is read from its source once per output, not kept in memory."""
+    name = stream_id(stream.sparkSession, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
-            dated = kept.withColumn("fecha", F.date_format(now, "yyyy-MM-dd")).withColumn("hora", F.date_format(now, "HH"))
-            dated.write.mode("overwrite").partitionBy("fecha", "hora").json(f"{history}/lote={batch_id}")
-            apply_batch(root, kept, batch_id, keys, order)
-        finally:
-            kept.unpersist()
+        write_history(batch, history, batch_id, name, at)
+        apply_batch(root, batch, batch_id, keys, order, name)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()

@@ -101,7 +101,7 @@ def test_snapshot_equals_batch_over_many_micro_batches(spark, event_files, tmp_p
     source = stream.read_stream(spark, event_files, SCHEMA, files_per_batch=1)
     stream.latest_state(source, root, cp, ["user_id"], ["ts", "event_id"]).awaitTermination()
     assert rows(stream.current_snapshot(spark, root)) == expected(spark, event_files)
-    assert json.loads(open(f"{root}/_vigente.json").read())["lote"] == 3
+    assert list(json.loads(open(f"{root}/_vigente.json").read())["vistos"].values()) == [3]
     late = spark.createDataFrame([(9999, dt.datetime(2025, 1, 1), 0, 1.0), (10000, dt.datetime(2027, 1, 1), 77, 1.0)], SCHEMA)
     late.coalesce(1).write.mode("append").parquet(event_files)
     stream.latest_state(stream.read_stream(spark, event_files, SCHEMA, files_per_batch=1), root, cp, ["user_id"], ["ts", "event_id"]).awaitTermination()
@@ -122,7 +122,7 @@ def test_state_store_updates_equal_batch_and_emit_changes_only(spark, event_file
     newest = stream.latest_updates(stream.read_stream(spark, event_files, SCHEMA, files_per_batch=1), ["user_id"], ["ts", "event_id"])
     stream.write_updates(newest, path, str(tmp_path / "cp")).awaitTermination()
     log = spark.read.parquet(path)
-    state = keep_latest(log, ["user_id"], ["lote"]).drop("lote").select("event_id", "ts", "user_id", "value")
+    state = stream.read_updates(spark, path, ["user_id"], ["ts", "event_id"]).select("event_id", "ts", "user_id", "value")
     assert rows(state) == expected(spark, event_files)
     assert log.count() < 4 * state.count()
 
@@ -137,6 +137,62 @@ def test_archive_and_both_outputs(spark, event_files, tmp_path):
     assert rows(stream.current_snapshot(spark, str(tmp_path / "s"))) == expected(spark, event_files)
 
 
+def test_a_new_checkpoint_on_an_old_table_loses_nothing(spark, tmp_path):
+    """Batch numbers start again from 0; all three writers keep what the first stream stored."""
+    root, hist, ups = str(tmp_path / "t"), str(tmp_path / "h"), str(tmp_path / "u")
+    data = [[(1, NOW, 1, 1.0), (2, NOW, 2, 2.0)], [(3, NOW - dt.timedelta(days=1), 1, 3.0), (4, NOW, 5, 4.0)]]
+    for i, part in enumerate(data):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"in{i}"))
+        source = stream.read_stream(spark, str(tmp_path / f"in{i}"), SCHEMA)
+        stream.both_outputs(source, root, hist, str(tmp_path / f"cpb{i}"), ["user_id"], ["ts", "event_id"]).awaitTermination()
+        newest = stream.latest_updates(stream.read_stream(spark, str(tmp_path / f"in{i}"), SCHEMA), ["user_id"], ["ts", "event_id"])
+        stream.write_updates(newest, ups, str(tmp_path / f"cpu{i}")).awaitTermination()
+    assert sorted(r.event_id for r in stream.current_snapshot(spark, root).collect()) == [1, 2, 4]
+    assert spark.read.json(hist).count() == 4
+    assert sorted(r.event_id for r in stream.read_updates(spark, ups, ["user_id"], ["ts", "event_id"]).collect()) == [1, 2, 4]
+    compacted = str(tmp_path / "c")
+    assert stream.compact_updates(spark, ups, compacted, ["user_id"], ["ts", "event_id"]) == 2
+    assert stream.compact_updates(spark, ups, compacted, ["user_id"], ["ts", "event_id"]) == 0
+    assert sorted(r.event_id for r in stream.current_snapshot(spark, compacted).collect()) == [1, 2, 4]
+
+
+def test_a_replay_in_another_hour_replaces_the_history_of_its_batch(spark, tmp_path):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    assert old.lower() == "dynamic"
+    batch = spark.createDataFrame([(1, NOW, 1, 1.0)], SCHEMA)
+    for hour in ("10", "11"):
+        stream.write_history(batch, str(tmp_path / "h"), 0, "s", F.lit(f"2026-01-01 {hour}:00:00").cast("timestamp_ntz"))
+    assert [(r.hora, r.event_id) for r in spark.read.json(str(tmp_path / "h")).select(F.col("hora").cast("string"), "event_id").collect()] == [("11", 1)]
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    root = str(tmp_path / "t")
+    stream.apply_batch(root, spark.range(200).selectExpr("id event_id", "timestamp_ntz'2026-01-01' ts", "id user_id", "1D value"), 0, ["user_id"], ["ts", "event_id"])
+    before = json.loads(open(f"{root}/_vigente.json").read())["cubetas"]
+    stream.apply_batch(root, spark.createDataFrame([(999, NOW, 7, 2.0)], SCHEMA), 1, ["user_id"], ["ts", "event_id"])
+    after = json.loads(open(f"{root}/_vigente.json").read())["cubetas"]
+    assert sum(before[b] != after[b] for b in after) == 1 and stream.current_snapshot(spark, root).count() == 200
+    old = F.col("ts") >= F.lit("2026-06-01").cast("timestamp_ntz")
+    stream.apply_batch(root, spark.createDataFrame([(1000, NOW, 7, 2.0)], SCHEMA), 2, ["user_id"], ["ts", "event_id"], keep=old)
+    assert stream.current_snapshot(spark, root).count() < 200
+
+
+def test_decode_reverses_the_messages(spark):
+    positions = pos.parse_positions(frame(spark, record("01-09-2026 11:59:00", plate="P1")), now())
+    messages = pos.keyed_messages(positions)
+    assert rows(pos.decode_messages(messages).select(*positions.columns)) == rows(positions)
+    as_bytes = messages.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+    assert pos.decode_messages(as_bytes).count() == 1
+    assert pos.decode_messages(spark.createDataFrame([("k", "no json"), ("k", None), ("k", "{}")], "key string, value string")).count() == 0
+
+
+def test_retries_are_dropped_within_the_watermark(spark, tmp_path):
+    spark.createDataFrame([(1, NOW, 1, 1.0), (1, NOW, 1, 1.0), (2, NOW, 1, 1.0)], SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in"))
+    once = stream.without_retries(stream.read_stream(spark, str(tmp_path / "in"), SCHEMA).withColumn("at", F.col("ts").cast("timestamp")), ["event_id"], "at", "1 hour")
+    stream.archive_stream(once, str(tmp_path / "a"), str(tmp_path / "cp")).awaitTermination()
+    assert spark.read.json(str(tmp_path / "a")).count() == 2
+
+
 STATE = "patente string, latitud double, longitud double, velocidad double, servicio string, sentido string, ruta_sinoptico string, fecha_gps string"
 
 
@@ -149,6 +205,8 @@ def test_active_by_service(spark):
     assert serving.active_by_service(state, "T9").count() == 0
     every = serving.active_by_every_service(state, 1).collect()
     assert sorted((r.servicio, r.patente, r.buses_activos) for r in every) == [("T1", "P5", 4), ("T2", "P2", 4)]
+    assert serving.active_by_every_service(state).count() == 8
+    assert serving.active_by_service(state, "T1", limite=100_000).count() == 4
     for bad in ({"sentido": "X"}, {"limite": 0}):
         with pytest.raises(ValueError):
             serving.active_by_service(state, "T1", **bad)
