@@ -91,6 +91,27 @@ def upsert_units(dim: DataFrame | None, stage: DataFrame, now: Column) -> DataFr
     return scd1_upsert(dim, source, "codigo_unidad", ["nombre_unidad", "region_unidad"], update, "sk_unidad", now)
 
 
+def scd1_history(months: DataFrame, key: str, since: str, compare: Sequence[str], update: Sequence[str], sk: str, now: Column) -> DataFrame:
+    """The dimension after loading one row per (key, period) in ascending order into an empty one: each key has the ``update`` values
+    of the last period in which one of ``compare`` changed. One shuffle; a key's group is bounded by the number of periods."""
+    by_key = Window.partitionBy(key).orderBy(since)
+    before = F.lag(F.struct(*compare)).over(by_key)
+    changed = months.withColumn("_before", before).where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.struct(*compare)))
+    last = changed.groupBy(key).agg(F.max_by(F.struct(*update), since).alias("_u"))
+    return last.select(surrogate_key(F.col(key)).alias(sk), key, *[F.col(f"_u.{c}").alias(c) for c in update], now.alias("actualizado_en"))
+
+
+def star_history(stage: DataFrame, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(agencies, units, supplier versions) after loading all months of ``stage`` in ascending order, in one plan."""
+    agency, unit = ["nombre_organismo", "sector"], ["nombre_unidad", "rut_unidad", "region_unidad", "codigo_organismo"]
+    tracked, overwrite, passive = ["nombre_proveedor"], ["rut_proveedor", "actividad_proveedor", "region_proveedor"], ["es_persona_natural"]
+    agencies = scd1_history(representative(stage, ["codigo_organismo", "mes"], agency), "codigo_organismo", "mes", agency, agency, "sk_organismo", now)
+    units = scd1_history(representative(stage, ["codigo_unidad", "mes"], unit), "codigo_unidad", "mes", ["nombre_unidad", "region_unidad"], unit, "sk_unidad", now)
+    loads = representative(stage, ["codigo_proveedor", "mes"], [*tracked, *overwrite], passive).withColumn("_desde", F.to_date(F.concat("mes", F.lit("-01"))))
+    versions = scd2_history(loads, "codigo_proveedor", "_desde", tracked, overwrite, passive)
+    return agencies, units, versions.select(surrogate_key(F.col("codigo_proveedor"), F.col("vigente_desde")).alias("sk_proveedor"), *versions.columns)
+
+
 # ---------------------------------------------------------------- SCD2
 
 def scd2_apply(dim: DataFrame, source: DataFrame, key: str, tracked: Sequence[str], overwrite: Sequence[str],
@@ -212,6 +233,22 @@ def route_rows(deco: DataFrame) -> DataFrame:
     return deco.select("codigo_ruta", "codigo_usuario", last_letter("codigo_ruta", ("I", "R")).alias("sentido"))
 
 
+def unique_routes(routes: DataFrame) -> DataFrame:
+    """The routes, one per code. Identical rows collapse; a code with different rows stops the job before anything is loaded."""
+    grouped = routes.groupBy("codigo_ruta").agg(F.min(F.struct("codigo_usuario", "sentido")).alias("_a"), F.max(F.struct("codigo_usuario", "sentido")).alias("_b"))
+    code = F.when(F.col("_a").eqNullSafe(F.col("_b")), F.col("codigo_ruta")).otherwise(
+        F.raise_error(F.concat(F.lit("route code with different rows: "), F.coalesce("codigo_ruta", F.lit("NULL")))).cast("string"))
+    return grouped.select(code.alias("codigo_ruta"), "_a.codigo_usuario", "_a.sentido")
+
+
+def route_violations(routes: DataFrame, services: DataFrame) -> DataFrame:
+    """Rows per broken rule (regla, filas): route codes that repeat, and routes whose service does not exist."""
+    repeated = routes.groupBy("codigo_ruta").agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.count(F.lit(1)).alias("filas"))
+    codes = routes.groupBy("codigo_usuario").agg(F.count(F.lit(1)).alias("n"))
+    missing = codes.join(services.select("codigo_usuario"), "codigo_usuario", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("filas"))
+    return repeated.select(F.lit("recorrido duplicado").alias("regla"), "filas").unionByName(missing.select(F.lit("recorrido sin servicio").alias("regla"), "filas"))
+
+
 def service_dim(deco: DataFrame, now: Column, dim: DataFrame | None = None) -> DataFrame:
     rows = service_rows(deco)
     dim = empty_scd1(rows, "codigo_usuario", SERVICE_COLUMNS) if dim is None else dim
@@ -219,7 +256,7 @@ def service_dim(deco: DataFrame, now: Column, dim: DataFrame | None = None) -> D
 
 
 def route_dim(deco: DataFrame, now: Column, dim: DataFrame | None = None) -> DataFrame:
-    rows = route_rows(deco)
+    rows = unique_routes(route_rows(deco))
     dim = empty_scd1(rows, "codigo_ruta", ["codigo_usuario", "sentido"]) if dim is None else dim
     return replace_or_insert(dim, rows, "codigo_ruta", ["codigo_usuario", "sentido"], now)
 

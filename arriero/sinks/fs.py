@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -40,17 +41,67 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file next to ``path`` and rename it over it, so readers see the old or the new text."""
-    jvm = spark._jvm
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
+    """The first line of a text file, without reading the rest; empty for an empty file."""
     fs, p = _open(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    stream = fs.create(tmp, True)
+    jvm = spark._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), encoding))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
+#: File systems whose rename is atomic. Elsewhere (object stores) a single put is.
+RENAMING = ("file", "hdfs", "viewfs", "abfs", "abfss")
+
+
+def _put(fs, p, text: str, overwrite: bool) -> None:
+    stream = fs.create(p, overwrite)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+
+
+def _place(spark: SparkSession, path: str, text: str, overwrite: bool) -> None:
+    jvm = spark._jvm
+    fs, p = _open(spark, path)
+    if fs.getUri().getScheme() not in RENAMING:
+        _put(fs, p, text, overwrite)
+        return
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    _put(fs, tmp, text, True)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE if overwrite else jvm.org.apache.hadoop.fs.Options.Rename.NONE
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), overwrite)
+    try:
+        context.rename(fs.makeQualified(tmp), fs.makeQualified(p), options)
+    except Exception:
+        fs.delete(tmp, False)
+        raise
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file so that readers see the old or the new text: by rename, or by one put on an object store."""
+    _place(spark, path, text, True)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless it exists; returns whether it was created. Readers never see a part of it.
+
+    On an object store this needs one that refuses to overwrite when asked to.
+    """
+    try:
+        _place(spark, path, text, False)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception) or exists(spark, path):
+            return False
+        raise
+
+
+def files(spark: SparkSession, pattern: str) -> list[str]:
+    """Plain files matching a glob pattern."""
+    fs, p = _open(spark, pattern)
+    return [str(status.getPath().toString()) for status in fs.globStatus(p) or [] if status.isFile()]

@@ -9,6 +9,7 @@ from arriero.operators import dims, facts, integrity, quality
 from arriero.operators.incremental import changed_files, in_processing_window, partition_coverage
 from arriero.plans import fixtures as fx
 from arriero.plans import jobs
+from arriero.sinks import fs
 from arriero.sinks.publish import Publication, insert_in_batches, prune, publish_months, published_months, read_published, read_whole
 from tests.conftest import rows
 
@@ -73,11 +74,11 @@ def test_order_that_moves_month_stops_the_load_untouched(spark, stage, tmp_path)
     root = str(tmp_path / "dw")
     a, b = fx.order_month_list(stage)[:2]
     load(spark, stage, root, a)
-    registry = open(f"{root}/_publicado.json").read()
+    registry = sorted(os.listdir(f"{root}/_cargas"))
     moved = stage.where(F.col("mes") == a).limit(3).withColumn("mes", F.lit(b)).withColumn("id_item", -F.col("id_item") - 1)
     with pytest.raises(RuntimeError, match="otro mes"):
         load(spark, stage.unionByName(moved), root, b)
-    assert open(f"{root}/_publicado.json").read() == registry
+    assert sorted(os.listdir(f"{root}/_cargas")) == registry
     assert published_months(spark, root, "fact_orden_compra") == [a]
 
 
@@ -133,13 +134,59 @@ def test_publication_is_all_or_nothing(spark, tmp_path):
     assert published_months(spark, root, "t") == ["2026-01", "2026-02"]
     publish_months(root, "t", df.where("x = 9"), ["2026-01"], keep_missing=False)
     assert published_months(spark, root, "t") == ["2026-02"]
-    publish_months(root, "t", df.withColumn("x", F.col("x") * 10), ["2026-02"])
+    publish_months(root, "t", df.where("mes = '2026-02'").withColumn("x", F.col("x") * 10), ["2026-02"])
     assert rows(read_published(spark, root, "t", df.schema)) == [(20, "2026-02")]
     assert rows(read_published(spark, root, "t", df.schema, ["2026-01"])) == []
     assert len(prune(spark, root)) == 2 and prune(spark, root) == []
     assert rows(read_published(spark, root, "t", df.schema)) == [(20, "2026-02")] and read_whole(spark, root, "d").count() == 2
 
 
+def test_interleaved_loads_are_both_visible(spark, tmp_path):
+    root = str(tmp_path / "p")
+    df = spark.createDataFrame([(1, "2026-01"), (2, "2026-02")], "x int, mes string")
+    first, second = Publication(spark, root), Publication(spark, root)
+    first.months("t", df.where("x = 1"), ["2026-01"])
+    second.months("t", df.where("x = 2"), ["2026-02"])
+    second.commit()
+    first.commit()
+    assert published_months(spark, root, "t") == ["2026-01", "2026-02"]
+    path = f"{root}/_prueba.json"
+    assert fs.create_text(spark, path, "a") and not fs.create_text(spark, path, "b") and fs.read_text(spark, path) == "a"
+
+
+def test_rows_outside_the_published_months_stop_the_load(spark, tmp_path):
+    df = spark.createDataFrame([(1, "2026-01"), (2, "2026-02"), (3, None)], "x int, mes string")
+    for bad in (df.where("x < 3"), df.where("x != 2")):
+        with pytest.raises(Exception, match="outside the published months"):
+            publish_months(str(tmp_path / "p"), "t", bad, ["2026-01"])
+    assert published_months(spark, str(tmp_path / "p"), "t") == []
+
+
+def test_backfill_equals_the_ascending_loop(spark, stage, tmp_path):
+    loop, once = str(tmp_path / "a"), str(tmp_path / "b")
+    chosen = fx.order_month_list(stage)[:3]
+    for mes in chosen:
+        load(spark, stage, loop, mes)
+    jobs.backfill_months(spark, stage, once, chosen, now(), dims.calendar_dim(spark, "1990-01-01"))
+    for name in ("dim_organismo", "dim_unidad_compra", "dim_proveedor"):
+        a, b = read_whole(spark, loop, name), read_whole(spark, once, name)
+        assert rows(a.select(*sorted(a.columns))) == rows(b.select(*sorted(a.columns))), name
+    for a, b in zip(fact_rows(spark, loop), fact_rows(spark, once)):
+        assert rows(a) == rows(b)
+    with pytest.raises(ValueError):
+        jobs.backfill_months(spark, stage, once, chosen, now())
+
+
+def test_route_codes_are_unique_and_have_a_service(spark):
+    deco = spark.createDataFrame([("T1", "1I"), ("T1", "1I"), ("T2", "2R")], "codigo_usuario string, codigo_ruta string")
+    assert dims.route_dim(deco, now()).count() == 2
+    other = deco.union(spark.createDataFrame([("T9", "1I")], deco.schema))
+    with pytest.raises(Exception, match="route code with different rows"):
+        dims.route_dim(other, now()).collect()
+    services = spark.createDataFrame([("T1",)], "codigo_usuario string")
+    assert rows(dims.route_violations(other, services)) == [("recorrido duplicado", 1), ("recorrido sin servicio", 2)]
+
+
 def test_batches_reach_the_store_complete(spark, tmp_path):
     target = str(tmp_path)
 
@@ -227,9 +274,10 @@ def test_monitoring_job_logs_and_compares_with_the_last_run(spark, stage, tmp_pa
     listing = spark.createDataFrame([(mes, "f", dt.datetime(2026, 1, 1))], "mes string, ruta string, modificado timestamp_ntz")
     first = jobs.monitoring_job(spark, root, months(spark, mes), listing, log, ts("2026-01-01 10:00:00"))
     assert {r.chequeo: r.estado for r in first.collect()} == {"frescura_raw": "ok", "volumen_items": "ok", "items_sin_ordenes": "ok"}
-    second = jobs.monitoring_job(spark, root, months(spark, mes), listing, log, ts("2026-01-05 10:00:00"))
+    for _ in range(2):  # a rerun with the same time replaces its results and alerts
+        second = jobs.monitoring_job(spark, root, months(spark, mes), listing, log, ts("2026-01-05 10:00:00"))
     assert {r.chequeo for r in second.where("estado = 'falla'").collect()} == {"frescura_raw"}
-    alerts = spark.read.parquet(f"{log}/alertas")
+    alerts = spark.read.parquet(f"{log}/alertas").drop("ejecucion")
     (a,) = alerts.collect()
     assert a.mensaje.startswith(f"frescura_raw {mes}: Archivo cargado hace 106.0 h") and a.explicacion is None
     checks = jobs.check_log(spark, log)
