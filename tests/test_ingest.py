@@ -13,7 +13,7 @@ from arriero.sinks import fs
 from arriero.sinks.tables import register_table, replace_partitions
 from arriero.sources.dictionary import read_dictionary_csv
 from arriero.sources.files import file_listing
-from arriero.sources.procurement import ITEM_FIELDS, read_items_csv, read_months, read_orders_json, typed_items, typed_orders
+from arriero.sources.procurement import ITEM_FIELDS, read_items_csv, read_months, read_orders_json, typed_items, typed_items_schema, typed_orders
 from arriero.sources.warehouse import Split, query_options
 from tests.conftest import rows
 
@@ -63,7 +63,7 @@ def test_items_job_masks_and_is_idempotent(spark, raw_root, tmp_path):
     out, sensitive = str(tmp_path / "items"), str(tmp_path / "sensible")
     months = ["2026-07", "2026-08", "2026-09"]
     first = jobs.items_job(spark, raw_root, months, out, sensitive, "clave")
-    assert first == {"2026-07": 3, "2026-08": 2, "2026-09": 0, "personas": 3}
+    assert first == {"2026-07": 3, "2026-08": 2, "2026-09": 0, "personas": 3, "desconocidos": 1}
     before = rows(read_months(spark, out))
     jobs.items_job(spark, raw_root, months, out, sensitive, "clave")
     assert rows(read_months(spark, out)) == before
@@ -94,7 +94,33 @@ def test_orders_from_json(spark, tmp_path):
     assert r.codigo_licitacion is None and r.region_proveedor is None and r.fecha == "2026-09-05"
     assert not any("contacto" in c.lower() for c in typed.columns)
     done = jobs.orders_job(spark, str(path), "2026-09-05", str(tmp_path / "o"), str(tmp_path / "s"), "k")
-    assert done == {"2026-09-05": 1, "personas": 1}
+    assert done == {"2026-09-05": 1, "personas": 1, "desconocidos": 0}
+    jobs.orders_job(spark, str(path), "2026-09-05", str(tmp_path / "o"), str(tmp_path / "s"), "k", "arriero_prueba_ordenes")
+    assert spark.table("arriero_prueba_ordenes").count() == 1
+    spark.sql("DROP TABLE arriero_prueba_ordenes")
+
+
+def test_each_file_is_bound_by_its_own_header(spark, tmp_path):
+    root = tmp_path / "raw"
+    for month, text in (("2026-01", "Codigo;Nombre;IDItem\na;x;1\n"), ("2026-02", "IDItem;Nombre;Codigo\n2;y;b\n"), ("2026-03", "Extra;Codigo;IDItem\nz;c;3\n")):
+        os.makedirs(root / f"mes={month}")
+        (root / f"mes={month}" / "f.csv").write_text(text, encoding="ISO-8859-1")
+    got = read_items_csv(spark, str(root)).select("mes", "IDItem", "Codigo", "Nombre")
+    assert rows(got.select(F.col("mes").cast("string"), "IDItem", "Codigo", "Nombre")) == [
+        ("2026-01", "1", "a", "x"), ("2026-02", "2", "b", "y"), ("2026-03", "3", "c", None)]
+
+
+def test_unknown_ids_are_counted_and_may_be_masked_by_the_job(spark, raw_root, tmp_path):
+    months = ["2026-07", "2026-08"]
+    done = jobs.items_job(spark, raw_root, months, str(tmp_path / "o"), str(tmp_path / "s"), "k", on_unknown="mask")
+    assert done["desconocidos"] == 1
+    assert read_months(spark, str(tmp_path / "o"), ["2026-08"]).where("nombre_proveedor = 'PERSONA NATURAL'").count() == 2
+
+
+def test_a_table_that_does_not_exist_yet_has_no_months(spark, tmp_path):
+    schema = typed_items_schema(spark)
+    assert read_months(spark, str(tmp_path / "none"), ["2026-01"], schema=schema).count() == 0
+    assert jobs.load_months(spark, str(tmp_path / "none"), str(tmp_path / "dw"), ["2026-01"], F.lit("2026-01-01").cast("timestamp")) == {"2026-01": None}
 
 
 def test_unknown_ids_keep_or_mask(spark):
