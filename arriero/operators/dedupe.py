@@ -34,7 +34,14 @@ def _first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
     return keep_top(df, keys, order, 1, "_rn").drop("_rn")
 
 
-def representative(df: DataFrame, key: str, attributes: Sequence[str], any_true: Sequence[str] = ()) -> DataFrame:
-    """One row per non-null key with ``max`` of each attribute and ``bool_or`` of each flag."""
+def representative(df: DataFrame, key: str | Sequence[str], attributes: Sequence[str], any_true: Sequence[str] = ()) -> DataFrame:
+    """One row per non-null key with ``max`` of each attribute and ``bool_or`` of each flag.
+
+    Rows are first counted per distinct combination, an aggregate whose buffer is a number and so stays in the hash path; the
+    maxima of texts, which Spark takes by sorting, then see the few combinations only.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    present = df.where(F.col(keys[0]).isNotNull())
+    combined = present.groupBy(*keys, *[c for c in [*attributes, *any_true] if c not in keys]).agg(F.count(F.lit(1)).alias("_n"))
     aggs = [F.max(c).alias(c) for c in attributes] + [F.bool_or(c).alias(c) for c in any_true]
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    return combined.groupBy(*keys).agg(*aggs, F.sum("_n").alias("_n")).where(F.col("_n") > 0).drop("_n")

@@ -145,9 +145,13 @@ def measure_over_time(checks: DataFrame, check: str = VOLUME) -> DataFrame:
     ).orderBy("time")
 
 
-def alert_feed(alerts: DataFrame, checks: DataFrame, n: int = 20) -> DataFrame:
-    """The newest alerts with the name of their check and a default explanation."""
-    named = alerts.join(checks.select("chequeo_id", "chequeo"), "chequeo_id")
-    return named.orderBy(F.col("creada_en").desc(), F.col("alerta_id").desc()).limit(n).select(
+def alert_feed(alerts: DataFrame, checks: DataFrame, n: int = 20, verify: bool = False) -> DataFrame:
+    """The newest alerts with the name of their check and a default explanation; only those few are joined with the log.
+
+    ``verify`` first drops alerts whose check is not in the log, which the foreign key of the log otherwise rules out.
+    """
+    newest = [F.col("creada_en").desc(), F.col("alerta_id").desc()]
+    few = alerts.join(checks.select("chequeo_id"), "chequeo_id", "left_semi") if verify else alerts
+    return few.orderBy(*newest).limit(n).join(checks.select("chequeo_id", "chequeo"), "chequeo_id").orderBy(*newest).select(
         "creada_en", "chequeo", "mensaje", F.coalesce("explicacion", F.lit(NO_EXPLANATION)).alias("explicacion")
     )

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from arriero.operators.dedupe import keep_top
 
-MAX_ALERTS, MAX_VEHICLES = 100, 500
+# Output fields of the read interface and its default limits.
+DEFAULT_ALERTS, DEFAULT_VEHICLES = 20, 100
 VEHICLE_COLUMNS = ["patente", "latitud", "longitud", "velocidad", "sentido", "ruta_sinoptico", "fecha_gps"]
 
 
-def _limit(n: int, ceiling: int) -> int:
+def _limit(n: int) -> int:
     if n < 1:
         raise ValueError("the limit must be at least 1")
-    return min(n, ceiling)
+    return n
 
 
 def latest_month(documents: DataFrame) -> Column:
@@ -28,22 +29,24 @@ def entity_summary(documents: DataFrame, codigo: str | None = None, mes: str | N
     return found if codigo is None else found.where(F.col("codigo_organismo") == codigo)
 
 
-def concentration_alerts(documents: DataFrame, mes: str | None = None, hhi_min: int = 2500, limite: int = 20) -> DataFrame:
+def concentration_alerts(documents: DataFrame, mes: str | None = None, hhi_min: int = 2500, limite: int | None = None) -> DataFrame:
     """Agencies at or above the HHI threshold, most concentrated first, each with its leading supplier only.
 
-    With ``mes`` the result is that month's top ``limite``; without it, every month's.
+    With ``mes`` the result is that month's first ``limite`` (``DEFAULT_ALERTS`` unless given). Without it, all alerts of every
+    month, or the first ``limite`` of each where one is asked for.
     """
-    n = _limit(limite, MAX_ALERTS)
     order = [F.col("hhi").desc(), F.col("monto_clp").desc(), F.col("codigo_organismo").asc()]
     hits = documents.where(F.col("hhi") >= hhi_min).withColumn(
         "principales_proveedores", F.slice("principales_proveedores", 1, 1)
     )
     if mes is not None:
-        return hits.where(F.col("mes") == mes).orderBy(*order).limit(n)
-    return keep_top(hits, ["mes"], order, n, "posicion_alerta")
+        return hits.where(F.col("mes") == mes).orderBy(*order).limit(_limit(DEFAULT_ALERTS if limite is None else limite))
+    if limite is None:
+        return hits.orderBy("mes", *order)
+    return keep_top(hits, ["mes"], order, _limit(limite), "posicion_alerta")
 
 
-def active_by_service(state: DataFrame, servicio: str, sentido: str | None = None, limite: int = 100) -> DataFrame:
+def active_by_service(state: DataFrame, servicio: str, sentido: str | None = None, limite: int = DEFAULT_VEHICLES) -> DataFrame:
     """Newest vehicles of a service with the number of active ones before the limit."""
     if sentido not in (None, "I", "R"):
         raise ValueError("sentido must be I or R")
@@ -51,15 +54,20 @@ def active_by_service(state: DataFrame, servicio: str, sentido: str | None = Non
     if sentido:
         running = running.where(F.col("sentido") == sentido)
     total = running.agg(F.count(F.lit(1))).scalar()
-    newest = running.orderBy(F.col("fecha_gps").desc(), F.col("patente").asc()).limit(_limit(limite, MAX_VEHICLES))
+    newest = running.orderBy(F.col("fecha_gps").desc(), F.col("patente").asc()).limit(_limit(limite))
     return newest.select(F.lit(servicio).alias("servicio"), total.alias("buses_activos"), *VEHICLE_COLUMNS)
 
 
-def active_by_every_service(state: DataFrame, limite: int = 100) -> DataFrame:
-    """``active_by_service`` for all services in one pass: the newest vehicles of each and its total."""
+def active_by_every_service(state: DataFrame, limite: int | None = None) -> DataFrame:
+    """``active_by_service`` for all services in one pass: the vehicles of each and its total.
+
+    All vehicles, or the newest ``limite`` of each service, numbered, where a limit is asked for.
+    """
     totals = state.groupBy("servicio").agg(F.count(F.lit(1)).alias("buses_activos"))
+    if limite is None:
+        return state.join(totals, "servicio").select("servicio", "buses_activos", *VEHICLE_COLUMNS)
     order = [F.col("fecha_gps").desc(), F.col("patente").asc()]
-    newest = keep_top(state, ["servicio"], order, _limit(limite, MAX_VEHICLES), "posicion")
+    newest = keep_top(state, ["servicio"], order, _limit(limite), "posicion")
     return newest.join(totals, "servicio").select("servicio", "buses_activos", "posicion", *VEHICLE_COLUMNS)
 
 

@@ -342,17 +342,14 @@ ORACLE: dict[str, str] = {
     "spend_concentration_star": _with(SUMMARY, "SELECT * FROM summary"),
     "entity_documents": _with(SUMMARY, EXPLODED),
     "publish_documents": _with(SUMMARY, EXPLODED),
-    "warehouse_months": _with(
-        SUMMARY.replace("strftime(o_orderdate, '%Y-%m') AS mes",
-                        "CASE WHEN o_orderdate < TIMESTAMP '1998-07-01' THEN '1992-01' ELSE '1998-07' END AS mes"), EXPLODED),
+    "warehouse_months": _with(SUMMARY, EXPLODED),
     "hhi_by_entity": _with(SUMMARY, "SELECT mes, codigo_organismo, proveedores, hhi FROM summary WHERE posicion = 1"),
     "flagged_spend_share": _with(SUMMARY, """
         SELECT mes, codigo_organismo, CAST(directo AS DOUBLE) AS monto_trato_directo_clp, CAST(agil AS DOUBLE) AS monto_compra_agil_clp,
                round(100 * CAST(directo AS DOUBLE) / CAST(total AS DOUBLE), 2) AS pct_monto_trato_directo,
                round(100 * CAST(agil AS DOUBLE) / CAST(total AS DOUBLE), 2) AS pct_monto_compra_agil
         FROM shared WHERE posicion = 1"""),
-    "concentration_alerts": _with(ALERTED, EXPLODED.replace("FROM summary", ", posicion_alerta FROM summary JOIN ranked USING (mes, codigo_organismo)")
-                                  + " WHERE posicion = 1 AND posicion_alerta <= 20"),
+    "concentration_alerts": _with(ALERTED, EXPLODED.replace("FROM summary", "FROM summary JOIN ranked USING (mes, codigo_organismo)") + " WHERE posicion = 1"),
     "entity_summary_latest": _with(SUMMARY, EXPLODED + " WHERE mes = (SELECT max(mes) FROM summary)"),
     "dedupe_latest_item": _with(LINES, """
         SELECT id_item, codigo, codigo_proveedor, strftime(fecha_ultima_modificacion, '%Y-%m-%d') AS fecha_ultima_modificacion,
@@ -523,9 +520,8 @@ ORACLE: dict[str, str] = {
         FROM state WHERE servicio = 'error' AND sentido = 'I' ORDER BY fecha_gps DESC, patente LIMIT 25"""),
     "active_by_every_service": _with(FIELDS, """
         SELECT servicio, count(*) OVER (PARTITION BY servicio) AS buses_activos,
-               CAST(row_number() OVER (PARTITION BY servicio ORDER BY fecha_gps DESC, patente) AS INTEGER) AS posicion,
                patente, latitud, longitud, velocidad, sentido, ruta_sinoptico, fecha_gps
-        FROM state QUALIFY posicion <= 100"""),
+        FROM state"""),
     "speed_class": """
         SELECT event_id, CASE WHEN event_id % 9 = 0 OR value = 0 THEN 'detenido' WHEN value < 20 THEN 'menos de 20 km/h' ELSE '20 km/h o más' END AS clase
         FROM events""",
@@ -549,3 +545,16 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'recorridos', count(*) FROM routes
         UNION ALL SELECT 'sin sentido', count(*) FROM routes WHERE sentido IS NULL"""),
 }
+
+ORACLE["stream_restart_state"] = ORACLE["stream_latest_state"]
+ORACLE["typed_items_mixed_headers"] = ORACLE["typed_items_roundtrip"]
+ORACLE["stream_both_outputs"] = """
+    WITH last AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+    vig AS (SELECT strftime(ts, '%Y-%m-%d') AS fecha, strftime(ts, '%H') AS hora, count(*) AS vigentes FROM last GROUP BY 1, 2)
+    SELECT strftime(ts, '%Y-%m-%d') AS fecha, strftime(ts, '%H') AS hora, count(*) AS registros, any_value(coalesce(vigentes, 0)) AS vigentes
+    FROM events LEFT JOIN vig ON fecha = strftime(ts, '%Y-%m-%d') AND hora = strftime(ts, '%H') GROUP BY 1, 2"""
+ORACLE["position_pipeline"] = _with(FIELDS, """
+    SELECT patente, fecha_gps, latitud, longitud, velocidad, servicio, count(*) OVER (PARTITION BY patente) AS registros
+    FROM fresh_positions QUALIFY row_number() OVER (PARTITION BY patente ORDER BY gps DESC, latitud DESC, longitud DESC, velocidad DESC, servicio DESC) = 1""")
+
+ORACLE["orders_job_table"] = "SELECT codigo, codigo_organismo, codigo_proveedor, total, '2024-01-31' AS fecha FROM (" + ORACLE["typed_orders_nested"] + ")"

@@ -186,6 +186,29 @@ def person_dictionary_job(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.read_months(spark, f"{base}/sensible").select("mes", "token_proveedor", "rut_proveedor", "nombre_proveedor")
 
 
+@register
+def typed_items_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Bulk files whose months differ in column order, with an extra column or without an optional one."""
+    raw = fx.raw_items(spark, sf)
+    root = f"{scratch_dir(spark, 'mixto')}/items"
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
+    month = F.substring("mes", 6, 2).cast("int") % 3
+    shapes = [raw.columns, list(reversed(raw.columns)), ["Extra", *[c for c in raw.columns if c != "Estado"]]]
+    for i, columns in enumerate(shapes):
+        part = raw.withColumn("Extra", F.lit("sobra")).where(month == i).select(*columns)
+        part.hint("rebalance", "mes").write.mode("append").options(**options, emptyValue="").partitionBy("mes").csv(root)
+    return plain(typed_items(read_items_csv(spark, root)).select(*ITEM_OUTPUT))
+
+
+@register
+def orders_job_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders job: nested files to a masked partition, registered in the catalog and read through it."""
+    base = scratch_dir(spark, "ordenes")
+    fx.raw_orders(spark, sf).write.option("encoding", "UTF-8").text(f"{base}/crudo")
+    jobs.orders_job(spark, f"{base}/crudo", "2024-01-31", f"{base}/ordenes", f"{base}/sensible", PERSON_KEY, "arriero_ordenes")
+    return plain(spark.table("arriero_ordenes").select("codigo", "codigo_organismo", "codigo_proveedor", "total", "fecha"))
+
+
 @register
 def comma_decimal_parse(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("c_custkey")
@@ -326,16 +349,13 @@ def month_replace(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def warehouse_months(spark: SparkSession, sf: str) -> DataFrame:
-    """The star loaded in two periods through the publication registry, then summarised and published as documents."""
+    """The star of all months in one load through the publication registry, then summarised and published as documents."""
     base = scratch_dir(spark, "bodega")
-    period = F.when(F.col("mes") < fx.SECOND_LOAD_FROM, "1992-01").otherwise(fx.SECOND_LOAD_FROM)
-    stage = fx.stage(spark, sf).withColumn("mes", period)
-    stage = stage.withColumn("rut_unidad", F.lit(None).cast("string")).withColumn("actividad_proveedor", F.lit(None).cast("string"))
+    stage = fx.stage(spark, sf).withColumn("rut_unidad", F.lit(None).cast("string")).withColumn("actividad_proveedor", F.lit(None).cast("string"))
     stage = fx.written(stage, "stage", "mes")
-    loads = ["1992-01", fx.SECOND_LOAD_FROM]
-    for mes in loads:
-        jobs.warehouse_job(spark, stage, base, mes, moment(LOAD_1, "timestamp"), calendar=dims.calendar_dim(spark, "1990-01-01"))
-    jobs.summary_job(spark, base, loads, f"{base}/api")
+    months = fx.order_month_list(stage)
+    jobs.backfill_months(spark, stage, base, months, moment(LOAD_1, "timestamp"), calendar=dims.calendar_dim(spark, "1990-01-01"))
+    jobs.summary_job(spark, base, months, f"{base}/api")
     return exploded(jobs.read_documents(spark, f"{base}/api"))
 
 
@@ -396,8 +416,8 @@ def failed_checks_24h(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pending_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders of one status only, so some months have items but no order."""
-    return fx.order_headers(spark, sf).where(F.col("tipo") == "P")
+    """All orders, of which only those of one status know their month, so some months have items but no order."""
+    return fx.order_headers(spark, sf).withColumn("mes", F.when(F.col("tipo") == "P", F.col("mes")))
 
 
 @register
@@ -455,9 +475,10 @@ def integrity_suite(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def integrity_raw_layer(spark: SparkSession, sf: str) -> DataFrame:
-    """Rules broken by item versions that were not deduplicated, against the suppliers of the first nations."""
+    """Rules broken by item versions that were not deduplicated, against suppliers of which those of the last nations have another code."""
     lines = fx.item_lines(spark, sf)
-    some = fx.table(spark, sf, "supplier").where(F.col("s_nationkey") < 20).select(F.col("s_suppkey").cast("string").alias("codigo_proveedor"))
+    code = F.col("s_suppkey").cast("string")
+    some = fx.table(spark, sf, "supplier").select(F.when(F.col("s_nationkey") < 20, code).otherwise(F.concat(F.lit("baja-"), code)).alias("codigo_proveedor"))
     return (
         integrity.duplicates(lines, ["id_item"], "item duplicado")
         .unionByName(integrity.orphans(lines, {"item sin proveedor": ("codigo_proveedor", some, "codigo_proveedor")}))
@@ -544,7 +565,43 @@ def stream_latest_state(spark: SparkSession, sf: str) -> DataFrame:
     """Newest event per user kept by the snapshot merge."""
     base = scratch_dir(spark, "estado")
     stream.latest_state(_event_stream(spark, sf), f"{base}/t", f"{base}/cp", ["user_id"], ["ts", "event_id"]).awaitTermination()
-    return plain(stream.current_snapshot(spark, f"{base}/t"))
+    return plain(stream.current_snapshot(spark, f"{base}/t").drop("cubeta"))
+
+
+@register
+def stream_restart_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Two streams with checkpoints of their own feed one table; the second starts its batch numbers again."""
+    base = scratch_dir(spark, "reinicio")
+    for i, rows in enumerate((fx.table(spark, sf, "events").where("event_id % 3 = 0"), fx.table(spark, sf, "events").where("event_id % 3 != 0"))):
+        rows.write.parquet(f"{base}/in{i}")
+        source = stream.read_stream(spark, f"{base}/in{i}", rows.schema)
+        stream.latest_state(source, f"{base}/t", f"{base}/cp{i}", ["user_id"], ["ts", "event_id"]).awaitTermination()
+    return plain(stream.current_snapshot(spark, f"{base}/t").drop("cubeta"))
+
+
+@register
+def stream_both_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of the history and vehicles of the snapshot per hour, from one stream."""
+    base = scratch_dir(spark, "ambas")
+    stream.both_outputs(_event_stream(spark, sf), f"{base}/t", f"{base}/h", f"{base}/cp", ["user_id"], ["ts", "event_id"], at=F.col("ts")).awaitTermination()
+    history = spark.read.schema("event_id bigint, fecha string, hora string").json(f"{base}/h").groupBy("fecha", "hora").agg(F.count(F.lit(1)).alias("registros"))
+    state = stream.current_snapshot(spark, f"{base}/t").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("fecha"), F.date_format("ts", "HH").alias("hora")).agg(
+        F.count(F.lit(1)).alias("vigentes"))
+    return history.join(state, ["fecha", "hora"], "left").fillna(0, ["vigentes"])
+
+
+@register
+def position_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Payload files to records, positions, keyed messages, decoded again by a stream into the state and the history."""
+    base = scratch_dir(spark, "posiciones")
+    fx.position_records(spark, sf).groupBy(F.col("consulta").alias("fecha_consulta")).agg(F.collect_list("registro").alias("posiciones")).write.json(f"{base}/respuestas")
+    answers = spark.read.schema(pos.PAYLOAD_SCHEMA).json(f"{base}/respuestas")
+    records = pos.explode_payload(answers).withColumn("ahora", F.to_timestamp_ntz("consulta", F.lit("yyyyMMddHHmmss")))
+    pos.publish_messages(pos.keyed_messages(pos.parse_positions(records, F.col("ahora"))), "parquet", {"path": f"{base}/mensajes"})
+    decoded = pos.decode_messages(stream.read_stream(spark, f"{base}/mensajes", "key string, value string"))
+    stream.both_outputs(decoded, f"{base}/t", f"{base}/h", f"{base}/cp", ["patente"], ["gps", "latitud", "longitud", "velocidad", "servicio"], at=F.col("gps")).awaitTermination()
+    history = spark.read.schema("patente string").json(f"{base}/h").groupBy("patente").agg(F.count(F.lit(1)).alias("registros"))
+    return stream.current_snapshot(spark, f"{base}/t").join(history, "patente").select("patente", "fecha_gps", "latitud", "longitud", "velocidad", "servicio", "registros")
 
 
 @register
@@ -553,7 +610,7 @@ def stream_latest_updates(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "cambios")
     newest = stream.latest_updates(_event_stream(spark, sf), ["user_id"], ["ts", "event_id"])
     stream.write_updates(newest, f"{base}/t", f"{base}/cp").awaitTermination()
-    return plain(keep_latest(spark.read.parquet(f"{base}/t"), ["user_id"], ["lote"]).drop("lote"))
+    return plain(stream.read_updates(spark, f"{base}/t", ["user_id"], ["ts", "event_id"]))
 
 
 @register
