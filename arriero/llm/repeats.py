@@ -77,6 +77,8 @@ def _anchors(length: int):
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``text`` sorted by their first ``depth`` bytes or more, equal ones by position (Larsson-Sadakane).
 
+    The text ends with a byte other than 0, which here is the separator.
+
     Suffixes start sorted by eight bytes. Each round doubles the sorted length, touching only groups that are still tied: a
     member's key is the rank of the suffix that far behind it.
     """
@@ -115,13 +117,13 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
 def common_prefixes(text: np.ndarray, order: np.ndarray, enough: int) -> np.ndarray:
     """For each position the bytes it shares with its predecessor in ``order``, exact below ``enough`` and at least that otherwise.
 
-    Kasai's rule in text order: while both positions of a pair move on by one, the common prefix shrinks by one. Only the heads of
+    Kasai's rule in text order: while both positions of a pair move on over equal bytes, the common prefix shrinks by one. Only the heads of
     such chains are compared, eight bytes at a time.
     """
     n = len(text)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    head = np.concatenate(([True], before[1:] != before[:-1] + 1)) | (before < 0)
+    head = np.concatenate(([True], (before[1:] != before[:-1] + 1) | (before[:-1] < 0) | (text[:-1] != text[before[1:] - 1]))) | (before < 0)
     heads = np.flatnonzero(head)
     chain = np.diff(np.concatenate((heads, [n])))
     need = chain + enough
@@ -139,7 +141,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, enough: int) -> np.ndar
         if len(differ):
             i, s = heads[differ], shared[differ]
             gap = word[np.minimum(i + s, n)] ^ word[np.minimum(before[i] + s, n)]
-            shared[differ] += 7 - (np.log2(gap.astype(np.float64)) // 8).astype(np.int64).clip(0, 7)
+            shared[differ] += sum((gap < np.uint64(1 << (8 * k))).astype(np.int64) for k in range(1, 8))  # leading bytes that agree
         active = active[same]
         shared[active] += 8
         active = active[shared[active] < need[active]]
