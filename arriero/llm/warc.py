@@ -78,6 +78,12 @@ _RECORD = "kind string, file string, start long, seq long, page_id long, record_
 _NAMES = [c.split(" ")[0] for c in _RECORD.split(", ")]
 
 
+def _rows(records: list[dict]) -> pd.DataFrame:
+    """Records as rows; columns that no record fills stay untyped nulls rather than numbers."""
+    whole = ("payload_bytes", "page_id", "refers_to", "start", "seq")
+    return pd.DataFrame(records, columns=_NAMES).astype({c: "Int64" if c in whole else object for c in _NAMES})
+
+
 def _number(text: str | None) -> int | None:
     tail = (text or "").rstrip(">").rpartition(":")[2]
     return int(tail) if tail.lstrip("-").isdigit() else None
@@ -111,39 +117,53 @@ def _begin(data: bytes):
 
 
 def _pieces(with_payload: bool):
+    """Members from the pieces between magics, range by range. What no member of the range claims leaves as a tail (a member begun
+    here that goes on behind the range) or an orphan (a piece that may belong to a member begun before it)."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, seq, state, raw = None, 0, None, b""
+        where, seq, begun, state, raw = None, 0, 0, None, b""
+
+        def left() -> dict:
+            return {"kind": "tail" if state[1] else "orphan", "file": where[0], "start": where[1], "seq": begun, "rest": raw}
+
         for pdf in batches:
             out: list[dict] = []
             for file, start, piece in zip(pdf.file, pdf.start, pdf.piece):
                 if (file, start) != where:
                     if state:
-                        out.append({"kind": "tail", "file": where[0], "start": where[1], "seq": seq, "rest": raw})
+                        out.append(left())
                     where, seq, state, raw = (file, start), 0, None, b""
                     if start == 0:  # what stands before a file's first magic
                         continue
                 seq += 1
                 data = MAGIC + piece
-                if state:
+                if state and not state[1]:  # begun without a byte of content yet: a piece that surely begins a record comes first
+                    alone = _begin(data)
+                    if alone and alone[1]:
+                        out.append(left())
+                        state, raw, begun = alone, data, seq
+                        data = None
+                if state and data is not None:
                     try:
                         more = state[0].decompress(data)
                         state, raw = (state[0], state[1] + more), raw + data
-                    except zlib.error:  # the member before was cut short: start anew here
-                        out.append({"kind": "broken", "file": file, "start": start, "seq": seq, "rest": None})
+                        data = None
+                    except zlib.error:  # a member cut short, or no member at all
+                        out.append({**left(), "kind": "broken" if state[1] else "orphan"})
                         state = None
                 if not state:
-                    state, raw = _begin(data), data
+                    state, raw, begun = _begin(data), data, seq
                     if not state:
                         out.append({"kind": "orphan", "file": file, "start": start, "seq": seq, "rest": data})
                         continue
                 if state[0].eof:
                     record = parse(state[1], with_payload)
                     if record:
-                        out.append({**record, "file": file, "start": start, "seq": seq})
+                        out.append({**record, "file": file, "start": start, "seq": begun})
                     state = None
-            yield pd.DataFrame(out, columns=_NAMES).astype({"payload_bytes": "Int64", "page_id": "Int64", "refers_to": "Int64"})
+            yield _rows(out)
         if state:
-            yield pd.DataFrame([{"kind": "tail", "file": where[0], "start": where[1], "seq": seq, "rest": raw}], columns=_NAMES)
+            yield _rows([left()])
 
     return run
 
@@ -154,23 +174,18 @@ def _rejoined(with_payload: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out, held, first = [], None, None
         for row in pdf.sort_values(["start", "seq"], kind="stable").itertuples():
-            if row.kind == "tail":
-                held, first = row.rest, row
-                continue
-            if held is None:
-                continue
-            held += row.rest
-            inflater = zlib.decompressobj(31)
-            try:
-                data = inflater.decompress(held)
-            except zlib.error:
+            if row.kind == "tail" or held is None:
+                held, first = bytes(row.rest), row
+            else:
+                held += bytes(row.rest)
+            state = _begin(held)
+            if state is None:
                 held = None
-                continue
-            if inflater.eof:
-                record, held = parse(data, with_payload), None
+            elif state[0].eof:
+                record, held = parse(state[1], with_payload), None
                 if record:
                     out.append({**record, "file": first.file, "start": first.start, "seq": first.seq})
-        return pd.DataFrame(out, columns=_NAMES).astype({"payload_bytes": "Int64", "page_id": "Int64", "refers_to": "Int64"})
+        return _rows(out)
 
     return run
 
