@@ -67,7 +67,9 @@ def corpus_statistics(docs: DataFrame, words: int = DICTIONARY, least: int = LEA
             for _, _, data, offsets in chunks(batch.column("text")):
                 low = LOWER[data]
                 kind = _CLASS[low]
-                pairs += np.bincount(kind[:-1] * 37 + kind[1:], minlength=37 * 37)
+                inner = np.ones(max(len(kind) - 1, 0), bool)
+                inner[offsets[(offsets > 0) & (offsets < len(kind))] - 1] = False  # not across two texts
+                pairs += np.bincount((kind[:-1] * 37 + kind[1:])[inner], minlength=37 * 37)
                 starts, ends, _ = word_spans(data, offsets)
                 size = ends - starts
                 at, size = starts[(size >= 4) & (size <= 6)], size[(size >= 4) & (size <= 6)]
