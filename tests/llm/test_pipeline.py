@@ -1,0 +1,88 @@
+import subprocess
+import sys
+from pathlib import Path
+
+import corpus_pipeline
+from arriero.llm import near_dup
+from pyspark.sql import functions as F
+from tests.llm.helpers import LOWER, edge_docs, empty_docs
+from tests.llm.test_mixing import fill
+from tests.llm.test_near_dup import brute
+
+import re
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages_take_effect_on_their_own_input(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").cache()
+    step = dict(corpus_pipeline.STAGES)
+    assert list(step) == ["toxicity", "minhash_near_dedup", "benchmark_decontamination", "secret_scan", "mixing"]
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+
+    clean = step["toxicity"](spark, docs, sf).cache()
+    kept = {r.doc_id for r in clean.collect()}
+    assert clean.columns == COLUMNS and sum(i in kept for i, t in labels.items() if t == 0) >= .98 * sum(t == 0 for t in labels.values())
+
+    single = step["minhash_near_dedup"](spark, docs, sf)
+    want = {i for i, _, c, _ in brute([(r.doc_id, r.text) for r in docs.collect()]) if i == c}
+    assert single.columns == COLUMNS and {r.doc_id for r in single.collect()} == want and single.count() == len(want)
+
+    items = [re.findall(r"\w+", r.text.translate(LOWER).lower()) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    grams = {tuple(q[k:k + 13]) for q in items for k in range(len(q) - 12)}
+    holds = lambda t: any(tuple(w[k:k + 13]) in grams for w in [re.findall(r"\w+", t.lower())] for k in range(len(w) - 12))
+    free = step["benchmark_decontamination"](spark, docs, sf)
+    assert free.columns == COLUMNS and {r.doc_id for r in free.collect()} == {r.doc_id for r in docs.collect() if not holds(r.text)}
+
+    masked = step["secret_scan"](spark, docs, sf)
+    assert masked.columns == COLUMNS and masked.count() == docs.count()
+    assert masked.where(F.col("text").rlike('(?i)token = "[0-9a-f]{40}"')).count() == 0
+    assert masked.where("n_chars != length(text)").count() == 0
+    changed = masked.join(docs.select(F.col("doc_id").alias("d"), F.col("text").alias("t")), F.col("doc_id") == F.col("d")).where("text != t")
+    assert changed.where(~F.col("t").rlike("[A-Za-z0-9+/_=-]{12,}")).count() == 0
+
+    mixed = step["mixing"](spark, docs, sf).collect()
+    sizes = {}
+    for r in docs.collect():
+        sizes[r.source] = sizes.get(r.source, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+    want = fill(sizes)
+    assert len(mixed) == docs.count() and abs(sum(r.target * r.size / r.source_size for r in mixed if r.size) - sum(want.values())) < 1
+
+
+def test_run_applies_the_stages_in_order(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, sf), "prueba")
+    assert sorted(map(tuple, corpus_pipeline.run(spark, sf).collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_edge_rows_pass_through_every_stage(spark, sf):
+    for docs in (edge_docs(spark), empty_docs(spark)):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = corpus_pipeline.written(stage(spark, docs, sf), name)
+            assert docs.columns == columns, name
+        rest = corpus_pipeline.mix_sources(spark, docs, sf)
+        assert rest.count() == docs.count()
+
+
+def test_a_repeated_id_stays_once(spark):
+    docs = edge_docs(spark)
+    ids = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    own = [i for i in ids if i is not None]
+    assert len(own) == len(set(own)) and None in ids
+    kept = {r.doc_id for r in near_dup.near_duplicates(docs).where("kept").collect()}
+    assert set(ids) == kept
+
+
+def test_the_rest_works_without_this_subpackage(tmp_path):
+    """A copy of the repository without the folders and the pipeline still imports, with the other queries."""
+    repo = Path(corpus_pipeline.__file__).resolve().parent
+    code = ("import shutil, sys\n"
+            f"shutil.copytree({str(repo / 'arriero')!r}, {str(tmp_path / 'arriero')!r}, ignore=shutil.ignore_patterns('llm', '__pycache__'))\n"
+            f"shutil.copy({str(repo / '__spark_entry__.py')!r}, {str(tmp_path)!r})\n"
+            f"sys.path[:] = [{str(tmp_path)!r}] + [p for p in sys.path if p not in ('', {str(repo)!r})]\n"
+            "import __spark_entry__ as e\n"
+            "assert not any(q.startswith('op') and '_' in q and q[2].isdigit() or q == 'pipeline' for q in e.queries()) and len(e.queries()) > 60\n")
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr

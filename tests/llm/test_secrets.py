@@ -1,0 +1,90 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from arriero.llm import secrets
+from tests.llm.helpers import edge_docs, empty_docs, frame
+
+HEXA = "3f2a9b47c1d0e8f65a7b9c0d1e2f3a4b5c6d7e8f"
+
+
+def corpus(spark, n=200):
+    rng = random.Random(9)
+    alphabet = ["the", "river", "house", "green", "walks", "slowly", "under", "bridge", "stone", "paper", "water", "light", "every", "morning"]
+    return frame(spark, [(i, " ".join(rng.choice(alphabet) for _ in range(rng.randint(20, 80))), "en", "s") for i in range(n)])
+
+
+def test_planted_secrets_are_told_from_look_alikes(spark):
+    docs = corpus(spark)
+    model = secrets.fit(docs)
+    held = corpus(spark, 120).toPandas()
+    rows, want = [], []
+    for i, text in zip(held.doc_id, held.text):
+        line, a, b, label = secrets.plant(text, np.random.default_rng([99, i]))
+        rows.append((i, line, "en", "s"))
+        want.append((i, a, b, label))
+    found = secrets.scan(frame(spark, rows), model).collect()
+    told = lambda i, a, b: any(r.doc_id == i and r.start < b and r.end > a and r.secret for r in found)
+    hit = [told(i, a, b) == bool(label) for i, a, b, label in want]
+    assert np.mean(hit) > .95, [rows[k][1][max(0, want[k][1] - 25):want[k][2] + 5] for k in range(len(hit)) if not hit[k]]
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_redaction_masks_the_secret_alone(spark):
+    docs = corpus(spark)
+    model = secrets.fit(docs)
+    text = f'walks under token = "{HEXA}" the river, commit {HEXA} in every morning'
+    got = secrets.redact(frame(spark, [(1, text, "en", "s"), (2, None, "en", "s"), (3, "", "en", "s")]), model)
+    assert {r.doc_id: r.text for r in got.collect()} == {1: text.replace(HEXA, "<secret>", 1), 2: None, 3: ""}
+    assert got.columns == docs.columns
+
+
+def test_edge_rows(spark):
+    model = secrets.fit(corpus(spark, 60))
+    got = secrets.scan(edge_docs(spark), model)
+    assert got.where("score is null or end - start < 12").count() == 0
+    assert secrets.redact(edge_docs(spark), model).count() == edge_docs(spark).count()
+    assert secrets.scan(empty_docs(spark), model).collect() == [] and secrets.redact(empty_docs(spark), model).collect() == []
+    twice = frame(spark, [(1, f'token = "{HEXA}"', "en", "s")] * 2 + [(None, f'token = "{HEXA}"', "en", "s")])
+    assert secrets.scan(twice, model).count() == 3
+
+
+def test_nothing_to_learn_from(spark):
+    model = secrets.fit(empty_docs(spark))
+    assert {r.score for r in secrets.scan(frame(spark, [(1, f'token = "{HEXA}"', "en", "s")]), model).collect()} == {0.0}
+
+
+def test_reviewed_findings_train_the_forest(spark):
+    """With findings in which only words before decide, the forest follows them."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(200):
+        value = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        head = 'token = "' if k % 2 else "commit "
+        rows.append((head + value + '" x', len(head), len(head) + 40, k % 2))
+    model = secrets.fit(corpus(spark, 30), spark.createDataFrame(rows, "text string, start int, end int, label int"))
+    got = secrets.scan(frame(spark, [(1, f'a token = "{HEXA}" b', "en", "s"), (2, f"a commit {HEXA} b", "en", "s")]), model)
+    assert {r.doc_id: r.secret for r in got.collect()} == {1: True, 2: False}
+
+
+def test_statistics_cover_all_words(spark):
+    stats = secrets.corpus_statistics(frame(spark, [(1, "river river stone abc abcdefg", "en", "s"), (2, "RIVER x", "en", "s"), (3, None, "en", "s")]), least=2)
+    assert stats.words == {"river"}
+    r, i = 18, 9
+    assert stats.pairs[r, i] > stats.pairs[r, 5]
+    assert secrets.corpus_statistics(empty_docs(spark)).words == frozenset()
+
+
+def test_candidates():
+    cut = lambda t: [t[a:b] for a, b in secrets.candidates(t)]
+    assert cut(f"see {HEXA}.") == [HEXA] and cut("no candidates hereeeeeeeeeeeeeeeeeeeeeeee") == []
+    assert cut("password=Hunter!Hunter!x") == ["Hunter!Hunter!x"] and cut("") == []
+    assert len(cut("a" * 200_000)) == 0 and len(cut("a" * 100_000 + "1")) == 1
+
+
+def test_partitions_do_not_matter(spark):
+    docs = corpus(spark, 60)
+    a = secrets.corpus_statistics(docs.repartition(1))
+    b = secrets.corpus_statistics(docs.repartition(5, F.col("doc_id")))
+    assert a.words == b.words and np.array_equal(a.pairs, b.pairs)
