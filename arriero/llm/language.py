@@ -26,6 +26,8 @@ MAX_ROWS, SEQUENCES, LENGTH = 4_000, 4_000, 48
 #: Slots of the hashed n-gram weights; words of a language's lexicon at most.
 SLOTS, LEXICON = 1 << 14, 2_000
 STEPS, RATE, DECAY = 60, 0.3, 1e-4
+#: Text bytes whose emissions are computed at once, and words whose sequences are then run side by side.
+EMISSION_BYTES, SIDE_BY_SIDE = 192 << 10, 600_000
 _SALTS = [np.uint64(0x9E3779B97F4A7C15 + 2 * k) for k in range(8)]
 
 
@@ -153,7 +155,7 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS, sequences: int = SEQUENCES, s
     rows = rows.sort_values(["h", "text"], kind="stable").reset_index(drop=True)
     languages = sorted(set(rows.lang))
     n = len(languages)
-    lexicon, belongs = _lexicon(rows, languages)
+    lexicon, belongs = _lexicon(rows, languages) if n else (np.zeros(0, np.uint64), np.zeros((0, 0)))
     model = Model(languages, np.zeros((SLOTS, n)), np.zeros((SLOTS, n)), lexicon, belongs, np.zeros(n), np.zeros(n), np.zeros((n, n)))
     if n < 2:
         return model
@@ -211,19 +213,30 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            for a, b, data, offsets in chunks(texts, 1 << 20):
+            # emissions chunk by chunk; forward-backward over many rows at once, since it takes as many steps as the longest has words
+            held, begun, words = [], 0, 0
+            for a, b, data, offsets in chunks(texts, EMISSION_BYTES):
                 w = words_of(data, offsets)
-                names, scores = ["und"] * (b - a), np.zeros(b - a)
-                if model.languages:
-                    post = posteriors(model.emissions(w), w.first, model.step)
-                    sums = np.concatenate((np.zeros((1, post.shape[1])), np.cumsum(post, axis=0)))
-                    share = (sums[w.first[1:]] - sums[w.first[:-1]]) / np.maximum(np.diff(w.first), 1)[:, None]
-                    ascii_letter = np.concatenate(([0], np.cumsum((LOWER[data] >= 97) & (LOWER[data] <= 122))))
-                    letters = ascii_letter[offsets[1:]] > ascii_letter[offsets[:-1]]
-                    for i in range(b - a):
-                        if letters[i] or has_letters(texts[a + i].as_py()):
-                            k = int(share[i].argmax())
-                            names[i], scores[i] = model.languages[k], min(max(float(share[i, k]), 0.0), 1.0)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
+                low = LOWER[data]
+                letter = np.concatenate(([0], np.cumsum((low >= 97) & (low <= 122))))
+                held.append((model.emissions(w).astype(np.float32), np.diff(w.first), letter[offsets[1:]] > letter[offsets[:-1]]))
+                words += len(w.word)
+                if words >= SIDE_BY_SIDE or b == len(batch):
+                    yield answered(held, batch.column("doc_id").slice(begun, b - begun), texts.slice(begun, b - begun))
+                    held, begun, words = [], b, 0
+
+    def answered(held: list, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        sizes, letters = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+        first = np.concatenate(([0], np.cumsum(sizes)))
+        names, scores = ["und"] * len(sizes), np.zeros(len(sizes))
+        if model.languages:
+            post = posteriors(np.concatenate([h[0] for h in held]), first, model.step.astype(np.float32))
+            sums = np.concatenate((np.zeros((1, len(model.languages))), np.cumsum(post, axis=0, dtype=np.float64)))
+            share = (sums[first[1:]] - sums[first[:-1]]) / np.maximum(sizes, 1)[:, None]
+            for i in range(len(sizes)):
+                if letters[i] or has_letters(texts[i].as_py()):
+                    k = int(share[i].argmax())
+                    names[i], scores[i] = model.languages[k], min(max(float(share[i, k]), 0.0), 1.0)
+        return pa.RecordBatch.from_arrays([ids, pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
