@@ -18,7 +18,7 @@ from arriero.session import build_session  # noqa: E402
 
 HEADLINE = [
     "spend_concentration", "spend_concentration_all_months", "dedupe_latest_item", "fact_orders", "fact_items",
-    "typed_items_roundtrip", "scd2_history", "run_checks", "parse_positions", "stream_latest_state",
+    "typed_items_roundtrip", "scd2_history", "run_checks", "parse_positions", "stream_latest_state", "masked_items_job", "warehouse_months",
 ]
 
 
