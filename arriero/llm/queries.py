@@ -11,6 +11,8 @@ from arriero.llm import decontaminate, language, mixing, near_dup, pivots, repea
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Rows per Arrow batch for tables of whole texts; Spark's default of 10000 rows is some 35 MB of them at once.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def register(fn: Query) -> Query:
@@ -19,6 +21,9 @@ def register(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Texts are long, so Arrow batches of the session become smaller unless they are set already."""
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

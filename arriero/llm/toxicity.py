@@ -1,7 +1,7 @@
 """Toxicity of whole texts: gradient-boosted trees over dense features, calibrated by isotonic regression.
 
 The features are densities of a lexicon, second-person words near its hits, capitals, punctuation and obfuscation. The lexicon
-(whole words and word beginnings with their log-odds) is learned from labelled rows; a labelled row's own features use a lexicon
+(whole words and word beginnings with their log-odds) starts from plain insults and is learned from labelled rows; a labelled row's own features use a lexicon
 learned without its fold, so trees and calibration see what an unseen text would show.
 """
 
@@ -25,6 +25,8 @@ MAX_ROWS = 16_000
 #: Lexicon entries at most.
 MAX_LEXICON = 3_000
 FOLDS = 3
+#: Counts that a task holds before it hands them on.
+HELD_KEYS = 50_000
 THRESHOLD = 0.3
 STEMS = (4, 5, 6, 7)
 #: Rows in which a key must occur with label 1 to be considered, and the least log-odds of an entry, less its standard error.
@@ -33,6 +35,14 @@ LEAST_ROWS, LEAST_ODDS = 3, 0.8
 # Second-person words of the four languages.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros".split())
 
+# Plain insults of the four languages, known before any label is seen, and their log-odds.
+INSULTS = frozenset("""
+    idiot idiots moron morons stupid dumb fool loser losers scum trash garbage pathetic worthless disgusting clown jerk creep coward liar vermin filth imbecile
+    idiote crétin imbécile abruti débile ordure déchet nul minable dégoûtant pourriture raclure salaud connard
+    dummkopf trottel depp abschaum müll versager erbärmlich wertlos widerlich blödmann arschloch dreckskerl
+    idiota imbécil estúpido estúpida basura escoria patético inútil asqueroso payaso tonto canalla cretino""".split())
+INSULT_ODDS = 2.0
+
 _WORD = re.compile(r"\w+")
 _ODD = re.compile(r"\b(?=\w*[^\W\d_])\w*[\d@$*#]+[\w@$*#]*[^\W\d_]|(.)\1\1|\b\w(?:[.\-* ]\w){3,}\b")
 _UPPER, _PUNCT = bytes(range(65, 91)), bytes(b".,;:!?\"'()[]{}-*#%&$@/|")
@@ -91,12 +101,20 @@ class Model:
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts per key, fold and label, pre-aggregated over as many texts as ``HELD_KEYS`` entries allow."""
+
+    def rows() -> pd.DataFrame:
+        return pd.DataFrame([(k, f, t, n) for (k, f, t), n in counts.items()], columns=["key", "fold", "toxic", "n"])
+
     counts: Counter = Counter()
     for pdf in batches:
         for text, fold, toxic in zip(pdf.text, pdf.fold, pdf.toxic):
             for key in keys_of(_WORD.findall(text.lower())):
                 counts[key, fold, toxic] += 1
-    yield pd.DataFrame([(k, f, t, n) for (k, f, t), n in counts.items()], columns=["key", "fold", "toxic", "n"])
+            if len(counts) > HELD_KEYS:
+                yield rows()
+                counts = Counter()
+    yield rows()
 
 
 def _odds(p: np.ndarray, n: np.ndarray, total_p: float, total_n: float) -> np.ndarray:
@@ -139,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_lexico
         folds = [f for f in range(FOLDS) if f != without]
         one = _odds(sum(counts[f, 1] for f in folds), sum(counts[f, 0] for f in folds), sum(totals.get((f, 1), 0) for f in folds), sum(totals.get((f, 0), 0) for f in folds))
         best = np.argsort(-one, kind="stable")[:max_lexicon]
-        return {found.key[i]: float(one[i]) for i in best if one[i] > LEAST_ODDS}
+        return {**dict.fromkeys(INSULTS, INSULT_ODDS), **{found.key[i]: float(one[i]) for i in best if one[i] > LEAST_ODDS}}
 
     parts = {f: lexicon(f) for f in range(FOLDS)}
 
