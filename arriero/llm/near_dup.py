@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arriero.llm.graph import components
+from arriero.llm.prefilter import with_possible_match
 from arriero.llm.ragged import CHUNK_BYTES, chunks, mixed, shingle_sets
 from arriero.sinks.tables import written
 
@@ -71,14 +72,17 @@ def sketches(docs: DataFrame, width: int = WIDTH, trees: int = TREES, levels: in
 
 
 def _neighbours(levels: int, least_depth: int, similarity: float):
-    """Pairs of rows next to each other in sorted order; the first and last row of each partition leave as border rows."""
+    """Runs of rows in sorted order that are candidates of their neighbours, as links to the run's least rep; the first and last row
+    of each partition leave as border rows."""
     columns = ["a", "b", "tree", "key", "rep", "n", "part", "last"]
 
     def pairs(tree, key, rep, n):
         same = (tree[1:] == tree[:-1]) & (key[1:, :least_depth] == key[:-1, :least_depth]).all(axis=1)
         small, large = np.minimum(n[1:], n[:-1]), np.maximum(n[1:], n[:-1])
-        hit = np.flatnonzero(same & (small >= similarity * large))
-        return np.minimum(rep[hit], rep[hit + 1]), np.maximum(rep[hit], rep[hit + 1])
+        begins = np.flatnonzero(np.concatenate(([True], ~(same & (small >= similarity * large)))))
+        least = np.repeat(np.minimum.reduceat(rep, begins), np.diff(np.concatenate((begins, [len(rep)]))))
+        own = rep != least
+        return least[own], rep[own]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, part = None, None
@@ -102,7 +106,7 @@ def _neighbours(levels: int, least_depth: int, similarity: float):
 
 def candidates(classes: DataFrame, trees: int = TREES, levels: int = LEVELS, least_depth: int = LEAST_DEPTH,
                similarity: float = 0.75) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of class representatives that are neighbours in some tree.
+    """Distinct pairs (a, b), a < b, that connect class representatives as their neighbours in some tree do.
 
     ``classes``: rep, n, signature. The orders are range-partitioned by (tree, prefix, rep), so no region, however large, is one
     task; the two rows at each partition border (as many as there are partitions) are paired in a second small step.
@@ -283,7 +287,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WIDTH, tree
     members = classes.join(hoods.select(F.col("node").alias("rep"), F.col("component").alias("hood")), "rep").select("rep", "hood", "n_bytes", "signature")
     crowds = members.groupBy("hood").agg(F.count("*").alias("rows"), F.sum("n_bytes").alias("bytes"))
     placed = written(members.join(crowds, "hood").withColumn("large", (F.col("rows") > block_rows) | ((F.col("bytes") > block_bytes) & (F.col("rows") > 2))), "placed")
-    held = written(texts.join(placed.select("rep", "hood", "n_bytes", "large"), texts.doc_id == placed.rep).select("rep", "hood", "n_bytes", "large", "text"), "held")
+    maybe = with_possible_match(texts, "doc_id", placed, "rep", "maybe").where("maybe")  # most texts have no candidate and need no shuffle
+    held = written(maybe.join(placed.select("rep", "hood", "n_bytes", "large"), F.col("doc_id") == F.col("rep")).select("rep", "hood", "n_bytes", "large", "text"), "held")
     small = written(_decided(held.where("not large").select("rep", "text", "n_bytes", F.col("hood").alias("block")), width, percent, block_bytes), "decided")
     links = small.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     if placed.where("large").limit(1).count():

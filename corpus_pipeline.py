@@ -6,29 +6,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arriero.llm import decontaminate, mixing, near_dup, secrets, toxicity
+from arriero.llm.prefilter import with_possible_match
+from arriero.llm.queries import table
 from arriero.sinks.tables import written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject; the model learns from the labelled ones among them."""
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.toxicity(docs, model).where("predicted = 0").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component, the one with the least doc_id; of rows that repeat a doc_id one stays. Null ids all stay."""
-    kept = written(near_dup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")), "kept")
-    repeats = kept.where("kept_id is not null").agg(F.count("*") - F.count_distinct("kept_id")).first()[0]
-    out = docs.join(kept.where("kept_id is not null").distinct(), F.col("doc_id") == F.col("kept_id"), "left_semi")
-    if repeats:
+    marks = written(near_dup.near_duplicates(docs).where("doc_id is not null").select(F.col("doc_id").alias("marked_id"), "kept"), "marks")
+    dropped = marks.where("not kept").select("marked_id").distinct()
+    marked = with_possible_match(docs, "doc_id", dropped, "marked_id", "suspect_row")  # only these can be among the dropped, the others stay as they are
+    out = marked.where("suspect_row").join(dropped, F.col("doc_id") == F.col("marked_id"), "left_anti").unionByName(marked.where("not suspect_row")).drop("suspect_row")
+    if marks.where("kept").agg(F.count("*") - F.count_distinct("marked_id")).first()[0]:
         first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-        out = out.withColumn("place_of_row", first).where("place_of_row = 1").drop("place_of_row")
-    return out.unionByName(docs.where("doc_id is null"))
+        once = out.where("doc_id is not null").withColumn("place_of_row", first).where("place_of_row = 1").drop("place_of_row")
+        out = once.unionByName(out.where("doc_id is null"))
+    return out
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item or a re-parameterised copy of one."""
-    found = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
     ids = written(found.select(F.col("doc_id").alias("leak_id")).distinct(), "leaks")
     return docs.join(ids, F.col("doc_id") == F.col("leak_id"), "left_anti")
 
@@ -58,7 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; every stage before is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
