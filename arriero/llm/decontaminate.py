@@ -27,9 +27,9 @@ _TOKEN = "[\u0001\u0002]?(?:[0-9]+(?:[.,:/][0-9]+)*|[\\p{L}\\p{M}][\\p{L}\\p{M}\
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased words and numbers; a mark before the word tells a name (capitalised within a sentence) or a unit (behind a number)."""
+    """Lower-cased words and numbers; a mark before the word tells a name (capitalised within a sentence, not all capitals) or a unit (behind a number)."""
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?i)(?<=[0-9]\s)(?=(?:{UNITS})(?![\p{{L}}\p{{N}}]))", _UNIT)
-    marked = F.regexp_replace(marked, r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;]\s)", _NAME)
+    marked = F.regexp_replace(marked, r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N},;]\s)", _NAME)
     return F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
 
 

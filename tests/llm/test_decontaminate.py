@@ -29,9 +29,9 @@ def test_copies_and_other_fillings(spark):
     other = QUESTION.replace("12", "55").replace("30", "81").replace("Maria", "Pedro")
     broken = QUESTION.replace("12 kg of pears", "99 kg of pears")  # one value of the question becomes two
     docs = [(1, around(QUESTION)), (2, around(other)), (3, around(broken)), (4, around(QUESTION.lower())), (5, around(re.sub(r"[.,]", " ;", QUESTION))),
-            (6, around(" ".join(QUESTION.split()[3:18]))), (7, around(" ".join(QUESTION.split()[3:12]))), (8, plain(rng, 80)), (9, around(QUESTION.replace(" ", "\n"))), (10, QUESTION)]
+            (6, around(" ".join(QUESTION.split()[3:18]))), (7, around(" ".join(QUESTION.split()[3:12]))), (8, plain(rng, 80)), (9, around(QUESTION.replace(" ", "\n"))), (10, QUESTION), (11, around(QUESTION).upper())]
     got = leaked(spark, docs, [(1, QUESTION), (2, plain(rng, 40))])
-    assert {(d, s) for d, _, s in got} == {(1, True), (2, False), (4, True), (5, True), (6, True), (9, True), (10, True)} | {(d, s) for d, _, s in got if d == 3}
+    assert {(d, s) for d, _, s in got} == {(1, True), (2, False), (4, True), (5, True), (6, True), (9, True), (10, True), (11, True)} | {(d, s) for d, _, s in got if d == 3}
     assert {i for _, i, _ in got} == {1}
 
 
