@@ -31,8 +31,8 @@ TREES = 16
 LEVELS = 5
 LEAST_DEPTH = 2
 #: Rows and text bytes that are decided together.
-BLOCK_ROWS = 400
-BLOCK_BYTES = 4 << 20
+BLOCK_ROWS = 300
+BLOCK_BYTES = 2 << 20
 #: Trees whose regions are decided in a neighbourhood that is too large for one block.
 REGION_TREES = 3
 
@@ -164,7 +164,7 @@ def linked(xs: list[np.ndarray], ys: list[np.ndarray] | None, percent: int) -> t
     common = np.zeros((cut, cut if own else len(ys)), dtype=np.float32)
     if len(code):
         code = np.cumsum(np.concatenate(([0], (code[1:] != code[:-1]).astype(np.int64))))
-        step = 8192
+        step = 4096
         for low in range(0, int(code[-1]) + 1, step):
             a, b = np.searchsorted(code, [low, low + step])
             grid = np.zeros((len(sets), step), dtype=np.float32)
