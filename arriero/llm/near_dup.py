@@ -3,7 +3,7 @@
 Every document's shingle set gets ``trees`` x ``levels`` minima. A tree is one sorted order of all signatures; neighbours in
 that order share the longest prefixes, so the depth at which two rows meet adapts to the region: shallow where texts are
 sparse, deep where many are alike. Neighbours that share at least ``least_depth`` values are candidates (at most two per row
-and tree, whatever a group's size). Rows connected by candidates form a neighbourhood; within it every pair is decided exactly on
+and tree, whatever a group's size), of whatever sizes: a row between two near copies must not part them. Rows connected by candidates form a neighbourhood; within it every pair is decided exactly on
 the full sets, so a link needs no direct adjacency. A neighbourhood too large for one task is cut into regions: per tree, rows
 that share a prefix, as deep as it takes for the region to fit. What stays apart from its neighbourhood's main component is then
 compared, in blocks, with all of that neighbourhood.
@@ -71,15 +71,14 @@ def sketches(docs: DataFrame, width: int = WIDTH, trees: int = TREES, levels: in
         _sketcher(width, trees * levels), "doc_id long, n_shingles long, low long, high long, n_bytes long, signature binary")
 
 
-def _neighbours(levels: int, least_depth: int, similarity: float):
-    """Runs of rows in sorted order that are candidates of their neighbours, as links to the run's least rep; the first and last row
+def _neighbours(levels: int, least_depth: int):
+    """Runs of rows in sorted order that share a prefix, as links to the run's least rep; the first and last row
     of each partition leave as border rows."""
-    columns = ["a", "b", "tree", "key", "rep", "n", "part", "last"]
+    columns = ["a", "b", "tree", "key", "rep", "part", "last"]
 
-    def pairs(tree, key, rep, n):
+    def pairs(tree, key, rep):
         same = (tree[1:] == tree[:-1]) & (key[1:, :least_depth] == key[:-1, :least_depth]).all(axis=1)
-        small, large = np.minimum(n[1:], n[:-1]), np.maximum(n[1:], n[:-1])
-        begins = np.flatnonzero(np.concatenate(([True], ~(same & (small >= similarity * large)))))
+        begins = np.flatnonzero(np.concatenate(([True], ~same)))
         least = np.repeat(np.minimum.reduceat(rep, begins), np.diff(np.concatenate((begins, [len(rep)]))))
         own = rep != least
         return least[own], rep[own]
@@ -95,8 +94,8 @@ def _neighbours(levels: int, least_depth: int, similarity: float):
             else:
                 pdf = pd.concat([last, pdf], ignore_index=True)
             key = np.frombuffer(b"".join(pdf.key), dtype=">u4").reshape(len(pdf), levels)
-            a, b = pairs(pdf.tree.to_numpy(), key, pdf.rep.to_numpy(), pdf.n.to_numpy())
-            yield pd.DataFrame({"a": a, "b": b, "tree": None, "key": None, "rep": None, "n": None, "part": part, "last": None})
+            a, b = pairs(pdf.tree.to_numpy(), key, pdf.rep.to_numpy())
+            yield pd.DataFrame({"a": a, "b": b, "tree": None, "key": None, "rep": None, "part": part, "last": None})
             last = pdf.iloc[-1:]
         if last is not None:
             yield last.assign(a=None, b=None, last=True)[columns]
@@ -104,21 +103,20 @@ def _neighbours(levels: int, least_depth: int, similarity: float):
     return run, pairs
 
 
-def candidates(classes: DataFrame, trees: int = TREES, levels: int = LEVELS, least_depth: int = LEAST_DEPTH,
-               similarity: float = 0.75) -> DataFrame:
+def candidates(classes: DataFrame, trees: int = TREES, levels: int = LEVELS, least_depth: int = LEAST_DEPTH) -> DataFrame:
     """Distinct pairs (a, b), a < b, that connect class representatives as their neighbours in some tree do.
 
-    ``classes``: rep, n, signature. The orders are range-partitioned by (tree, prefix, rep), so no region, however large, is one
+    ``classes``: rep, signature. The orders are range-partitioned by (tree, prefix, rep), so no region, however large, is one
     task; the two rows at each partition border (as many as there are partitions) are paired in a second small step.
     """
     spark = classes.sparkSession
     rows = classes.select(
         F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("signature", t * (4 * levels) + 1, F.lit(4 * levels)))).alias("tree", "key"),
-        "rep", F.col("n_shingles").alias("n"))
+        "rep")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ordered = rows.repartitionByRange(parts, "tree", "key", "rep").sortWithinPartitions("tree", "key", "rep").withColumn("part", F.spark_partition_id())
-    run, pairs = _neighbours(levels, least_depth, similarity)
-    found = written(ordered.mapInPandas(run, "a long, b long, tree int, key binary, rep long, n long, part int, last boolean"), "neighbours")
+    run, pairs = _neighbours(levels, least_depth)
+    found = written(ordered.mapInPandas(run, "a long, b long, tree int, key binary, rep long, part int, last boolean"), "neighbours")
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -126,14 +124,14 @@ def candidates(classes: DataFrame, trees: int = TREES, levels: int = LEVELS, lea
                 key = np.frombuffer(b"".join(x for kk in zip(pdf.k1, pdf.k2) for x in kk), dtype=">u4").reshape(-1, levels)
                 two = lambda x, y: np.stack([pdf[x].to_numpy(), pdf[y].to_numpy()], 1).reshape(-1)
                 tree = np.repeat(np.arange(len(pdf)), 2)
-                a, b = pairs(tree, key, two("r1", "r2"), two("n1", "n2"))
+                a, b = pairs(tree, key, two("r1", "r2"))
                 yield pd.DataFrame({"a": a, "b": b})
 
     borders = found.where(F.col("last").isNotNull())
     next_part = borders.select("part").distinct().select(F.col("part").alias("p1"), F.lead("part").over(Window.orderBy("part")).alias("p2"))
-    ends = borders.where("last").select(F.col("part").alias("p1"), F.col("tree").alias("t1"), F.col("key").alias("k1"), F.col("rep").alias("r1"), F.col("n").alias("n1"))
-    begins = borders.where("not last").select(F.col("part").alias("p2"), F.col("tree").alias("t2"), F.col("key").alias("k2"), F.col("rep").alias("r2"), F.col("n").alias("n2"))
-    bridged = ends.join(next_part, "p1").join(begins, "p2").where("t1 = t2").select("k1", "k2", "r1", "r2", "n1", "n2").mapInPandas(across, "a long, b long")
+    ends = borders.where("last").select(F.col("part").alias("p1"), F.col("tree").alias("t1"), F.col("key").alias("k1"), F.col("rep").alias("r1"))
+    begins = borders.where("not last").select(F.col("part").alias("p2"), F.col("tree").alias("t2"), F.col("key").alias("k2"), F.col("rep").alias("r2"))
+    bridged = ends.join(next_part, "p1").join(begins, "p2").where("t1 = t2").select("k1", "k2", "r1", "r2").mapInPandas(across, "a long, b long")
     return found.where("a is not null").select("a", "b").union(bridged).where("a != b").distinct()
 
 
@@ -283,7 +281,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WIDTH, tree
     classes = written(marks.where("n_shingles > 0 and doc_id is not null").groupBy("low", "high", "n_shingles").agg(
         F.min_by(F.struct("signature", "n_bytes"), "doc_id").alias("one"), F.min("doc_id").alias("rep")).select(
         "low", "high", "n_shingles", "rep", "one.signature", "one.n_bytes"), "classes")
-    hoods = components(candidates(classes, trees, levels, least_depth, percent / 100).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    hoods = components(candidates(classes, trees, levels, least_depth).select(F.col("a").alias("u"), F.col("b").alias("v")))
     members = classes.join(hoods.select(F.col("node").alias("rep"), F.col("component").alias("hood")), "rep").select("rep", "hood", "n_bytes", "signature")
     crowds = members.groupBy("hood").agg(F.count("*").alias("rows"), F.sum("n_bytes").alias("bytes"))
     placed = written(members.join(crowds, "hood").withColumn("large", (F.col("rows") > block_rows) | ((F.col("bytes") > block_bytes) & (F.col("rows") > 2))), "placed")

@@ -62,6 +62,27 @@ def test_groups_of_near_copies_equal_brute_force(spark, block_rows):
     assert tuples(got, *COLUMNS) == brute(rows)
 
 
+def test_a_row_of_another_size_does_not_part_two_candidates(spark):
+    """Rows 1 and 3 share two minima and their size in every tree; rows of other sizes sort between them."""
+    sign = lambda third: np.tile(np.array([5, 5, third, 0, 0], ">u4"), near_dup.TREES).tobytes()
+    rows = [(1, 200, sign(1)), (2, 500, sign(2)), (4, 20, sign(3)), (3, 200, sign(4))]
+    got = near_dup.candidates(spark.createDataFrame(rows, "rep long, n_shingles long, signature binary"))
+    found = dict(tuples(components(got.toDF("u", "v"))))
+    assert found.get(1, -1) == found.get(3, -3)
+
+
+def test_a_passage_in_documents_of_many_lengths(spark):
+    """Pairs of near copies of a passage that 150 longer documents hold too."""
+    rng = random.Random(12)
+    passage = words(rng, 150).split()
+    rows = [(1000 + i, " ".join(passage + words(rng, rng.randint(60, 300)).split()), "en", "a") for i in range(150)]
+    for i in range(6):
+        copy = list(passage)
+        copy[20 + 20 * i] = f"changed{i}"
+        rows.append((i, " ".join(copy), "en", "a"))
+    assert tuples(near_dup.near_duplicates(frame(spark, rows).repartition(5)), *COLUMNS) == brute(rows)
+
+
 def test_linked_pairs():
     rng = np.random.default_rng(1)
     xs = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in rng.integers(0, 50, 40)]
