@@ -122,8 +122,18 @@ def _bounds(x: np.ndarray, centre: np.ndarray, low: float, high: float, norm: fl
     return np.minimum((own ** 2 + norm ** 2 - gap ** 2) / 2, own * norm) + _SLACK * (1 + own * norm)
 
 
+def _once(score: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The scores with -inf in place of all but the best of each row's repeated ids."""
+    order = np.lexsort((-score, ids), axis=1)
+    named = np.take_along_axis(ids, order, 1)
+    row, col = np.nonzero(named[:, 1:] == named[:, :-1])
+    out = score.copy()
+    out[row, order[row, col + 1]] = -np.inf
+    return out
+
+
 def _visit(width: int, k: int, centres: np.ndarray):
-    """One query block against some data blocks, in the order of their bounds, until none can change a query's best k."""
+    """One query block against some data blocks, in the order of their bounds, until none can change a query's best k ids."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -142,6 +152,8 @@ def _visit(width: int, k: int, centres: np.ndarray):
                 score[asks] = x[asks] @ y.T
                 score[ids[None, :] == qids[:, None]] = -np.inf
                 both, names = np.concatenate((found, score), 1), np.concatenate((found_ids, np.broadcast_to(ids, score.shape)), 1)
+                if len(np.unique(ids)) < len(ids) or np.isin(ids, found_ids).any():
+                    both = _once(both, names)
                 best = np.lexsort((names, -both), axis=1)[:, :k]
                 found, found_ids = np.take_along_axis(both, best, 1), np.take_along_axis(names, best, 1)
                 if found.shape[1] == k:
@@ -158,7 +170,7 @@ _FOUND = "q_block long, query_id long, vec_id long, score long"
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def top_k(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", scale: int = 256,

@@ -64,6 +64,16 @@ def test_repeated_rows(spark):
     assert tuples(pivots.top_k(table(spark, rows), F.col("vec_id") % 50 == 0)) == [(0, 1, 3, 131072), (0, 2, 4, 98304)]
 
 
+@pytest.mark.parametrize("blocks", [(pivots.BLOCK_ROWS, pivots.QUERY_ROWS), (3, 2)])
+def test_an_id_repeated_more_often_than_k_takes_one_place(spark, blocks):
+    """Six rows of id 3, of different scores, are among the best of every query."""
+    rows = vectors(60) + [(3, [5.0 + i / 10] * 8) for i in range(6)] + [(1000, [4.0] * 8)] * 7
+    got = pivots.top_k(table(spark, rows).repartition(3), F.col("vec_id") % 50 == 0, block_rows=blocks[0], query_rows=blocks[1])
+    assert tuples(got) == brute(rows)
+    few = [(0, [1.0, 0.0])] + [(3, [2.0, 0.0])] * 6 + [(i, [1.0, i / 100]) for i in range(4, 8)]
+    assert len(pivots.top_k(table(spark, few), F.col("vec_id") % 50 == 0).collect()) == 5
+
+
 def test_bounds_hold():
     import numpy as np
     rng = np.random.default_rng(2)
