@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from arriero.sinks.tables import written
 
-#: Tokens of a window, the stride of windows in documents, tokens of a leak (or the whole item, if it is shorter), plain words among a window.
-WINDOW, STRIDE, RUN, PLAIN = 8, 4, 13, 4
+#: Tokens of a window, tokens of a leak (or the whole item, if it is shorter), plain words among a window: at least three are in some
+#: window of every run of 8 or more that is half plain words, and from 13 on also in one that starts at an even token.
+WINDOW, RUN, PLAIN = 8, 13, 3
 #: Benchmark windows up to which they are sent to every task; above, Spark joins by shuffle.
 BROADCAST_ROWS = 400_000
 
@@ -44,10 +45,14 @@ def template(tokens: Column, names: bool = True) -> Column:
     return F.transform(tokens, one)
 
 
-def _windows(form: Column, stride: int) -> Column:
-    """(hash, start) of every window of the template whose start is a multiple of ``stride``; none for fewer tokens than a window."""
-    starts = F.when(F.size(form) >= WINDOW, F.sequence(F.lit(0), F.size(form) - WINDOW, F.lit(stride)))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(form, i + 1, WINDOW)))
+def _hashes(form: Column) -> Column:
+    return F.transform(form, lambda x: F.xxhash64(x))
+
+
+def _windows(hashes: Column, stride: int) -> Column:
+    """Hash of every window of the template's ``hashes`` whose start is a multiple of ``stride``; none for fewer tokens than a window."""
+    starts = F.when(F.size(hashes) >= WINDOW, F.sequence(F.lit(0), F.size(hashes) - WINDOW, F.lit(stride)))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i + 1, WINDOW)))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -76,12 +81,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN, broadcast_rows:
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     items = written(_items(benchmark.where("item_id is not null")), "items")
-    marks = items.select("item_id", "form", F.posexplode(_windows(F.col("form"), 1)).alias("item_at", "window")).where(
+    marks = items.select("item_id", "form", F.posexplode(_windows(_hashes(F.col("form")), 1)).alias("item_at", "window")).where(
         F.size(F.filter(F.slice("form", F.col("item_at") + 1, WINDOW), lambda x: ~x.startswith("<"))) >= PLAIN).select("window", "item_id", "item_at").distinct()
     marks = written(marks, "windows")
     small = marks.count() <= broadcast_rows
-    found = texts.select("doc_id", template(tokens(F.col("text"))).alias("form")).select("doc_id", F.posexplode(_windows(F.col("form"), STRIDE)).alias("at", "window"))
-    hits = found.join(F.broadcast(marks) if small else marks, "window").select("doc_id", "item_id", (F.col("item_at") - F.col("at") * STRIDE).alias("shift"))
+    shortest = items.where(F.size("form") >= WINDOW).agg(F.min(F.size("form"))).first()[0] or run
+    stride = 2 if min(run, shortest) >= 13 else 1
+    found = texts.select("doc_id", _hashes(template(tokens(F.col("text")))).alias("form")).select("doc_id", F.posexplode(_windows(F.col("form"), stride)).alias("at", "window"))
+    hits = found.join(F.broadcast(marks) if small else marks, "window").select("doc_id", "item_id", (F.col("item_at") - F.col("at") * stride).alias("shift"))
     hits = written(hits.distinct(), "hits")
 
     words = texts.join(hits.select(F.col("doc_id").alias("d")).distinct(), F.col("doc_id") == F.col("d")).select("doc_id", tokens(F.col("text")).alias("doc_words"))

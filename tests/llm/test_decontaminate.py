@@ -75,6 +75,21 @@ def test_plain_texts_equal_brute_force(spark, rows):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == brute(docs, items)
 
 
+def test_short_items_at_every_offset(spark):
+    rng = random.Random(4)
+    items = [(n, plain(rng, n)) for n in (8, 9, 10, 12)]
+    docs = [(100 * n + k, f"{plain(rng, k)} {q} {plain(rng, 5)}") for n, q in items for k in range(4)]
+    assert leaked(spark, docs, items) == {(100 * n + k, n, True) for n, _ in items for k in range(4)}
+
+
+def test_runs_of_half_plain_words_at_every_offset(spark):
+    """No window of these runs holds more than four plain words; one at an even start of the document may hold three."""
+    rng = random.Random(5)
+    items = [(i, f"{plain(rng, a)} {' '.join(str(rng.randint(10, 10 ** 6)) for _ in range(6))} {plain(rng, 7 - a)}") for i, a in enumerate((2, 3, 4, 5))]
+    docs = [(100 * i + k, f"{plain(rng, k)} {q} {plain(rng, 5)}") for i, q in items for k in range(4)]
+    assert leaked(spark, docs, items) == {(100 * i + k, i, True) for i, _ in items for k in range(4)}
+
+
 def test_edge_rows(spark):
     rows = [(1, QUESTION), (2, None), (3, ""), (4, "too short"), (None, QUESTION), (5, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15"), (1, QUESTION)]
     assert dc.leaks(edge_docs(spark), bench(spark, rows)).collect() == []
