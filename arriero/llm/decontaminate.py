@@ -62,21 +62,44 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def _longest_run(same: Column) -> Column:
-    """(length, end) of the longest run of true values, the first of equal ones."""
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("now"), F.lit(0).alias("best"), F.lit(0).alias("end"))
+    """Length of the longest run of true values."""
+    step = lambda s, ok: F.struct(F.when(ok, s["now"] + 1).otherwise(0).alias("now"), F.greatest(s["best"], F.when(ok, s["now"] + 1).otherwise(0)).alias("best"))
+    return F.aggregate(same, F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), step, lambda s: s["best"])
 
-    def step(s: Column, ok: Column) -> Column:
-        now = F.when(ok, s["now"] + 1).otherwise(0)
-        return F.struct((s["at"] + 1).alias("at"), now.alias("now"), F.greatest(s["best"], now).alias("best"), F.when(now > s["best"], s["at"] + 1).otherwise(s["end"]).alias("end"))
 
-    return F.aggregate(same, start, step)
+def _run_starts(places: Column, slots: Column, exact: bool) -> Column:
+    """For every aligned place the start of the run that it ends; behind its place, if it breaks the run.
+
+    A run breaks at unequal templates and begins anew at a slot that contradicts one of the run; ``exact``: at any unequal tokens.
+    """
+
+    def step(s: Column, e: Column) -> Column:
+        other = F.exists(slots, lambda c: (c["at"] >= s["low"]) & (c["at"] < e["at"]) & (c["a"] == e["a"]) & ((c["x"] == e["x"]) != (c["y"] == e["y"])))
+        broken = ~e["same"] | (e["x"] != e["y"]) if exact else ~e["same"]
+        low = F.when(broken, e["at"] + 1).when(e["slot"] & other, e["at"]).otherwise(s["low"])
+        return F.struct(low.alias("low"), F.concat(s["starts"], F.array(low)).alias("starts"))
+
+    return F.aggregate(places, F.struct(F.lit(0).alias("low"), F.array().cast("array<int>").alias("starts")), step, lambda s: s["starts"])
+
+
+def _leaked_run(starts: Column, plain: Column, least: Column) -> Column:
+    """(n, low) of the longest part of a run that has ``least`` tokens and is half plain words; ``plain``: their counts up to each place."""
+
+    def best(low: Column, end: Column) -> Column:
+        sound = lambda t: 2 * (F.get(plain, end + 1) - F.get(plain, t)) >= end + 1 - t
+        tries = F.sequence(low, end + 1 - least)
+        at = F.when(end + 1 - low >= least, F.when(sound(low), low).otherwise(F.array_min(F.filter(tries, sound))))
+        return F.when(at.isNotNull(), F.struct((end + 1 - at).alias("n"), at.alias("low")))
+
+    return F.array_max(F.transform(starts, best))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, item_id, n_words (longest aligned run), n_slots in it and same_slots (all filled as in the item) of every leak.
 
     ``docs``: doc_id, text; ``benchmark``: item_id, text; other columns are ignored. A leak is a run of at least ``run`` equal template
-    tokens (all of a shorter item), most of them words, with consistent slots. Items under 8 tokens are too short to tell. Null ids
+    tokens (all of a shorter item), at least half of them words, with consistent slots: a slot that contradicts an earlier one begins
+    a new run, so what is consistent before or behind it counts. Items under 8 tokens are too short to tell. Null ids
     and null or empty texts leak nothing; repeated rows count once. Empty tables give an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
@@ -100,16 +123,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN, broadcast_rows:
     both = hits.join(words, "doc_id").join(items, "item_id").select(
         "doc_id", "item_id", F.size("form").alias("n_item"), part("doc_form", low).alias("a"), part("form", item_low).alias("b"),
         part("doc_words", low).alias("x"), part("words", item_low).alias("y"))
-    both = both.withColumn("best", _longest_run(F.zip_with("a", "b", lambda p, q: p == q))).withColumn("n", F.col("best.best"))
-    cut = lambda c: F.slice(c, F.col("best.end") - F.col("n") + 1, F.col("n"))
-    both = both.where((F.col("n") >= F.least(F.lit(run), F.col("n_item"))) & (F.col("n") >= WINDOW)).select("doc_id", "item_id", "n", *[cut(c).alias(c) for c in "axy"])
-    slots = F.filter(F.arrays_zip("a", "x", "y"), lambda s: s["a"].startswith("<"))
-    both = both.withColumn("slots", slots).withColumn("plain", F.col("n") - F.size("slots"))
-    pairs = F.array_distinct(F.transform("slots", lambda s: F.struct(s["a"].alias("a"), s["x"].alias("x"), s["y"].alias("y"))))
-    ours = F.array_distinct(F.transform("slots", lambda s: F.struct(s["a"].alias("a"), s["x"].alias("x"))))
-    theirs = F.array_distinct(F.transform("slots", lambda s: F.struct(s["a"].alias("a"), s["y"].alias("y"))))
-    consistent = (F.size(pairs) == F.size(ours)) & (F.size(pairs) == F.size(theirs))
-    same = F.forall("slots", lambda s: s["x"] == s["y"])
-    kept = both.where(consistent & (F.col("plain") * 2 >= F.col("n"))).select("doc_id", "item_id", F.col("n").alias("n_words"), F.size("slots").alias("n_slots"), same.alias("same_slots"))
+    least = F.greatest(F.least(F.lit(run), F.col("n_item")), F.lit(WINDOW))
+    both = both.withColumn("least", least).where(_longest_run(F.zip_with("a", "b", lambda p, q: p == q)) >= F.col("least"))
+    places = F.transform(F.arrays_zip("a", "b", "x", "y"), lambda s, i: F.struct(
+        i.alias("at"), s["a"].alias("a"), s["x"].alias("x"), s["y"].alias("y"), (s["a"] == s["b"]).alias("same"), ((s["a"] == s["b"]) & s["a"].startswith("<")).alias("slot")))
+    both = both.select("doc_id", "item_id", "least", places.alias("places"))
+    both = both.withColumn("slots", F.filter("places", lambda s: s["slot"])).withColumn("plain", F.aggregate(
+        "places", F.array(F.lit(0)), lambda s, e: F.concat(s, F.array(F.element_at(s, -1) + F.when(e["slot"], 0).otherwise(1)))))
+    runs = [_leaked_run(_run_starts(F.col("places"), F.col("slots"), exact), F.col("plain"), F.col("least")) for exact in (False, True)]
+    both = both.select("doc_id", "item_id", "slots", F.explode(F.array(*runs)).alias("best")).where("best is not null")
+    inside = F.filter("slots", lambda s: (s["at"] >= F.col("best.low")) & (s["at"] < F.col("best.low") + F.col("best.n")))
+    kept = both.withColumn("slots", inside).select("doc_id", "item_id", F.col("best.n").alias("n_words"), F.size("slots").alias("n_slots"),
+                                                   F.forall("slots", lambda s: s["x"] == s["y"]).alias("same_slots"))
     return kept.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_words", "same_slots", "n_slots")).alias("m")).select(
         "doc_id", "item_id", F.col("m.n_words").alias("n_words"), F.col("m.n_slots").alias("n_slots"), F.col("m.same_slots").alias("same_slots"))

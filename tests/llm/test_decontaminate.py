@@ -90,6 +90,16 @@ def test_runs_of_half_plain_words_at_every_offset(spark):
     assert leaked(spark, docs, items) == {(100 * i + k, i, True) for i, _ in items for k in range(4)}
 
 
+def test_one_altered_slot_does_not_hide_a_long_copy(spark):
+    """Before it and behind it lie runs of 13 and more; so do words before many numbers."""
+    broken = QUESTION.replace("12 kg of pears", "99 kg of pears")
+    words = plain(random.Random(6), 14)
+    numbers = words + " " + " ".join(str(i) for i in range(20, 50))
+    docs = [(1, broken), (2, numbers), (3, words + " " + " ".join(["7"] * 30)), (4, " ".join(QUESTION.split()[5:]).replace("12", "55", 1))]
+    got = {(d, i) for d, i, _ in leaked(spark, docs, [(1, QUESTION), (2, numbers)])}
+    assert got == {(1, 1), (2, 2), (3, 2), (4, 1)}
+
+
 def test_edge_rows(spark):
     rows = [(1, QUESTION), (2, None), (3, ""), (4, "too short"), (None, QUESTION), (5, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15"), (1, QUESTION)]
     assert dc.leaks(edge_docs(spark), bench(spark, rows)).collect() == []
