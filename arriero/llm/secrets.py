@@ -29,8 +29,11 @@ DICTIONARY, LEAST_COUNT, CONTEXT = 20_000, 5, 48
 THRESHOLD = 0.5
 N_FEATURES = 25
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9_\-+/.~])(?P<run>[A-Za-z0-9_\-+/.~]{12,}={0,2})|(?<==)\S{8,}|(?<=[:=]\s[\"'])\S{8,}(?=[\"'])")
-LEAST_LENGTH = 12
+RUN = re.compile(r"(?<![A-Za-z0-9_\-+/.~])[A-Za-z0-9_\-+/.~]{12,}={0,2}")
+#: Values behind = and : (blanks may stand between), an option or "Bearer": in quotes up to the same quote, else up to a blank, a closing quote or the next assignment.
+_VALUE = r"(?=([\"'])((?:(?!\1)\S){8,})|((?!//)[^\s\"'=:](?:[^\s\"&;,<]|(?<=\w)\"(?=\w)|[&;,](?!\w+[=:])|<(?![/a-zA-Z])){7,}))"
+ASSIGNED = [re.compile(head + _VALUE) for head in (r"[=:]>?[ \t]{0,8}", r"--[A-Za-z][\w\-]{1,40} ", r"earer ")]
+LEAST_LENGTH, LEAST_ASSIGNED = 12, 8
 
 # Words that tell credentials, words that tell other identifiers, and placeholders.
 CREDENTIAL = re.compile(r"(?i)(secret|token|passw(or)?d|passwd|pwd|api[_\- ]?key|apikey|access[_\- ]?key|auth|bearer|credential|private[_\- ]?key|client[_\- ]?secret)")
@@ -101,15 +104,29 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return key, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(key)).astype(np.int64)
 
 
+def _trimmed(text: str, a: int, b: int, ends: str = ".=-,;\"'") -> tuple[int, int]:
+    while b > a and text[b - 1] in ends:
+        b -= 1
+    return a, b
+
+
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Character spans that could be secrets: long runs with a digit, and assigned or quoted values."""
-    for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        while b > a and text[b - 1] in ".=-,;\"'":
-            b -= 1
-        value = text[a:b]
-        if b - a >= LEAST_LENGTH and any(c.isalnum() for c in value) and (m["run"] is None or any(c.isdigit() for c in value)):
+    """Character spans that could be secrets: assigned and quoted values of 8 characters on, and long runs with a digit beside them."""
+    spans, end = [], 0
+    for a, b in sorted(m.span(2) if m[1] else _trimmed(text, *m.span(3)) for pattern in ASSIGNED for m in pattern.finditer(text)):
+        if a >= end and b - a >= LEAST_ASSIGNED and any(c.isalnum() for c in text[a:b]):
+            spans.append((a, b))
+            end = b
+    i, behind = 0, 0  # the first span that ends behind the run's start
+    for m in RUN.finditer(text):
+        a, b = _trimmed(text, *m.span())
+        while i < len(spans) and spans[i][1] <= a:
+            i += 1
+        if b - a >= LEAST_LENGTH and any(c.isdigit() for c in text[a:b]) and (i == len(spans) or spans[i][0] >= b):
+            yield from spans[behind:i]
+            behind = i
             yield a, b
+    yield from spans[behind:]
 
 
 def features(text: str, a: int, b: int, corpus: Corpus) -> list[float]:
@@ -139,6 +156,7 @@ def features(text: str, a: int, b: int, corpus: Corpus) -> list[float]:
     ]
 
 
+_SYMBOLS = "!@#$%*?^"
 _CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
 
@@ -147,21 +165,24 @@ def plant(text: str, rng: np.random.Generator) -> tuple[str, int, int, int]:
     random = lambda n, chars=_CHARS: "".join(chars[i] for i in rng.integers(0, len(chars), n))
     pick = lambda *xs: xs[int(rng.integers(len(xs)))]
     hexa, words = "0123456789abcdef", re.findall(r"[A-Za-z]{3,8}", text) or ["alpha", "beta"]
+    long = re.findall(r"[A-Za-z]{8,16}", text) or [a + b.lower() for a, b in zip(words, words[1:]) if len(a + b) >= 8] or ["something"]
     word = lambda: pick(*words).lower()
     secret = bool(rng.integers(2))
     if secret:
         value = pick(random(40, hexa), random(int(rng.integers(20, 48))), random(32, hexa), "AKIA" + random(16, _CHARS[:26] + _CHARS[52:]), "ghp_" + random(36), "sk-" + random(40), random(43) + "=", random(64, hexa),
-                     random(int(rng.integers(12, 20)), _CHARS + "_-"))
+                     random(int(rng.integers(12, 20)), _CHARS + "_-"), random(int(rng.integers(8, 12))), random(int(rng.integers(8, 17)), _CHARS + _SYMBOLS), random(int(rng.integers(10, 17)), _CHARS[:52]),
+                     f"{word().capitalize()}{word().capitalize()}{pick(*_SYMBOLS)}{int(rng.integers(1, 1000)):03d}", f"{word()}{pick(*_SYMBOLS)}{random(5)}")
         name = pick("token", "secret", "password", "api_key", "API_KEY", "client_secret", "access_key", "auth_token", "passwd", "private_key", f"{word()}_token", f"{word()}Secret")
-        head, tail = pick((f'{name} = "', '"'), (f"{name}={'' if rng.integers(2) else chr(39)}", " "), (f"{name}: ", "\n"), (f'"{name}": "', '",'), ("Authorization: Bearer ", "\n"), (f"export {name.upper()}=", "\n"), (f"--{name} ", " "))
+        head, tail = pick((f'{name} = "', '"'), (f"{name}={'' if rng.integers(2) else chr(39)}", " "), (f"{name}: ", "\n"), (f'"{name}": "', '",'), ("Authorization: Bearer ", "\n"), (f"export {name.upper()}=", "\n"), (f"--{name} ", " "), (f"{name} = ", "\n"))
     else:
-        kind = int(rng.integers(10))
+        kind = int(rng.integers(12))
         value, head, tail = [
             (random(40, hexa), pick("commit ", "sha1 ", "revision ", "at "), " "), (f"{random(8, hexa)}-{random(4, hexa)}-{random(4, hexa)}-{random(4, hexa)}-{random(12, hexa)}", pick("id=", "uuid: ", "request "), " "),
             (f"{word()}/{word()}/{word()}{int(rng.integers(1000))}.{pick('html', 'png', 'py')}", pick("https://example.com/", "/usr/share/", "src/"), " "), (random(16, "0123456789"), pick("card ", "order ", "account no. ", "call ", f"{word()} "), " "),
             (f"{word()}_{word()}_{word()}_{int(rng.integers(100))}", pick("def ", "see ", "file ", f"{word()} = "), "("), ("YOUR_API_KEY_" + "0" * int(rng.integers(4, 9)), pick('token = "', "api_key: "), '"'),
             ("xxxxxxxx" + "0" * 8, pick('password = "', "secret="), '"'), (f"20{int(rng.integers(10, 30))}-{int(rng.integers(1, 12)):02d}-{int(rng.integers(1, 28)):02d}T12:00:00.000Z".replace(":", "-"), f"{word()} ", " "),
             (random(64, hexa), pick("sha256:", "digest sha256:", "checksum "), "\n"), (f"{word()}.{int(rng.integers(100))}.{word()}.{word()}", f"{word()} ", "@mail.example.com "),
+            (pick(*long), pick(f"{word()}: ", f"{word()}:", f"{word()} = ", f"{word()}: {pick(chr(34), chr(39))}", "password: ", "token: ", "secret: "), pick(" ", ", ", '" ')), (f"{word()}{pick('_', '.', '-')}{word()}_{word()}", pick(f"{word()} = ", f"{word()}=", f"{word()}: "), pick(" ", "(", "; ")),
         ][kind]
     spaces = [i for i, c in enumerate(text) if c == " "]
     at = pick(*spaces) + 1 if spaces else 0

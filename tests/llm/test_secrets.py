@@ -83,6 +83,23 @@ def test_candidates():
     assert len(cut("a" * 200_000)) == 0 and len(cut("a" * 100_000 + "1")) == 1
 
 
+def test_assigned_values_of_any_shape_are_candidates():
+    cut = lambda t: [t[a:b] for a, b in secrets.candidates(t)]
+    for value in ("hunter2!Xy", "9f8e7d6c5b4", "CorrectHorseBattery!9", "QwErTyUiOpAsDf", "P@ssw0rd!2024xyz"):
+        for line in ('password = "{}"', "password='{}' x", "password={}", "password = {}", "password: {}\n", '{{"a":1,"b":"c","password":"{}"}}', "my_long_password_2=\"{}\"", "my_long_password_2={}&user=x"):
+            assert value in cut("some words " + line.format(value)), (line, value)
+    assert cut(f"commit {HEXA} a=b password = hunter2!Xy see {HEXA}.") == [HEXA, "hunter2!Xy", HEXA]
+    assert cut("time 12:30, see https://example.com a: short") == []
+
+
+def test_short_passwords_reach_the_forest_and_prose_stays(spark):
+    model = secrets.fit(corpus(spark))
+    text = 'walks under password = "hunter2!Xy" and api_key = "9f8e7d6c5b4" slowly'
+    prose = "the river walks: everything under the bridge"
+    got = {r.doc_id: r.text for r in secrets.redact(frame(spark, [(1, text, "en", "s"), (2, prose, "en", "s")]), model).collect()}
+    assert got == {1: text.replace("hunter2!Xy", "<secret>").replace("9f8e7d6c5b4", "<secret>"), 2: prose}
+
+
 def test_partitions_do_not_matter(spark):
     docs = corpus(spark, 60)
     a = secrets.corpus_statistics(docs.repartition(1))
