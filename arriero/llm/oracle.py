@@ -63,3 +63,32 @@ SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS s
 FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 QUALIFY rank <= 5
 """
+
+
+def _clusters(rounds: int, k: int) -> str:
+    """Rounds of assignment and update one after the other; components and distances stay far below 2^53 here."""
+    distance = "list_inner_product(v.e, v.e) - 2 * list_inner_product(v.e, c.e) + list_inner_product(c.e, c.e)"
+    steps = ["""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""", f"""c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id), e) - 1)::INT AS c, e FROM v QUALIFY c < {k}
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, d // {k} AS d, (d % {k})::INT AS c FROM (SELECT v.r, min(({distance})::BIGINT * {k} + c.c) AS d FROM v CROSS JOIN c{i} c GROUP BY v.r)
+)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS MATERIALIZED (
+  SELECT c, k, sum(e[k])::BIGINT AS s, count(*) AS n FROM a{i} JOIN v USING (r), range(1, 65) t(k) GROUP BY c, k
+), c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.c, coalesce(m.e, c{i}.e) AS e FROM c{i} LEFT JOIN (SELECT c, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY k) AS e FROM s{i} GROUP BY c) m ON m.c = c{i}.c
+)""")
+    return "WITH " + ", ".join(steps) + f"""
+SELECT vec_id, a.c AS cluster, a.d::BIGINT AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(a.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(c.e, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} c ON c.c = a.c
+"""
+
+
+ORACLE["op12_va_file_clusters"] = _clusters(5, 40)

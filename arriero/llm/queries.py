@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arriero.llm import decontaminate, language, mixing, near_dup, pivots, repeats, secrets, toxicity, url_filter, warc
+from arriero.llm import alignment, centroids, decontaminate, language, mixing, near_dup, pivots, repeats, secrets, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,15 @@ def op1_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every document with the forest's verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.scan(docs, secrets.fit(docs))
+
+
+@register
+def op11_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of two tokenizers in every document."""
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after five rounds from forty centroids."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
