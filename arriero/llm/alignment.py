@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ CHUNK_BYTES = 64 << 10
 FAN_IN = 16
 #: Pairs whose counts every task gets; all others are joined.
 HEAD_PAIRS = 1 << 16
-#: Words a task remembers, and the longest of them; others are encoded each time.
-MEMO_WORDS, MEMO_CHARS = 1 << 17, 64
+#: Segments a task remembers, and their characters; beyond either it begins anew.
+MEMO_WORDS, MEMO_CHARS = 1 << 18, 1 << 23
 #: Distinct pairs a task gathers before it hands their counts on.
 HELD_PAIRS = 1 << 20
 
@@ -73,56 +74,86 @@ class Pair:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
         self.len_a, self.len_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
         self.blank = self.b.piece_to_id("▁")
+        # an id as it stands in a group, and as the last one of its side
+        self.names_a = np.array([b"%d," % i for i in range(len(self.bytes_a))] + [b"%d|" % i for i in range(len(self.bytes_a))], dtype=object)
+        self.names_b = np.array([b"%d," % i for i in range(len(names))] + [b"%d;" % i for i in range(len(names))], dtype=object)
         self.pieces = len(names)
 
-    def groups(self, segments: Sequence[str]) -> list[tuple[bytes, int, int, np.ndarray] | None]:
-        """For each segment (it begins with a blank): its groups as text, its numbers of tokens and the codes of its linked pairs.
-
-        None where the joined bytes of either tokenizer differ from the segment.
+    def groups(self, segments: Sequence[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of segments (each begins with a blank): groups as texts, numbers of tokens of both, codes of the linked pairs one after the
+        other and their numbers, and which segments both tokenizers give back byte by byte; the others count nothing.
         """
         ids_a = [e.ids for e in self.a.encode_batch_fast(list(segments), add_special_tokens=False)]
         ids_b = [x if s != " " else [self.blank] for s, x in zip(segments, self.b.encode([s[1:] for s in segments], num_threads=1))]
-        out: list[tuple[bytes, int, int, np.ndarray] | None] = []
-        for segment, a, b in zip(segments, ids_a, ids_b):
-            want = segment.encode()
-            if b"".join([self.bytes_a[i] for i in a]) != want or b"".join([self.bytes_b[i] for i in b]) != want:
-                out.append(None)
-                continue
-            a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-            end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-            both = np.intersect1d(end_a, end_b, assume_unique=True)
-            at_a, at_b = np.searchsorted(end_a, both), np.searchsorted(end_b, both)
-            text, i, j = [], 0, 0
-            for x, y in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-                text.append(f"{','.join(map(str, a[i:x].tolist()))}|{','.join(map(str, b[j:y].tolist()))}")
-                i, j = x, y
-            out.append((";".join(text).encode(), len(a), len(b), a[at_a] * self.pieces + b[at_b]))
-        return out
+        want = [s.encode() for s in segments]
+        agree = np.array([self._gives(self.bytes_a, a, w) and self._gives(self.bytes_b, b, w) for a, b, w in zip(ids_a, ids_b, want)], dtype=bool)
+        if not agree.all():
+            ids_a, ids_b = ([x if ok else [] for x, ok in zip(ids, agree)] for ids in (ids_a, ids_b))
+        n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (ids_a, ids_b))
+        a, b = (np.array(list(chain.from_iterable(ids)), dtype=np.int64) for ids in (ids_a, ids_b))
+        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])  # both give back the same bytes, so one scale holds for all
+        both = np.intersect1d(end_a, end_b, assume_unique=True)
+        at_a, at_b = np.searchsorted(end_a, both), np.searchsorted(end_b, both)
+        last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        last_a[at_a], last_b[at_b] = True, True
+        group_a, group_b = np.searchsorted(at_a, np.arange(len(a))), np.searchsorted(at_b, np.arange(len(b)))  # which group a token is in
+        items = np.empty(len(a) + len(b), dtype=object)  # A and B of each group in turn
+        items[np.arange(len(a)) + np.concatenate(([0], at_b + 1))[group_a]] = self.names_a[a + len(self.bytes_a) * last_a]
+        items[np.arange(len(b)) + (at_a + 1)[group_b]] = self.names_b[b + len(self.bytes_b) * last_b]
+        parts, ends = items.tolist(), np.cumsum(n_a + n_b).tolist()
+        text = [b"".join(parts[i:j])[:-1] for i, j in zip([0, *ends], ends)]
+        first = np.searchsorted(at_a, np.concatenate(([0], np.cumsum(n_a))))
+        return text, n_a, n_b, a[at_a] * self.pieces + b[at_b], np.diff(first), agree
+
+    @staticmethod
+    def _gives(table: list[bytes], ids: list[int], want: bytes) -> bool:
+        return b"".join([table[i] for i in ids]) == want
 
 
 class Groups:
-    """Sums and texts of lists of segments; remembers short ones."""
+    """Sums and texts of lists of segments; a segment that comes again is not encoded again."""
 
     def __init__(self, byte_level: bytes, pieces: bytes):
         self.pair = Pair(byte_level, pieces)
-        self.place: dict[str, int] = {}
-        self.known: list[tuple[bytes, int, int, np.ndarray] | None] = []
+        self._forget()
 
-    def many(self, lists: Sequence[list[str]]) -> Iterator[tuple[bytes, int, int, int, np.ndarray, np.ndarray, bool]]:
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.chars, self.text = 0, []
+        self.n_a, self.n_b, self.codes, self.n_codes = (np.zeros(0, np.int64) for _ in range(4))
+        self.agree = np.zeros(0, bool)
+
+    def _learn(self, segments: list[str]) -> None:
+        for k in range(0, len(segments), 8192):
+            some = segments[k: k + 8192]
+            self.place.update(zip(some, range(len(self.text), len(self.text) + len(some))))
+            self.chars += sum(map(len, some))
+            text, *rest = self.pair.groups(some)
+            self.text += text
+            self.n_a, self.n_b, self.codes, self.n_codes, self.agree = (np.concatenate(x) for x in zip((self.n_a, self.n_b, self.codes, self.n_codes, self.agree), rest))
+
+    def many(self, lists: Sequence[list[str]]) -> list[tuple[bytes, int, int, int, np.ndarray, np.ndarray, bool]]:
         """For each list: groups as text, tokens of both, links, distinct codes of links with their numbers, and whether all bytes agree."""
-        if len(self.place) > MEMO_WORDS:
-            self.place, self.known = {}, []
-        missing = list(dict.fromkeys(s for one in lists for s in one if s not in self.place and len(s) <= MEMO_CHARS))
-        for k in range(0, len(missing), 4096):
-            self.place.update(zip(missing[k: k + 4096], range(len(self.known), len(self.known) + 4096)))
-            self.known += self.pair.groups(missing[k: k + 4096])
-        for one in lists:
-            found = [self.known[self.place[s]] if len(s) <= MEMO_CHARS else self.pair.groups([s])[0] for s in one]
-            if not found or any(x is None for x in found):
-                yield b"", 0, 0, 0, np.zeros(0, np.int64), np.zeros(0, np.int64), not found
-                continue
-            codes, n = np.unique(np.concatenate([x[3] for x in found]), return_counts=True)
-            yield b";".join([x[0] for x in found]), sum(x[1] for x in found), sum(x[2] for x in found), int(n.sum()), codes, n, True
+        if len(self.place) > MEMO_WORDS or self.chars > MEMO_CHARS:
+            self._forget()
+        self._learn([s for s in dict.fromkeys(chain.from_iterable(lists)) if s not in self.place])
+        at = np.array([self.place[s] for s in chain.from_iterable(lists)], dtype=np.int64)
+        owner = np.repeat(np.arange(len(lists)), np.array([len(x) for x in lists], dtype=np.int64))
+        per_list = lambda x: np.bincount(owner, weights=x, minlength=len(lists)).astype(np.int64)
+        bad = per_list(~self.agree[at]) > 0
+        n_a, n_b, links = (np.where(bad, 0, per_list(x[at])) for x in (self.n_a, self.n_b, self.n_codes))
+        begin, size = (np.cumsum(self.n_codes) - self.n_codes)[at], self.n_codes[at]
+        place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        span = len(self.pair.bytes_a) * self.pair.pieces
+        key, n = np.unique(np.repeat(owner, size) * span + self.codes[place], return_counts=True)
+        cut = np.searchsorted(key, np.arange(len(lists) + 1) * span).tolist()
+        code, out, numbers, low = key % span, [], at.tolist(), 0
+        for k, one in enumerate(lists):
+            high = low + len(one)
+            i, j = (cut[k], cut[k + 1]) if not bad[k] else (0, 0)
+            out.append((b";".join([self.text[x] for x in numbers[low:high]]) if not bad[k] else b"", int(n_a[k]), int(n_b[k]), int(links[k]), code[i:j], n[i:j], not bad[k]))
+            low = high
+        return out
 
 
 def model_files(folder: str = TOKENIZERS, byte_level: str = BYTE_LEVEL, pieces: str = PIECES) -> tuple[bytes, bytes]:
@@ -195,7 +226,7 @@ def _open(uid, doc_id, low, prefix, suffix) -> tuple:
 
 
 def _closed(groups: Groups, uid, doc_id, at, segments: list[str]) -> tuple:
-    text, n_a, n_b, links, codes, n, agree = next(groups.many([segments]))
+    text, n_a, n_b, links, codes, n, agree = groups.many([segments])[0]
     return uid, doc_id, None, None, None, at, text, n_a, n_b, links, codes.astype("<u8").tobytes(), n.astype("<u4").tobytes(), agree
 
 
