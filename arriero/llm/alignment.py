@@ -14,8 +14,11 @@ written as they arise. Short texts are one fragment. Words repeat, so a task rem
 from __future__ import annotations
 
 import hashlib
+import sys
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,9 @@ FAN_IN = 16
 #: Pairs whose counts every task gets; all others are joined.
 HEAD_PAIRS = 1 << 16
 #: Segments a task remembers, and their characters; beyond either it begins anew.
-MEMO_WORDS, MEMO_CHARS = 1 << 18, 1 << 23
+MEMO_WORDS, MEMO_CHARS = 1 << 17, 1 << 22
+#: Rows encoded together.
+ROWS = 500
 #: Distinct pairs a task gathers before it hands their counts on.
 HELD_PAIRS = 1 << 20
 
@@ -136,7 +141,19 @@ class Groups:
         """For each list: groups as text, tokens of both, links, distinct codes of links with their numbers, and whether all bytes agree."""
         if len(self.place) > MEMO_WORDS or self.chars > MEMO_CHARS:
             self._forget()
-        self._learn([s for s in dict.fromkeys(chain.from_iterable(lists)) if s not in self.place])
+        missing = Counter(s for s in chain.from_iterable(lists) if s not in self.place)
+        again, once = [s for s, n in missing.items() if n > 1], [s for s, n in missing.items() if n == 1]
+        self._learn(again)
+        kept = len(self.text), len(self.codes), self.chars
+        self._learn(once)
+        out = self._many(lists)
+        for s in once:  # most of these never come again
+            del self.place[s]
+        self.chars, self.codes = kept[2], self.codes[: kept[1]]
+        self.text, self.n_a, self.n_b, self.n_codes, self.agree = (x[: kept[0]] for x in (self.text, self.n_a, self.n_b, self.n_codes, self.agree))
+        return out
+
+    def _many(self, lists: Sequence[list[str]]) -> list[tuple[bytes, int, int, int, np.ndarray, np.ndarray, bool]]:
         at = np.array([self.place[s] for s in chain.from_iterable(lists)], dtype=np.int64)
         owner = np.repeat(np.arange(len(lists)), np.array([len(x) for x in lists], dtype=np.int64))
         per_list = lambda x: np.bincount(owner, weights=x, minlength=len(lists)).astype(np.int64)
@@ -156,6 +173,16 @@ class Groups:
         return out
 
 
+def kept_groups(files: tuple[bytes, bytes]) -> Groups:
+    """The ``Groups`` of this worker process: functions arrive anew with each task, so what they share is kept beside them."""
+    kept = sys.modules.setdefault("_arriero_kept", ModuleType("_arriero_kept")).__dict__.setdefault("alignment", {})
+    name = tuple(hashlib.sha256(x).digest() for x in files)
+    if name not in kept:
+        kept.clear()
+        kept[name] = Groups(*files)
+    return kept[name]
+
+
 def model_files(folder: str = TOKENIZERS, byte_level: str = BYTE_LEVEL, pieces: str = PIECES) -> tuple[bytes, bytes]:
     """Contents of both vocabulary files, read once on the driver (a few MB) and sent with the tasks."""
     with open(f"{folder}/{byte_level}", "rb") as one, open(f"{folder}/{pieces}", "rb") as two:
@@ -170,8 +197,8 @@ def _short(files: tuple[bytes, bytes]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = None
-        for batch in batches:
-            groups = groups or Groups(*files)
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
+            groups = groups or kept_groups(files)
             texts = batch.column("text").to_pylist()
             rows = []
             for text, n_a, n_b, links, codes, n, agree in groups.many([cuts(" " + t) if t else [] for t in texts]):
@@ -257,7 +284,7 @@ def _leaves(files: tuple[bytes, bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = None
         for batch in batches:
-            groups = groups or Groups(*files)
+            groups = groups or kept_groups(files)
             for uid, doc_id, low, part in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "low", "part"))):
                 prefix, closed, suffix = fragment(part)
                 out = [_open(uid, doc_id, low, prefix, suffix)]
@@ -271,12 +298,8 @@ def _leaves(files: tuple[bytes, bytes]):
 def _node(files: tuple[bytes, bytes], last: bool):
     """One step of the reduction: neighbouring fragments of a text to one, and the groups that closes. The last one closes all."""
 
-    made: list[Groups] = []  # one for all groups of a task
-
     def run(table: pa.Table) -> pa.Table:
-        if not made:
-            made.append(Groups(*files))
-        groups, out, have = made[0], [], None
+        groups, out, have = kept_groups(files), [], None
         for row in table.sort_by("low").to_pylist():
             uid, doc_id = row["uid"], row["doc_id"]
             one = (row["prefix"], row["suffix"])
