@@ -92,3 +92,6 @@ FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} c ON c.c = a.c
 
 
 ORACLE["op12_va_file_clusters"] = _clusters(5, 40)
+
+ORACLE["op13_multi_match_join"] = ORACLE["op10_minhash_forest"].replace("100 * count(*) >= 75 *", "100 * count(*) >= 80 *").replace(
+    "coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept", "coalesce(n, 0) AS n_shingles, component_id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arriero.llm import alignment, centroids, decontaminate, language, mixing, near_dup, pivots, repeats, secrets, toxicity, url_filter, warc
+from arriero.llm import alignment, centroids, decontaminate, jaccard_join, language, mixing, near_dup, pivots, repeats, secrets, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +102,9 @@ def op11_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector after five rounds from forty centroids."""
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_multi_match_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under shingle similarity 0.8."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))

@@ -12,6 +12,7 @@ COLUMNS = {
     "op6": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"], "op7": ["doc_id", "size", "source_size", "target", "taken"],
     "op8": ["page_id", "host", "path", "rule", "verdict"], "op9": ["doc_id", "held_out", "lang_pred", "score"], "op10": ["doc_id", "n_shingles", "component_id", "kept"],
     "op11": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"], "op12": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
+    "op13": ["doc_id", "n_shingles", "component_id"],
 }
 
 
