@@ -30,10 +30,10 @@ WIDTH = 5
 PERCENT = 80
 #: Counters of the frequency estimate, and rows in which they travel.
 COUNTERS, SLICES = 1 << 18, 64
-#: Matches that a document may ask for.
-MATCHES = (1, 2, 4, 8, 16, 32)
-#: What a candidate costs, in prefix rows.
-CANDIDATE_COST = 4
+#: Matches that a document may ask for, as parts of its set; one match is always possible.
+MATCHES = (1 / 32, 1 / 16, 1 / 8, 1 / 4)
+#: What a candidate costs, in prefix rows, and the partners that any shingle is taken to have (the counters can't tell small numbers).
+CANDIDATE_COST, USUAL_PARTNERS = 4, 0.5
 #: Members a document meets in each round, rounds, and documents that meet one member in one group.
 MEETS, MEET_ROUNDS, GROUP = 2, 2, 200
 
@@ -85,10 +85,10 @@ def prefix(shingles: np.ndarray, often: np.ndarray, level: np.ndarray, percent:
     least = -(-percent * n // 100)
     at = (shingles >> np.uint64(46)).astype(np.int64)
     order = np.argsort(level[at], kind="stable")
-    cost = np.cumsum(often[at[order]])
+    cost = np.cumsum(often[at[order]] + USUAL_PARTNERS)
     best, m = None, 1
-    for k in MATCHES:
-        if k <= least:
+    for k in (1, *[int(part * n) for part in MATCHES]):
+        if 1 <= k <= least:
             length = n - least + k
             price = length + CANDIDATE_COST * cost[length - 1] / k
             if best is None or price < best:
@@ -202,16 +202,20 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_round
 
     rows = own.mapInArrow(_prefixes(width, percent, estimated(counters)), "token long, doc long, n long, m int")
     first = written(rows.repartition(parts, "token").sortWithinPartitions("token", F.xxhash64("doc")).mapInArrow(_lists, "token long, doc long, n long, m int, first long"), "lists")
-    live = first.select("doc").distinct()
-    held = with_possible_match(own, "doc_id", live.withColumnRenamed("doc", "live_id"), "live_id", "maybe").where("maybe")
-    held = written(held.join(live, F.col("doc_id") == F.col("doc")).select("doc", "text").dropDuplicates(["doc", "text"]), "held")
+
+    def held(pairs: DataFrame) -> DataFrame:
+        """(doc, text) of the documents in ``pairs``; most texts have none and need no shuffle."""
+        ids = written(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), "asked")
+        maybe = with_possible_match(own, "doc_id", ids.withColumnRenamed("doc", "asked_id"), "asked_id", "asked").where("asked")
+        return written(maybe.join(ids, F.col("doc_id") == F.col("doc")).select("doc", "text", F.xxhash64("text").alias("h")).dropDuplicates(["doc", "h"]).drop("h"), "held")
 
     links = ties
     lists, state = first, None
     for turn in range(meet_rounds):
-        met = lists.where("doc != first").groupBy("doc", "first").agg(F.count("*").alias("shared"))
+        met = lists.where("doc != first").groupBy("doc", "first").agg(F.count("*").alias("shared"), F.max("m").alias("m")).where("2 * shared >= m")
         chosen = met.withColumn("place", F.row_number().over(Window.partitionBy("doc").orderBy(F.desc("shared"), "first"))).where(F.col("place") <= MEETS)
-        links = written(links.unionByName(decided(chosen.select(F.col("doc").alias("a"), F.col("first").alias("b")), held, width, percent)).distinct(), "links")
+        pairs = written(chosen.select(F.col("doc").alias("a"), F.col("first").alias("b")), "met")
+        links = written(links.unionByName(decided(pairs, held(pairs), width, percent)).distinct(), "links")
         state = written(components(links), "state")
         # lists with members of different components only
         named_rows = first.join(state.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", "n", "m", F.coalesce("component", "doc").alias("c"))
@@ -220,11 +224,12 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_round
         if turn < meet_rounds - 1:
             # another first member: the first one, in a new order, of the component that has the most members in the list
             most = open_rows.groupBy("token", "c").agg(F.count("*").alias("k"), F.min_by("doc", F.xxhash64("doc", F.lit(turn))).alias("d")).groupBy("token").agg(F.max_by(F.struct("c", "d"), F.struct("k", "c")).alias("w"))
-            lists = open_rows.join(most, "token").where("c != w.c").select("doc", F.col("w.d").alias("first"))
+            lists = open_rows.join(most, "token").where("c != w.c").select("doc", "m", F.col("w.d").alias("first"))
     a, b = (open_rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "m", "c")]) for side in "ab")
     near = a.join(b, "token").where(F.col("c_a") < F.col("c_b")).where(_near("n_a", "n_b", percent))
     pairs = near.groupBy(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).agg(F.count("*").alias("shared"), F.least(F.max("m_a"), F.max("m_b")).alias("asked")).where("shared >= asked")
-    found = components(written(links.unionByName(decided(written(pairs.select("a", "b"), "candidates"), held, width, percent)), "links"))
+    pairs = written(pairs.select("a", "b"), "candidates")
+    found = components(written(links.unionByName(decided(pairs, held(pairs), width, percent)), "links"))
     groups = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("c"))
     return marks.join(groups, ["low", "high", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
