@@ -31,7 +31,7 @@ PERCENT = 80
 #: Counters of the frequency estimate, and rows in which they travel.
 COUNTERS, SLICES = 1 << 18, 64
 #: Matches that a document may ask for, as parts of its set; one match is always possible.
-MATCHES = (1 / 32, 1 / 16, 1 / 8, 1 / 4)
+MATCHES = (1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2)
 #: What a candidate costs, in prefix rows, and the partners that any shingle is taken to have (the counters can't tell small numbers).
 CANDIDATE_COST, USUAL_PARTNERS = 4, 0.5
 #: Members a document meets in each round, rounds, and documents that meet one member in one group.
@@ -173,6 +173,13 @@ def _near(n: str, other: str, percent: int):
     return 100 * F.least(n, other) >= percent * F.greatest(n, other)
 
 
+def _asked(percent: int):
+    """Prefix shingles that two sets of these sizes have to share: of the one whose prefix ends first, all but the rest behind it."""
+    least = lambda n: F.ceil(percent * F.col(n) / 100)
+    both = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    return both - F.greatest(least("n_a") - F.col("m_a"), least("n_b") - F.col("m_b"))
+
+
 def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_rounds: int = MEET_ROUNDS) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -227,7 +234,8 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_round
             lists = open_rows.join(most, "token").where("c != w.c").select("doc", "m", F.col("w.d").alias("first"))
     a, b = (open_rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "m", "c")]) for side in "ab")
     near = a.join(b, "token").where(F.col("c_a") < F.col("c_b")).where(_near("n_a", "n_b", percent))
-    pairs = near.groupBy(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).agg(F.count("*").alias("shared"), F.least(F.max("m_a"), F.max("m_b")).alias("asked")).where("shared >= asked")
+    pairs = near.groupBy(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).agg(
+        F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("n_a", "m_a", "n_b", "m_b")]).where(F.col("shared") >= _asked(percent))
     pairs = written(pairs.select("a", "b"), "candidates")
     found = components(written(links.unionByName(decided(pairs, held(pairs), width, percent)), "links"))
     groups = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("c"))
