@@ -101,15 +101,47 @@ def scd1_history(months: DataFrame, key: str, since: str, compare: Sequence[str]
     return last.select(surrogate_key(F.col(key)).alias(sk), key, *[F.col(f"_u.{c}").alias(c) for c in update], now.alias("actualizado_en"))
 
 
+AGENCY, AGENCY_ATTRIBUTES = "codigo_organismo", ["nombre_organismo", "sector"]
+UNIT, UNIT_ATTRIBUTES, UNIT_COMPARED = "codigo_unidad", ["nombre_unidad", "rut_unidad", "region_unidad", "codigo_organismo"], ["nombre_unidad", "region_unidad"]
+SUPPLIER, SUPPLIER_TRACKED, SUPPLIER_OVERWRITTEN, SUPPLIER_PASSIVE = (
+    "codigo_proveedor", ["nombre_proveedor"], ["rut_proveedor", "actividad_proveedor", "region_proveedor"], ["es_persona_natural"])
+
+
+def star_loads(stage: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What each month of ``stage`` brings to the dimensions: one row per (agency, month), (unit, month) and (supplier, month)."""
+    return (representative(stage, [AGENCY, "mes"], AGENCY_ATTRIBUTES), representative(stage, [UNIT, "mes"], UNIT_ATTRIBUTES),
+            representative(stage, [SUPPLIER, "mes"], [*SUPPLIER_TRACKED, *SUPPLIER_OVERWRITTEN], SUPPLIER_PASSIVE))
+
+
+def agency_history(loads: DataFrame, now: Column) -> DataFrame:
+    return scd1_history(loads, AGENCY, "mes", AGENCY_ATTRIBUTES, AGENCY_ATTRIBUTES, "sk_organismo", now)
+
+
+def unit_history(loads: DataFrame, now: Column) -> DataFrame:
+    return scd1_history(loads, UNIT, "mes", UNIT_COMPARED, UNIT_ATTRIBUTES, "sk_unidad", now)
+
+
+def supplier_history(loads: DataFrame) -> DataFrame:
+    """Supplier versions from loads whose ``mes`` is a month, or the whole date on which a stored version began."""
+    dated = loads.withColumn("_desde", F.to_date(F.concat(F.substring("mes", 1, 7), F.lit("-01"))))
+    versions = scd2_history(dated, SUPPLIER, "_desde", SUPPLIER_TRACKED, SUPPLIER_OVERWRITTEN, SUPPLIER_PASSIVE)
+    return versions.select(surrogate_key(F.col(SUPPLIER), F.col("vigente_desde")).alias("sk_proveedor"), *versions.columns)
+
+
 def star_history(stage: DataFrame, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(agencies, units, supplier versions) after loading all months of ``stage`` in ascending order, in one plan."""
-    agency, unit = ["nombre_organismo", "sector"], ["nombre_unidad", "rut_unidad", "region_unidad", "codigo_organismo"]
-    tracked, overwrite, passive = ["nombre_proveedor"], ["rut_proveedor", "actividad_proveedor", "region_proveedor"], ["es_persona_natural"]
-    agencies = scd1_history(representative(stage, ["codigo_organismo", "mes"], agency), "codigo_organismo", "mes", agency, agency, "sk_organismo", now)
-    units = scd1_history(representative(stage, ["codigo_unidad", "mes"], unit), "codigo_unidad", "mes", ["nombre_unidad", "region_unidad"], unit, "sk_unidad", now)
-    loads = representative(stage, ["codigo_proveedor", "mes"], [*tracked, *overwrite], passive).withColumn("_desde", F.to_date(F.concat("mes", F.lit("-01"))))
-    versions = scd2_history(loads, "codigo_proveedor", "_desde", tracked, overwrite, passive)
-    return agencies, units, versions.select(surrogate_key(F.col("codigo_proveedor"), F.col("vigente_desde")).alias("sk_proveedor"), *versions.columns)
+    agencies, units, suppliers = star_loads(stage)
+    return agency_history(agencies, now), unit_history(units, now), supplier_history(suppliers)
+
+
+def splice_scd1(stored: DataFrame, history: DataFrame, key: str, update: Sequence[str]) -> DataFrame:
+    """``stored`` with the keys of ``history`` replaced; a key whose values did not change keeps its time."""
+    before = stored.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in update], F.col("actualizado_en").alias("_at"))
+    same = F.lit(True)
+    for c in update:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    fresh = history.join(before, F.col(key) == F.col("_k"), "left").withColumn("actualizado_en", F.when(F.col("_k").isNotNull() & same, F.col("_at")).otherwise(F.col("actualizado_en")))
+    return stored.join(history.select(key), key, "left_anti").select(*stored.columns).unionByName(fresh.select(*stored.columns))
 
 
 # ---------------------------------------------------------------- SCD2

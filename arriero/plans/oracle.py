@@ -343,6 +343,7 @@ ORACLE: dict[str, str] = {
     "entity_documents": _with(SUMMARY, EXPLODED),
     "publish_documents": _with(SUMMARY, EXPLODED),
     "warehouse_months": _with(SUMMARY, EXPLODED),
+    "warehouse_increment": _with(SUMMARY, EXPLODED),
     "hhi_by_entity": _with(SUMMARY, "SELECT mes, codigo_organismo, proveedores, hhi FROM summary WHERE posicion = 1"),
     "flagged_spend_share": _with(SUMMARY, """
         SELECT mes, codigo_organismo, CAST(directo AS DOUBLE) AS monto_trato_directo_clp, CAST(agil AS DOUBLE) AS monto_compra_agil_clp,

@@ -359,6 +359,19 @@ def warehouse_months(spark: SparkSession, sf: str) -> DataFrame:
     return exploded(jobs.read_documents(spark, f"{base}/api"))
 
 
+@register
+def warehouse_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """The star of every second month, then of the months between them in one plan; summarised and published."""
+    base = scratch_dir(spark, "bodega")
+    stage = fx.stage(spark, sf).withColumn("rut_unidad", F.lit(None).cast("string")).withColumn("actividad_proveedor", F.lit(None).cast("string"))
+    stage = fx.written(stage, "stage", "mes")
+    months, calendar = fx.order_month_list(stage), dims.calendar_dim(spark, "1990-01-01")
+    for some in (months[::2], months[1::2]):
+        jobs.increment_months(spark, stage, base, some, moment(LOAD_1, "timestamp"), calendar)
+    jobs.summary_job(spark, base, months, f"{base}/api")
+    return exploded(jobs.read_documents(spark, f"{base}/api"))
+
+
 @register
 def publish_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents published twice and read through the registry."""

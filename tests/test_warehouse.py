@@ -177,6 +177,58 @@ def test_backfill_equals_the_ascending_loop(spark, stage, tmp_path):
         jobs.backfill_months(spark, stage, once, chosen, now())
 
 
+def versions_of(spark, seed):
+    """Items of four months whose supplier and agency attributes move, in and out of single months."""
+    import random
+
+    rng, out, order = random.Random(seed), [], 0
+    for mes in ("2024-01", "2024-02", "2024-03", "2024-04", "2024-05"):
+        for code in range(12):
+            if rng.random() < 0.7:
+                order += 1
+                out.append((order, f"OC{order}", mes, f"P{code}", rng.choice("AB"), rng.choice("xyz"), rng.random() < 0.5, f"O{code % 4}", rng.choice("mn"), f"U{code % 5}", rng.choice("ru")))
+    return out
+
+
+def small_stage(spark, stage, found):
+    base = stage.limit(1).drop("id_item", "codigo", "mes", "codigo_proveedor", "nombre_proveedor", "region_proveedor", "es_persona_natural", "codigo_organismo", "sector", "codigo_unidad", "nombre_unidad")
+    given = spark.createDataFrame(found, "id_item long, codigo string, mes string, codigo_proveedor string, nombre_proveedor string, region_proveedor string, es_persona_natural boolean, "
+                                  "codigo_organismo string, sector string, codigo_unidad string, nombre_unidad string")
+    return given.crossJoin(base).select(*stage.columns)
+
+
+@pytest.mark.parametrize("first, then", [([0, 1, 2], [3, 4]), ([3], [0, 1, 2, 4]), ([0, 1, 2, 3, 4], [1, 2])])
+def test_increments_equal_one_backfill(spark, stage, tmp_path, first, then):
+    """Months behind, before and between the loaded ones, and months loaded again."""
+    once, twice = str(tmp_path / "a"), str(tmp_path / "b")
+    rows_ = small_stage(spark, stage, versions_of(spark, 7)).cache()
+    months, calendar = sorted(r.mes for r in rows_.select("mes").distinct().collect()), dims.calendar_dim(spark, "1990-01-01")
+    jobs.backfill_months(spark, rows_, once, months, now(), calendar)
+    jobs.increment_months(spark, rows_, twice, [months[i] for i in first], now(), calendar)
+    jobs.increment_months(spark, rows_, twice, [months[i] for i in then], now(), calendar)
+    for name in ("dim_organismo", "dim_unidad_compra", "dim_proveedor"):
+        a, b = read_whole(spark, once, name), read_whole(spark, twice, name)
+        assert rows(a.select(*sorted(a.columns))) == rows(b.select(*sorted(a.columns))), name
+    for a, b in zip(fact_rows(spark, once), fact_rows(spark, twice)):
+        assert rows(a) == rows(b)
+    rows_.unpersist()
+
+
+def test_an_order_in_two_loads_is_found_by_the_index(spark, stage, tmp_path):
+    root, calendar = str(tmp_path), dims.calendar_dim(spark, "1990-01-01")
+    found = versions_of(spark, 8)
+    one, two = [r for r in found if r[2] == "2024-01"], [r for r in found if r[2] == "2024-02"]
+    jobs.increment_months(spark, small_stage(spark, stage, one), root, ["2024-01"], now(), calendar)
+    clash = [(*two[0][:1], one[0][1], *two[0][2:]), *two[1:]]
+    with pytest.raises(RuntimeError, match="otro mes=1"):
+        jobs.increment_months(spark, small_stage(spark, stage, clash), root, ["2024-02"], now(), calendar)
+    keys = jobs.order_keys(small_stage(spark, stage, two))
+    other = jobs.keys_of_other_months(spark, root, keys, ["2024-02"])
+    assert other.count() > 0 and all(f"/{jobs.KEY_INDEX}/" in f for f in other.inputFiles())
+    with pytest.raises(RuntimeError, match="otro mes=1"):
+        jobs.warehouse_job(spark, small_stage(spark, stage, clash), root, "2024-02", now(), calendar)
+
+
 def test_route_codes_are_unique_and_have_a_service(spark):
     deco = spark.createDataFrame([("T1", "1I"), ("T1", "1I"), ("T2", "2R")], "codigo_usuario string, codigo_ruta string")
     assert dims.route_dim(deco, now()).count() == 2
