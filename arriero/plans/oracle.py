@@ -559,3 +559,8 @@ ORACLE["position_pipeline"] = _with(FIELDS, """
     FROM fresh_positions QUALIFY row_number() OVER (PARTITION BY patente ORDER BY gps DESC, latitud DESC, longitud DESC, velocidad DESC, servicio DESC) = 1""")
 
 ORACLE["orders_job_table"] = "SELECT codigo, codigo_organismo, codigo_proveedor, total, '2024-01-31' AS fecha FROM (" + ORACLE["typed_orders_nested"] + ")"
+ORACLE["stream_retries"] = """
+    SELECT user_id, count(*) AS registros, arg_max(event_id, struct_pack(ts, event_id)) AS vigente FROM events GROUP BY user_id"""
+ORACLE["history_compacted"] = """
+    SELECT strftime(ts, '%Y-%m-%d') AS fecha, '00' AS hora, count(*) AS registros, min(event_id) AS desde, max(event_id) AS hasta, 1 AS archivos
+    FROM events GROUP BY 1"""

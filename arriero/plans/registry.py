@@ -603,6 +603,41 @@ def stream_both_outputs(spark: SparkSession, sf: str) -> DataFrame:
     return history.join(state, ["fecha", "hora"], "left").fillna(0, ["vigentes"])
 
 
+def _weekly(spark: SparkSession, sf: str, base: str, repeated: bool) -> DataFrame:
+    """Events as a stream of one file a week; with ``repeated`` each file also brings all records of the week before again."""
+    events = fx.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    week = F.floor((F.dayofmonth("ts") - 1) / 7)
+    for i in range(5 + repeated):
+        events.where((week == i) | (week == i - 1) if repeated else week == i).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    return stream.read_stream(spark, f"{base}/in", events.schema, files_per_batch=1)
+
+
+@register
+def stream_retries(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record comes twice, the second time a week late; history and snapshot have it once."""
+    base = scratch_dir(spark, "reintentos")
+    stream.both_outputs(_weekly(spark, sf, base, True), f"{base}/t", f"{base}/h", f"{base}/cp", ["user_id"], ["ts", "event_id"], at=F.date_trunc("day", "ts"),
+                        once=(["event_id"], "ts", "16 days")).awaitTermination()
+    history = stream.read_history(spark, f"{base}/h", "event_id bigint, user_id bigint").groupBy("user_id").agg(F.count(F.lit(1)).alias("registros"))
+    return history.join(stream.current_snapshot(spark, f"{base}/t").select("user_id", F.col("event_id").alias("vigente")), "user_id")
+
+
+@register
+def history_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Records and files per day of a history that was packed twice, with batches before, between and after."""
+    base = scratch_dir(spark, "paquetes")
+    fields = "event_id bigint, user_id bigint, value double"
+    events = fx.table(spark, sf, "events")
+    for i in range(4):
+        events.where(F.col("event_id") % 4 == i).repartition(3, "event_id").write.mode("append").parquet(f"{base}/in")
+        source = stream.read_stream(spark, f"{base}/in", events.schema, files_per_batch=1)
+        stream.both_outputs(source, f"{base}/t", f"{base}/h", f"{base}/cp", ["user_id"], ["ts", "event_id"], at=F.date_trunc("day", "ts")).awaitTermination()
+        if i in (1, 3):
+            stream.compact_history(spark, f"{base}/h", fields)
+    rows = stream.read_history(spark, f"{base}/h", fields).withColumn("archivo", F.input_file_name())
+    return rows.groupBy("fecha", "hora").agg(F.count(F.lit(1)).alias("registros"), F.min("event_id").alias("desde"), F.max("event_id").alias("hasta"), F.count_distinct("archivo").alias("archivos"))
+
+
 @register
 def position_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Payload files to records, positions, keyed messages, decoded again by a stream into the state and the history."""

@@ -105,3 +105,9 @@ def files(spark: SparkSession, pattern: str) -> list[str]:
     """Plain files matching a glob pattern."""
     fs, p = _open(spark, pattern)
     return [str(status.getPath().toString()) for status in fs.globStatus(p) or [] if status.isFile()]
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path."""
+    fs, p = _open(spark, path)
+    return fs.getContentSummary(p).getLength()

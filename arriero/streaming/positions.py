@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from arriero.operators.dedupe import keep_latest
 from arriero.sinks import fs
+from arriero.sinks.tables import observed, written
 
 POINTER = "_vigente.json"
 STREAM_FILE = "_flujo"
@@ -180,13 +181,100 @@ def write_history(batch: DataFrame, history: str, batch_id: int, stream: str, at
 
 
 def both_outputs(stream: DataFrame, root: str, history: str, checkpoint: str, keys: Sequence[str], order: Sequence[str],
-                 every: str | None = None, at: Column | None = None) -> StreamingQuery:
-    """Snapshot and history from one stream; the batch is read from its source once per output, not kept in memory."""
+                 every: str | None = None, at: Column | None = None, keep: Column | None = None,
+                 once: tuple[Sequence[str], str, str] | None = None) -> StreamingQuery:
+    """Snapshot and history from one stream; the batch is read from its source once per output, not kept in memory.
+
+    ``once`` (ids, event time, delay) absorbs retries: a record whose ids came before within the delay is in neither output, and one
+    later than the delay is dropped. The batch is then written aside first, so its state is computed once. ``keep`` expires snapshot rows.
+    """
     name = stream_id(stream.sparkSession, checkpoint)
+    stream = without_retries(stream, *once) if once else stream
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = written(batch, "lote") if once else batch
         write_history(batch, history, batch_id, name, at)
-        apply_batch(root, batch, batch_id, keys, order, name)
+        apply_batch(root, batch, batch_id, keys, order, name, keep)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
+
+
+# ---------------------------------------------------------------- compaction of the history
+
+#: Numbered records of what the packed history holds, each created only if absent.
+PACKED = "_compactado"
+#: Bytes from which on a packed hour is not opened again.
+PACK_BYTES = 256 << 20
+
+
+def _packed(spark: SparkSession, history: str) -> tuple[int, dict]:
+    """Number and content of the newest record: the last packed batch of each stream, and folders and bytes by hour."""
+    records = sorted(fs.files(spark, f"{history}/{PACKED}/*.json"))
+    if not records:
+        return 0, {"hasta": {}, "horas": {}, "retiradas": []}
+    return int(records[-1].rpartition("/")[2].split(".")[0]), json.loads(fs.read_text(spark, records[-1]))
+
+
+def _pending(spark: SparkSession, history: str, state: dict) -> dict[tuple[str, int], str]:
+    """Complete batch folders that no record covers, by stream and batch. A replay of a packed batch is covered already."""
+    out = {}
+    for folder in fs.folders(spark, f"{history}/flujo=*/lote=*"):
+        flujo, lote = (x.split("=", 1)[1] for x in folder.rstrip("/").split("/")[-2:])
+        if int(lote) > state["hasta"].get(flujo, -1) and fs.exists(spark, f"{folder}/_SUCCESS"):
+            out[flujo, int(lote)] = folder
+    return out
+
+
+def _history_rows(spark: SparkSession, history: str, schema: str, batches: Sequence[str], hours: Sequence[str]) -> DataFrame:
+    reader = spark.read.schema(f"{schema}, fecha string, hora string").option("basePath", history)
+    empty = spark.createDataFrame([], f"{schema}, fecha string, hora string")
+    loose = reader.json(list(batches)).select(*empty.columns) if batches else empty
+    return loose.unionByName(reader.json([f"{history}/{h}" for h in hours]).select(*empty.columns)) if hours else loose
+
+
+def read_history(spark: SparkSession, history: str, schema: str) -> DataFrame:
+    """All records of the history once, packed or not, with ``fecha`` and ``hora``; ``schema`` names the record's fields."""
+    state = _packed(spark, history)[1]
+    return _history_rows(spark, history, schema, list(_pending(spark, history, state).values()), [f for packs in state["horas"].values() for f, _ in packs])
+
+
+def compact_history(spark: SparkSession, history: str, schema: str, pack_bytes: int = PACK_BYTES) -> int:
+    """Pack the finished batches into few files per hour; returns the batches packed.
+
+    Each hour's new records join the hour's last pack unless that is full, so an hour has as many packs as it has multiples of
+    ``pack_bytes``, and full packs are not read again. Everything becomes visible with one numbered record, which readers follow: they see a batch either loose or
+    packed. Someone else's record with the same number makes this run undo itself and return 0. What a record retires is deleted by
+    the next one, so readers of the version before finish. It may run beside the stream that writes batches.
+    """
+    number, state = _packed(spark, history)
+    pending = _pending(spark, history, state)
+    if not pending:
+        return 0
+    loose = _history_rows(spark, history, schema, list(pending.values()), [])
+    touched = {f"{r.fecha}/{r.hora}" for r in loose.select("fecha", "hora").distinct().collect()}  # the hours of these batches
+    open_packs = {h: state["horas"][h][-1][0] for h in touched if h in state["horas"] and state["horas"][h][-1][1] < pack_bytes}
+    rows = _history_rows(spark, history, schema, list(pending.values()), list(open_packs.values()))
+    run = f"paquete={uuid.uuid4().hex}"
+    counted, seen = observed(rows.hint("rebalance", "fecha", "hora"), "paquete")
+    counted.write.partitionBy("fecha", "hora").json(f"{history}/{run}")
+    made = _history_rows(spark, history, schema, [], [run])
+    if made.count() != seen.get["filas"]:
+        raise RuntimeError(f"{run}: rows stored and rows written differ")
+    hours = {h: [p for p in packs if p[0] != open_packs.get(h)] for h, packs in state["horas"].items()}
+    for h in touched:
+        folder = "{}/fecha={}/hora={}".format(run, *h.split("/"))
+        hours.setdefault(h, []).append([folder, fs.size(spark, f"{history}/{folder}")])
+    until = dict(state["hasta"])
+    for flujo, lote in pending:
+        until[flujo] = max(lote, until.get(flujo, -1))
+    retired = [*(f"flujo={f}/lote={n}" for f, n in pending), *open_packs.values()]
+    record = json.dumps({"hasta": until, "horas": hours, "retiradas": retired}, sort_keys=True)
+    if not fs.create_text(spark, f"{history}/{PACKED}/{number + 1:012d}.json", record):
+        fs.delete(spark, f"{history}/{run}")
+        return 0
+    for old in state["retiradas"]:
+        fs.delete(spark, f"{history}/{old}")
+    for old in sorted(fs.files(spark, f"{history}/{PACKED}/*.json"))[:-2]:
+        fs.delete(spark, old)
+    return len(pending)

@@ -137,6 +137,49 @@ def test_archive_and_both_outputs(spark, event_files, tmp_path):
     assert rows(stream.current_snapshot(spark, str(tmp_path / "s"))) == expected(spark, event_files)
 
 
+def test_history_is_packed_and_read_once(spark, tmp_path):
+    """Loose and packed batches, a full pack, a replay of a packed batch, an unfinished batch, and two packers at once."""
+    history, fields = str(tmp_path / "h"), "event_id bigint"
+    hour = lambda h: F.lit(dt.datetime(2024, 1, 1, h))
+    ids = lambda: sorted(r.event_id for r in stream.read_history(spark, history, fields).collect())
+    put = lambda low, high, batch, h: stream.write_history(spark.range(low, high, 1, 3).toDF("event_id"), history, batch, "s", hour(h))
+    assert stream.compact_history(spark, history, fields) == 0 and ids() == []
+    put(0, 10, 0, 5)
+    put(10, 20, 1, 5)
+    assert ids() == list(range(20))
+    assert stream.compact_history(spark, history, fields) == 2 and ids() == list(range(20))
+    put(10, 20, 1, 5)  # replayed after it was packed
+    put(20, 30, 2, 5)
+    put(30, 40, 3, 6)
+    (tmp_path / "h/flujo=s/lote=4/fecha=2024-01-01/hora=06").mkdir(parents=True)  # still being written
+    assert ids() == list(range(40))
+    before = stream._packed(spark, history)
+    assert stream.compact_history(spark, history, fields) == 2 and ids() == list(range(40))
+    rows_ = stream.read_history(spark, history, fields).withColumn("f", F.input_file_name()).groupBy("hora").agg(F.count_distinct("f").alias("n")).collect()
+    assert {r.hora: r.n for r in rows_} == {"05": 1, "06": 1}
+    put(40, 50, 5, 5)
+    assert stream.compact_history(spark, history, fields, pack_bytes=1) == 1 and ids() == list(range(50))  # the full pack stays as it is
+    assert len(stream._packed(spark, history)[1]["horas"]["2024-01-01/05"]) == 2
+    put(50, 60, 6, 7)
+    now = stream._packed
+    try:
+        stream._packed = lambda *_: (now(spark, history)[0] - 1, now(spark, history)[1])  # another packer was faster
+        assert stream.compact_history(spark, history, fields) == 0
+    finally:
+        stream._packed = now
+    assert before[0] == 1 and ids() == list(range(60))
+
+
+def test_retries_reach_neither_output(spark, tmp_path):
+    rows_ = [(1, NOW, 1, 1.0), (2, NOW + dt.timedelta(minutes=1), 1, 2.0)]
+    for _ in range(2):
+        spark.createDataFrame(rows_, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    typed = stream.read_stream(spark, str(tmp_path / "in"), SCHEMA, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    stream.both_outputs(typed, str(tmp_path / "s"), str(tmp_path / "h"), str(tmp_path / "cp"), ["user_id"], ["ts", "event_id"], once=(["event_id"], "ts", "1 hour")).awaitTermination()
+    assert stream.read_history(spark, str(tmp_path / "h"), "event_id bigint").count() == 2
+    assert [r.event_id for r in stream.current_snapshot(spark, str(tmp_path / "s")).collect()] == [2]
+
+
 def test_a_new_checkpoint_on_an_old_table_loses_nothing(spark, tmp_path):
     """Batch numbers start again from 0; all three writers keep what the first stream stored."""
     root, hist, ups = str(tmp_path / "t"), str(tmp_path / "h"), str(tmp_path / "u")
