@@ -1,6 +1,6 @@
 """Centroid clustering over a vector-approximation file.
 
-Each component of a vector is kept as the number of its cell, a few bits; the cells of a dimension are bounded by quantiles. Per
+Each component of a vector is kept as the number of its cell, a few bits; the cells of a dimension are even between two quantiles. Per
 centroid, dimension and cell a table has the least and the greatest squared difference that a component in that cell can have, so the
 sums over a vector's cells are an interval of its squared distance. A centroid whose lower end exceeds another's upper end is out.
 Rounds read the approximations only; full vectors are fetched for rows with more than one centroid left, and for rows that
@@ -29,9 +29,10 @@ ROUNDS = 5
 SEED = "2"
 SCALE = 256
 #: Bits of a cell number.
-BITS = 6
-#: Rows whose quantiles bound the cells; the bounds change how often full vectors are fetched, never the result.
-SAMPLE_ROWS = 20_000
+BITS = 7
+#: Rows whose quantiles end the even cells of a dimension; what lies beyond has the two outer cells. The bounds change how often full
+#: vectors are fetched, never the result.
+SAMPLE_ROWS, TAILS = 20_000, (0.001, 0.999)
 #: Components up to this size are computed in 64 bits without overflow: 64 squares of differences stay under 2^63.
 SMALL = 1 << 27
 LONG = (1 << 63) - 1
@@ -199,8 +200,20 @@ def _last(cells: Cells, centroids: list[list[int]], small: bool):
     return run
 
 
+def _task_moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What all sums that a task reads move, by place; places without a move are left out."""
+    total: dict[int, int] = {}
+    for batch in batches:
+        for sums in batch.column("moved").to_pylist():
+            for k, x in enumerate(sums):
+                if x:
+                    total[k] = total.get(k, 0) + int(x)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), type=pa.int32()), pa.array([Decimal(x) for x in total.values()], type=pa.decimal128(38, 0))], names=["at", "x"])
+
+
 def _add_moves(table: DataFrame, sums: list[int]) -> None:
-    for r in table.where("moved is not null").select(F.posexplode("moved").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect():  # k * 65 numbers
+    moves = table.where("moved is not null").select("moved").mapInArrow(_task_moves, "at int, x decimal(38,0)")
+    for r in moves.groupBy("at").agg(F.sum("x").alias("x")).collect():  # k * 65 numbers
         sums[r["at"]] += int(r["x"])
 
 
@@ -233,9 +246,10 @@ def cluster(vectors: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS,
     begin = base.orderBy(F.sha2(F.concat(F.lit(seed + ":"), F.col("vec_id").cast("string")), 256).asc_nulls_last(), "vector").limit(clusters).select("vector").collect()
     centroids = [[int(np.floor(x * SCALE)) for x in r.vector] for r in begin]
     sample = base.where(F.pmod(F.xxhash64("uid"), F.lit(-(-n // sample_rows))) == 0)
-    share = [(j + 1) / (1 << bits) for j in range((1 << bits) - 1)]
-    bounds = {r["d"]: sorted(int(np.floor(x * SCALE)) for x in r["q"]) for r in sample.select(F.posexplode("vector").alias("d", "x")).groupBy("d").agg(F.percentile_approx("x", share, 10_000).alias("q")).collect()}
-    edges = [[max(e, low) for e in bounds.get(d, [low] * len(share))] for d in range(dimensions)]
+    ends = {r["d"]: [int(np.floor(x * SCALE)) for x in r["q"]] for r in sample.select(F.posexplode("vector").alias("d", "x")).groupBy("d").agg(
+        F.percentile_approx("x", list(TAILS), 10_000).alias("q")).collect()}  # two numbers a dimension
+    width = (1 << bits) - 2
+    edges = [[begin + (end - begin) * j // max(width, 1) for j in range(width + 1)] for begin, end in (ends.get(d, [low, high]) for d in range(dimensions))]
     cells = Cells(edges, low, high, bits)
 
     sums = _sums(len(centroids), dimensions)
