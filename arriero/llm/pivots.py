@@ -25,11 +25,14 @@ _SLACK = 1e-6
 
 
 def integer_vectors(rows: DataFrame, key: str, vector: str, scale: int = 256) -> DataFrame:
-    """id and v, floor(scale * x) of every component; rows without an id, or with a null or non-finite component, are left out."""
+    """id and v, floor(scale * x) of every component; rows without an id, or with a null or non-finite component, are left out.
+
+    From 2^52 on a double is an integer already, so it is not floored through a long, which would cut it off.
+    """
     x = F.col(vector).cast("array<double>")
-    sound = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 9e15 / scale))
+    sound = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     return rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(sound).select(
-        F.col(key).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c * scale).cast("double")).alias("v"))
+        F.col(key).cast("long").alias("id"), F.transform(x, lambda c: F.when(F.abs(c * scale) < 2.0 ** 52, F.floor(c * scale).cast("double")).otherwise(c * scale)).alias("v"))
 
 
 def _padded(vectors, width: int) -> np.ndarray:
@@ -118,20 +121,33 @@ def _bounds(x: np.ndarray, centre: np.ndarray, low: float, high: float, norm: fl
     """The largest inner product each query could have with a vector in the annulus: q.v = (|q|² + |v|² - |q - v|²) / 2 and |q|·|v|."""
     own = np.sqrt((x ** 2).sum(1))
     far = np.sqrt(((x - centre) ** 2).sum(1))
-    gap = np.maximum(np.maximum(low - far, far - high) - _SLACK, 0)
-    return np.minimum((own ** 2 + norm ** 2 - gap ** 2) / 2, own * norm) + _SLACK * (1 + own * norm)
+    gap = np.maximum(np.maximum(low - far, far - high) - _SLACK * (1 + own + norm + np.sqrt((centre ** 2).sum())), 0)
+    with np.errstate(all="ignore"):
+        bound = np.minimum((own ** 2 + norm ** 2 - gap ** 2) / 2, own * norm) + _SLACK * (1 + own * norm)
+    return np.where(np.isnan(bound), np.inf, bound)  # squares beyond a double exclude nothing
 
 
-def _once(score: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The scores with -inf in place of all but the best of each row's repeated ids."""
+def _once(score: np.ndarray, ids: np.ndarray, none) -> np.ndarray:
+    """The scores with ``none`` in place of all but the best of each row's repeated ids."""
     order = np.lexsort((-score, ids), axis=1)
     named = np.take_along_axis(ids, order, 1)
     row, col = np.nonzero(named[:, 1:] == named[:, :-1])
     out = score.copy()
-    out[row, order[row, col + 1]] = -np.inf
+    out[row, order[row, col + 1]] = none
     return out
 
 
+def _recount(score: np.ndarray, x: np.ndarray, y: np.ndarray, asks: np.ndarray, own: np.ndarray) -> None:
+    """Products that may have left 64 bits on the way, once more in whole numbers of any size; a score of 62 bits or more raises."""
+    with np.errstate(all="ignore"):
+        size = np.sqrt((x[asks] ** 2).sum(1))[:, None] * np.sqrt((y ** 2).sum(1))[None, :]
+    for i, j in zip(*np.nonzero(~(size < 2.0 ** 62) & ~own[asks])):
+        exact = sum(int(a) * int(b) for a, b in zip(x[asks[i]].tolist(), y[j].tolist()))
+        if abs(exact) >= 2 ** 62:
+            raise OverflowError("a score exceeds 62 bits")
+        score[asks[i], j] = exact
+
+
 def _visit(width: int, k: int, centres: np.ndarray):
     """One query block against some data blocks, in the order of their bounds, until none can change a query's best k ids."""
 
@@ -140,7 +156,10 @@ def _visit(width: int, k: int, centres: np.ndarray):
         for q in left.itertuples():
             qids, x = _arrays(q.q_ids, q.q_vectors, width)
             floor = np.frombuffer(q.q_floors, np.float64) if q.q_floors is not None else np.full(len(qids), -np.inf)
-            found_ids, found = np.zeros((len(qids), 0), np.int64), np.zeros((len(qids), 0))
+            most = np.sqrt((x ** 2).sum(1)).max(initial=0) * max(right.norm.max(), 0) if len(right) else 0.0  # no product or partial sum is larger
+            number = np.float64 if most < 2.0 ** 52 else np.int64  # doubles are exact and faster up to here
+            x_own, none = x.astype(number), -np.inf if number is np.float64 else np.int64(-(2 ** 62))
+            found_ids, found = np.zeros((len(qids), 0), np.int64), np.zeros((len(qids), 0), number)
             bound = np.array([_bounds(x, centres[b.pivot], b.low, b.high, b.norm) for b in right.itertuples()]).reshape(len(right), len(qids))
             kth = floor.copy()
             for at in np.argsort(-bound.max(1), kind="stable"):
@@ -148,18 +167,21 @@ def _visit(width: int, k: int, centres: np.ndarray):
                 if not len(asks):
                     continue
                 ids, y = _arrays(right["ids"].iloc[at], right.vectors.iloc[at], width)
-                score = np.full((len(qids), len(ids)), -np.inf)
-                score[asks] = x[asks] @ y.T
-                score[ids[None, :] == qids[:, None]] = -np.inf
+                score = np.full((len(qids), len(ids)), none, number)
+                score[asks] = x_own[asks] @ y.astype(number).T
+                own = ids[None, :] == qids[:, None]
+                if number is np.int64:
+                    _recount(score, x, y, asks, own)
+                score[own] = none
                 both, names = np.concatenate((found, score), 1), np.concatenate((found_ids, np.broadcast_to(ids, score.shape)), 1)
                 if len(np.unique(ids)) < len(ids) or np.isin(ids, found_ids).any():
-                    both = _once(both, names)
+                    both = _once(both, names, none)
                 best = np.lexsort((names, -both), axis=1)[:, :k]
                 found, found_ids = np.take_along_axis(both, best, 1), np.take_along_axis(names, best, 1)
                 if found.shape[1] == k:
-                    kth = np.maximum(kth, found[:, -1])
-            row, col = np.nonzero(np.isfinite(found))
-            out.append(pd.DataFrame({"q_block": q.q_block, "query_id": qids[row], "vec_id": found_ids[row, col], "score": np.rint(found[row, col]).astype(np.int64)}))
+                    kth = np.maximum(kth, np.where(found[:, -1] == none, -np.inf, found[:, -1].astype(float)))
+            row, col = np.nonzero(found != none)
+            out.append(pd.DataFrame({"q_block": q.q_block, "query_id": qids[row], "vec_id": found_ids[row, col], "score": found[row, col].astype(np.int64)}))
         return pd.concat(out) if out else pd.DataFrame({"q_block": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
 
     return run
@@ -179,7 +201,8 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vec
 
     Exact; ties go to the smaller id; fewer than k rows give all of them. Null vectors and those with a null or non-finite component
     take no part, shorter vectors count as padded with zeros, and rows that repeat a query's id count as the query's own row. Rows
-    that repeat another id count once, with their best score. An empty table or no query gives an empty result.
+    that repeat another id count once, with their best score; where rows of one id could all ask, the least vector does. Scores are exact;
+    one of 62 bits or more raises an error. An empty table or no query gives an empty result.
     """
     spark = rows.sparkSession
     vectors = written(integer_vectors(rows, key, vector, scale), "vectors")
@@ -188,7 +211,7 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vec
     if not len(centres):
         return empty
     index = written(blocks(vectors, centres, width, block_rows), "index")
-    asked = integer_vectors(rows.where(queries), key, vector, scale).dropDuplicates(["id"])
+    asked = integer_vectors(rows.where(queries), key, vector, scale).groupBy("id").agg(F.min("v").alias("v"))
     asked = written(blocks(asked, centres, width, query_rows).select(*[F.col(c).alias("q_" + c) for c in _BLOCK_COLUMNS]), "queries")
     outline = index.select("block", "pivot", "low", "high", "norm")
 

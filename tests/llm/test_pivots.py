@@ -81,3 +81,24 @@ def test_bounds_hold():
         x, v, c = rng.normal(size=(3, 6)) * 100, rng.normal(size=6) * 100, rng.normal(size=6) * 100
         far = np.sqrt(((v - c) ** 2).sum())
         assert (pivots._bounds(x, c, far - 1, far + 1, np.sqrt((v ** 2).sum())) >= x @ v).all()
+
+
+def test_large_components_are_exact(spark):
+    """Scores beyond 2^53, which doubles round, keep their order and their last digit."""
+    rows = vectors(120) + [(150, [4e6] + [0.5] * 7), (151, [4e6] + [0.50390625] * 7), (152, [4e6, 1.0]), (153, [-4e6]), (200, [0.0, 1e13])]
+    got = pivots.top_k(table(spark, rows).repartition(3), F.col("vec_id") % 50 == 0, block_rows=7, query_rows=3)
+    want = brute([(r.vec_id, r.embedding) for r in table(spark, rows).collect()])
+    assert tuples(got) == want and sum(abs(r[3]) > 2 ** 53 for r in want) > 6 and any(r[2] == 200 for r in want)
+
+
+def test_scores_beyond_a_long_raise(spark):
+    rows = vectors(60) + [(100, [1e15] * 8), (101, [1e15] * 8), (102, [1e300])]
+    with pytest.raises(Exception, match="62 bits"):
+        pivots.top_k(table(spark, rows), F.col("vec_id") % 50 == 0).collect()
+
+
+def test_the_least_vector_of_a_repeated_query_id_asks(spark):
+    rows = vectors(80) + [(50, [9.0] * 8), (50, [-9.0] * 8)]
+    first = [r for r in rows if r[0] != 50] + sorted([r for r in rows if r[0] == 50], key=lambda r: [math.floor(256 * x) for x in r[1]])
+    for parts in (1, 6):
+        assert tuples(pivots.top_k(table(spark, rows).repartition(parts), F.col("vec_id") % 50 == 0)) == brute(first)
