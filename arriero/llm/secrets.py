@@ -31,8 +31,14 @@ N_FEATURES = 25
 
 RUN = re.compile(r"(?<![A-Za-z0-9_\-+/.~])[A-Za-z0-9_\-+/.~]{12,}={0,2}")
 #: Values behind = and : (blanks may stand between), an option or "Bearer": in quotes up to the same quote, else up to a blank, a closing quote or the next assignment.
-_VALUE = r"(?=([\"'])((?:(?!\1)\S){8,})|((?!//)[^\s\"'=:](?:[^\s\"&;,<]|(?<=\w)\"(?=\w)|[&;,](?!\w+[=:])|<(?![/a-zA-Z])){7,}))"
-ASSIGNED = [re.compile(head + _VALUE) for head in (r"[=:]>?[ \t]{0,8}", r"--[A-Za-z][\w\-]{1,40} ", r"earer ")]
+_REST = r"(?:[^\s\"&;,<]|(?<=\w)\"(?=\w)|[&;,](?!\w++[=:])|<(?![/a-zA-Z]))"
+_VALUES = (r"(?=([\"'])(?P<value>(?:(?!\1)\S){8,}))", r"(?=(?P<value>(?!//)[^\s\"'=:]" + _REST + r"{7}))")
+_HEADS = (r"[=:]>?[ \t]{0,8}", r"--[A-Za-z][\w\-]{1,40} ", r"earer ")
+QUOTED = [re.compile(head + _VALUES[0]) for head in _HEADS]
+#: Where a quoted value stands behind =>, no bare one begins at the > in front of it.
+BARE = [re.compile(head + _VALUES[1]) for head in (r"[=:](?!>[ \t]{0,8}([\"'])(?:(?!\1)\S){8})>?[ \t]{0,8}", *_HEADS[1:])]
+REST = re.compile(_REST + "*+")
+_ALNUM = re.compile(r"[^\W_]")
 LEAST_LENGTH, LEAST_ASSIGNED = 12, 8
 
 # Words that tell credentials, words that tell other identifiers, and placeholders.
@@ -110,13 +116,30 @@ def _trimmed(text: str, a: int, b: int, ends: str = ".=-,;\"'") -> tuple[int, in
     return a, b
 
 
+def _assigned(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of assigned values. Heads inside a bare value end where it ends, so its rest is read once: many ``=`` stay linear."""
+    for pattern in QUOTED:
+        yield from (m.span("value") for m in pattern.finditer(text))
+    for pattern in BARE:
+        read, trimmed = 0, 0
+        for m in pattern.finditer(text):
+            a, known = m.span("value")
+            if known > read:
+                read = REST.match(text, known).end()
+                trimmed = _trimmed(text, a, read)[1]
+            yield a, max(a, trimmed)
+
+
 def candidates(text: str) -> Iterator[tuple[int, int]]:
     """Character spans that could be secrets: assigned and quoted values of 8 characters on, and long runs with a digit beside them."""
-    spans, end = [], 0
-    for a, b in sorted(m.span(2) if m[1] else _trimmed(text, *m.span(3)) for pattern in ASSIGNED for m in pattern.finditer(text)):
-        if a >= end and b - a >= LEAST_ASSIGNED and any(c.isalnum() for c in text[a:b]):
-            spans.append((a, b))
-            end = b
+    spans, end, blank = [], 0, 0  # nothing that ends at ``blank`` has a letter or digit
+    for a, b in sorted(_assigned(text)):
+        if a >= end and b - a >= LEAST_ASSIGNED and b != blank:
+            if _ALNUM.search(text, a, b):
+                spans.append((a, b))
+                end = b
+            else:
+                blank = b
     i, behind = 0, 0  # the first span that ends behind the run's start
     for m in RUN.finditer(text):
         a, b = _trimmed(text, *m.span())

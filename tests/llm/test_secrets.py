@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -105,3 +107,34 @@ def test_partitions_do_not_matter(spark):
     a = secrets.corpus_statistics(docs.repartition(1))
     b = secrets.corpus_statistics(docs.repartition(5, F.col("doc_id")))
     assert a.words == b.words and np.array_equal(a.pairs, b.pairs)
+
+
+def test_long_texts_of_assignments_take_linear_time():
+    """1 MB each; every ``=`` or quote once looked ahead over the whole rest."""
+    for unit in ("a=", "a=;", "=-", "='", '="x', "=!", "x=&", ": ", "=>", "--key ", "a:b&", "=,a"):
+        text = unit * (1_000_000 // len(unit))
+        start = time.monotonic()
+        list(secrets.candidates(text))
+        assert time.monotonic() - start < 10, unit
+
+
+def test_a_value_read_once_gives_what_every_head_would_give():
+    rng = random.Random(4)
+    bits = ["a", "Zq9", "=", ":", '"', "'", " ", "&", ";", "<", "/", "-", "secret", "=>", "--opt ", "Bearer ", "\n", "x1y2z3w4", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 40)))
+        every = [m.span(2) if m[1] else secrets._trimmed(text, *m.span(3)) for p in EVERY_HEAD for m in p.finditer(text)]
+        taken = lambda spans: [(a, b) for a, b in greedy(sorted(spans), text)]
+        assert taken(secrets._assigned(text)) == taken(every), text
+
+
+EVERY_HEAD = [re.compile(head + r"""(?=(["'])((?:(?!\1)\S){8,})|((?!//)[^\s"'=:](?:[^\s"&;,<]|(?<=\w)"(?=\w)|[&;,](?!\w+[=:])|<(?![/a-zA-Z])){7,}))""")
+              for head in (r"[=:]>?[ \t]{0,8}", r"--[A-Za-z][\w\-]{1,40} ", r"earer ")]
+
+
+def greedy(spans, text):
+    end = 0
+    for a, b in spans:
+        if a >= end and b - a >= secrets.LEAST_ASSIGNED and any(c.isalnum() for c in text[a:b]):
+            yield a, b
+            end = b
