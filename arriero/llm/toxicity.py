@@ -8,6 +8,7 @@ learned without its fold, so trees and calibration see what an unseen text would
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,7 +45,10 @@ INSULTS = frozenset("""
 INSULT_ODDS = 2.0
 
 _WORD = re.compile(r"\w+")
-_ODD = re.compile(r"\b(?=\w*[^\W\d_])\w*[\d@$*#]+[\w@$*#]*[^\W\d_]|(.)\1\1|\b\w(?:[.\-* ]\w){3,}\b")
+#: Tokens with a digit or symbol, each read once; the possessive parts keep a long token linear.
+_MIXED = re.compile(r"(?<![\w@$*#])[^\W\d]*+[\d@$*#][\w@$*#]*+")
+_LETTER, _MARK = re.compile(r"[^\W\d_]"), re.compile(r"[\d@$*#]")
+_STRETCHED = re.compile(r"(.)\1\1|\b\w(?:[.\-* ]\w){3,}\b")
 _UPPER, _PUNCT = bytes(range(65, 91)), bytes(b".,;:!?\"'()[]{}-*#%&$@/|")
 N_FEATURES = 18
 
@@ -59,6 +63,36 @@ def keys_of(words) -> set[str]:
     return out
 
 
+def obfuscated(token: str) -> bool:
+    """A digit or symbol stands inside or before the letters of a word: from the token's first word with a letter on, a letter follows it."""
+    first = _LETTER.search(token)
+    if not first:
+        return False
+    start = 1 + max(token.rfind(c, 0, first.start()) for c in "@$*#")
+    mark = _MARK.search(token, start)
+    return bool(mark and _LETTER.search(token, mark.end()))
+
+
+def odd_tokens(text: str) -> int:
+    """Obfuscated tokens, and in the rest characters three times in a row and words spelt letter by letter. Linear in the text."""
+    found = 0
+
+    def taken(m: re.Match) -> str:
+        nonlocal found
+        hit = obfuscated(m[0])
+        found += hit
+        return "\0" if hit else m[0]
+
+    rest = _MIXED.sub(taken, text)
+    return found + len(_STRETCHED.findall(rest))
+
+
+def _beside(at: int, places: list[int], reach: int = 5) -> bool:
+    """Whether one of the ascending ``places`` is within ``reach`` of ``at``."""
+    k = bisect_left(places, at - reach)
+    return k < len(places) and places[k] <= at + reach
+
+
 def features(text: str, lexicon: dict[str, float], roots: frozenset[str]) -> list[float]:
     lowered = text.lower()
     words = _WORD.findall(lowered)
@@ -72,12 +106,12 @@ def features(text: str, lexicon: dict[str, float], roots: frozenset[str]) -> lis
     at = [(i, weight[w]) for i, w in enumerate(words) if w in weight] if weight else []
     strong = [i for i, x in at if x > 1.6]
     person = [i for i, w in enumerate(words) if w in SECOND_PERSON]
-    near = sum(any(abs(i - j) <= 5 for j in person) for i in strong) if person and strong else 0
+    near = sum(_beside(i, person) for i in strong)
     best = sorted(weight.values(), reverse=True)[:5] + [0.0] * 5
     data = text.encode("utf-8", "replace")
     size = max(len(data), 1)
     upper = size - len(data.translate(None, _UPPER))
-    odd = len(_ODD.findall(text))
+    odd = odd_tokens(text)
     return [
         100 * sum(x for _, x in at) / n, 100 * len(at) / n, 100 * len(strong) / n, min(len(strong), 50), len([x for x in weight.values() if x > 1.6]),
         best[0], best[1], best[2], sum(best[:5]), near, 100 * near / n, 100 * len(person) / n, upper / size,

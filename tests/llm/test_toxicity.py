@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -66,3 +68,21 @@ def test_trees_learn_an_interaction():
     y = ((x[:, 0] > .5) ^ (x[:, 1] > .5)).astype(float)
     assert ((trees.boosted(x[:1500], y[:1500]).raw(x[1500:]) > 0) == (y[1500:] > 0)).mean() > .95
     assert ((trees.forest(x[:1500], y[:1500]).raw(x[1500:]) > .5) == (y[1500:] > 0)).mean() > .9
+
+
+def test_long_texts_take_linear_time():
+    lexicon = {"idiot": 2.0}
+    for text in ("a" + "4" * 1_000_000, "you idiot " * 100_000, "4" * 1_000_000, "a" * 1_000_000, "a@" * 500_000, "a.b " * 250_000, "@" * 1_000_000, "a_4" * 330_000):
+        start = time.monotonic()
+        toxicity.features(text, lexicon, frozenset({"idio"}))
+        assert time.monotonic() - start < 5, text[:10]
+
+
+def test_obfuscated_tokens():
+    pattern = re.compile(r"\b(?=\w*[^\W\d_])\w*[\d@$*#]+[\w@$*#]*[^\W\d_]")
+    rng = random.Random(8)
+    for _ in range(4000):
+        token = "".join(rng.choice("ab4_$@#*7é") for _ in range(rng.randint(1, 9)))
+        assert toxicity.obfuscated(token) == bool(pattern.search(token)), token
+    assert toxicity.odd_tokens("an id10t and a stup1d f*ol") == 3 and toxicity.odd_tokens("sooo i.d.i.o.t 2024 v2") == 2
+    assert toxicity._beside(7, [2]) and not toxicity._beside(8, [2]) and not toxicity._beside(3, []) and toxicity._beside(0, [5, 9])
