@@ -271,7 +271,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WIDTH, tree
     """doc_id, n_shingles, component_id, kept and n_bytes for every row of ``docs`` (doc_id, text; other columns are ignored).
 
     Texts are linked if 100 |A ∩ B| >= percent |A ∪ B| on their full shingle sets (A-Z lower-cased words; fewer than ``width``
-    words form one shingle). component_id is the least doc_id reachable. Different texts under one doc_id count as one node. Null
+    words form one shingle). component_id is the least doc_id reachable. Different texts under one doc_id count as one node and join
+    their components. Null
     and empty texts and texts without words have n_shingles 0 and link with nothing. Repeated rows stay repeated rows of one
     component; a null doc_id links with nothing and has a null component. An empty table gives an empty result.
     """
@@ -292,7 +293,19 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WIDTH, tree
     if placed.where("large").limit(1).count():
         crowd = placed.where("large").select("rep", "hood", "signature")
         links = links.union(components(_large_hoods(crowd, held.where("large"), width, percent, levels, block_rows, block_bytes, trees)))
+    # a doc_id with several texts is one node: its classes become one component
+    several = written(marks.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min(F.xxhash64("low", "high", "n_shingles")).alias("least"), F.max(F.xxhash64("low", "high", "n_shingles")).alias("most")).where("least != most").select(
+        F.col("doc_id").alias("node")), "several")
+    if several.limit(1).count():
+        split = with_possible_match(marks, "doc_id", several, "node", "maybe").where("maybe").join(several, F.col("doc_id") == F.col("node")).where("n_shingles > 0")
+        bridges = split.select("low", "high", "n_shingles", F.col("doc_id").alias("u")).join(classes, ["low", "high", "n_shingles"]).select("u", F.col("rep").alias("v"))
+        links = components(links.select(F.col("node").alias("u"), F.col("component").alias("v")).union(bridges))
+        of_ids = links.join(several, "node", "left_semi").select(F.col("node").alias("doc_id"), F.col("component").alias("of_id"))  # for their rows without words
+        marks = marks.join(of_ids, "doc_id", "left")
+    else:
+        marks = marks.withColumn("of_id", F.lit(None).cast("long"))
     named = classes.join(links, classes.rep == links.node, "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("c"))
     return marks.drop("signature").join(named, ["low", "high", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("c")), "doc_id")).alias("component_id"),
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("c")), "of_id", "doc_id")).alias("component_id"),
         "n_bytes").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

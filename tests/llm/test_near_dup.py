@@ -98,3 +98,11 @@ def test_components_of_long_chains_stars_and_loops(spark):
     got = dict(tuples(components(spark.createDataFrame(edges, "u long, v long"))))
     assert got == {**{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 300)}, 500: 400, 400: 400}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_an_id_with_several_texts_joins_their_components(spark):
+    rng = random.Random(6)
+    a, b, c, d = (words(rng, 40) for _ in range(4))
+    rows = [(3, a), (5, a), (5, b), (9, b), (9, c), (7, d), (8, d), (8, ""), (2, c + " end"), (11, words(rng, 30)), (11, words(rng, 30))]
+    got = near_dup.near_duplicates(frame(spark, [(i, t, "en", "s") for i, t in rows]))
+    assert tuples(got, *COLUMNS) == brute(rows) and {r.component_id for r in got.collect() if r.doc_id in (2, 3, 5, 9)} == {2}

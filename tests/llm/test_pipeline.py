@@ -1,11 +1,11 @@
+import random
 import subprocess
 import sys
 from pathlib import Path
 
 import corpus_pipeline
-from arriero.llm import near_dup
 from pyspark.sql import functions as F
-from tests.llm.helpers import LOWER, edge_docs, empty_docs
+from tests.llm.helpers import LOWER, edge_docs, empty_docs, frame, words
 from tests.llm.test_mixing import fill
 from tests.llm.test_near_dup import brute
 
@@ -66,13 +66,24 @@ def test_edge_rows_pass_through_every_stage(spark, sf):
         assert rest.count() == docs.count()
 
 
-def test_a_repeated_id_stays_once(spark):
-    docs = edge_docs(spark)
-    ids = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
-    own = [i for i in ids if i is not None]
-    assert len(own) == len(set(own)) and None in ids
-    kept = {r.doc_id for r in near_dup.near_duplicates(docs).where("kept").collect()}
-    assert set(ids) == kept
+def test_each_text_of_a_repeated_id_is_decided_for_itself(spark):
+    rng = random.Random(3)
+    text, own, other = words(rng, 60), words(rng, 60), words(rng, 60)
+    rows = [(3, text), (5, text), (5, own), (5, own), (7, other), (7, own), (8, None), (8, ""), (9, "x"), (9, "x"), (None, text), (2, other + " end")]
+    docs = frame(spark, [(i, t, "en", "s") for i, t in rows])
+    names = ["marked_id", "leak_id", "suspect_row", "node_id", "score"]  # the operators' own
+    docs = docs.select("doc_id", "text", *[F.lit(n).alias(n) for n in names])
+    got = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), "")
+    want = [(3, text), (5, own), (8, None), (8, ""), (9, "x"), (None, text), (2, other + " end")]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert got.columns == docs.columns and all(r[n] == n for r in got.collect() for n in names)
+
+
+def test_columns_named_like_the_operators_survive(spark, sf):
+    docs = edge_docs(spark).select("doc_id", "text", *[F.lit(n).alias(n) for n in ("score", "predicted", "leak_id", "place_of_row")])
+    for name in ("toxicity", "benchmark_decontamination"):
+        got = dict(corpus_pipeline.STAGES)[name](spark, docs, sf)
+        assert got.columns == docs.columns and all(r.score == "score" and r.leak_id == "leak_id" and r.predicted == "predicted" for r in got.collect())
 
 
 def test_the_rest_works_without_this_subpackage(tmp_path):
