@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -54,9 +54,9 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_headers(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Order-level columns: dates, buyer and purchase type."""
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders") if orders is None else orders
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
@@ -133,11 +133,19 @@ def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order grain with the names of agency and supplier: lines are summed per order before anything is joined."""
-    totals = latest_lines(spark, sf_dir).groupBy("l_orderkey", "l_suppkey").agg(
+def orders(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFrame:
+    """Order grain with the names of agency and supplier: lines are summed per order before anything is joined.
+
+    With ``since`` only orders from that moment on: their keys reach the lines before these are deduplicated and summed.
+    """
+    lines, headers = item_lines(spark, sf_dir), order_headers(spark, sf_dir).hint("merge")
+    if since is not None:
+        recent = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= since)
+        lines = lines.join(recent.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+        headers = order_headers(spark, sf_dir, recent)
+    totals = keep_latest(lines, ["id_item"], ITEM_ORDER).groupBy("l_orderkey", "l_suppkey").agg(
         F.sum("total_linea_neto").cast("decimal(20,4)").alias("monto_total_oc_clp"))
-    return totals.join(order_headers(spark, sf_dir).hint("merge"), "l_orderkey").join(suppliers(spark, sf_dir), "l_suppkey").select(
+    return totals.join(headers, "l_orderkey").join(suppliers(spark, sf_dir), "l_suppkey").select(
         "mes", "codigo_organismo", "nombre_organismo", "sector", F.col("l_suppkey").cast("string").alias("codigo_proveedor"),
         "nombre_proveedor", "rut_proveedor", "monto_total_oc_clp", "es_trato_directo", "es_compra_agil",
     )

@@ -564,3 +564,12 @@ ORACLE["stream_retries"] = """
 ORACLE["history_compacted"] = """
     SELECT strftime(ts, '%Y-%m-%d') AS fecha, '00' AS hora, count(*) AS registros, min(event_id) AS desde, max(event_id) AS hasta, 1 AS archivos
     FROM events GROUP BY 1"""
+
+ORACLE["stream_state_ttl"] = """
+    WITH gaps AS (SELECT *, coalesce(ts >= lag(ts) OVER w + INTERVAL 4 DAY, true) AS starts FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    runs AS (SELECT *, sum(CAST(starts AS INT)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM gaps),
+    spans AS (SELECT user_id, run, count(*) AS registros, arg_max(event_id, struct_pack(ts, event_id)) AS ultimo,
+                     max(ts) + INTERVAL 4 DAY <= (SELECT max(ts) FROM events) AS vencido FROM runs GROUP BY 1, 2)
+    SELECT user_id, count(*) FILTER (vencido) AS vencimientos, arg_max(ultimo, run) AS ultimo, NOT arg_max(vencido, run) AS vigente,
+           arg_max(registros, run) AS registros
+    FROM spans GROUP BY user_id"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from arriero.sinks.tables import register_table, replace_partitions
 from arriero.sources import positions as pos
 from arriero.sources.procurement import CSV_OPTIONS, read_items_csv, read_orders_json, typed_items, typed_orders
 from arriero.streaming import positions as stream
+from arriero.streaming.expiry import expiring_latest, rocksdb
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,11 +62,8 @@ def moment(text: str, kind: str = "timestamp_ntz"):
 
 def pairs(spark: SparkSession, sf: str, newest_only: bool = False) -> DataFrame:
     """Agency-supplier amounts as a written table: the summary reads them twice."""
-    orders = fx.orders(spark, sf)
-    if newest_only:
-        newest = fx.table(spark, sf, "orders").agg(month_of(F.max("o_orderdate"))).scalar()
-        orders = orders.where(F.col("mes") == newest)
-    return fx.written(conc.pair_totals(orders), "pares")
+    newest = fx.table(spark, sf, "orders").agg(F.date_trunc("month", F.max("o_orderdate"))).scalar() if newest_only else None
+    return fx.written(conc.pair_totals(fx.orders(spark, sf, newest)), "pares")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -622,6 +621,22 @@ def stream_retries(spark: SparkSession, sf: str) -> DataFrame:
     return history.join(stream.current_snapshot(spark, f"{base}/t").select("user_id", F.col("event_id").alias("vigente")), "user_id")
 
 
+@register
+def stream_state_ttl(spark: SparkSession, sf: str) -> DataFrame:
+    """Per user, the silences of four days or more that ended their state, and whether a state is left after the last batch.
+
+    The state left is what the last batch to touch the user said; a timer says it without a further record of the user.
+    """
+    base = scratch_dir(spark, "vigencia")
+    with rocksdb(spark):
+        changes = expiring_latest(_weekly(spark, sf, base, False), ["user_id"], "ts", ["event_id"], timedelta(days=4))
+        stream.write_updates(changes, f"{base}/t", f"{base}/cp").awaitTermination()
+    told = spark.read.parquet(f"{base}/t")
+    last = F.max_by(F.struct("event_id", "vigente", "registros"), F.struct("lote", "vence", ~F.col("vigente")))
+    return told.groupBy("user_id").agg(F.sum(F.when(~F.col("vigente"), 1).otherwise(0)).alias("vencimientos"), last.alias("u")).select(
+        "user_id", "vencimientos", F.col("u.event_id").alias("ultimo"), F.col("u.vigente").alias("vigente"), F.col("u.registros").alias("registros"))
+
+
 @register
 def history_compacted(spark: SparkSession, sf: str) -> DataFrame:
     """Records and files per day of a history that was packed twice, with batches before, between and after."""

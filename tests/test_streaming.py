@@ -9,6 +9,7 @@ from arriero.operators import serving
 from arriero.operators.dedupe import keep_latest
 from arriero.sources import positions as pos
 from arriero.streaming import positions as stream
+from arriero.streaming.expiry import PROVIDER_SETTING, expiring_latest, rocksdb
 from tests.conftest import rows
 
 NOW = dt.datetime(2026, 9, 1, 12, 0, 0)
@@ -259,3 +260,33 @@ def test_speed_class(spark):
     df = spark.createDataFrame([(0.0,), (0.1,), (19.9,), (20.0,), (None,)], "v double")
     assert [r[0] for r in df.select(serving.speed_class("v")).collect()] == [
         "detenido", "menos de 20 km/h", "menos de 20 km/h", "20 km/h o más", None]
+
+
+def test_silent_keys_expire_by_a_timer(spark, tmp_path):
+    """Key 1 falls silent and no record of it comes again; key 2 goes on; key 3 returns after a silence within one batch."""
+    base, day = str(tmp_path), lambda d, h=0: dt.datetime(2024, 1, d, h)
+    fields = "clave long, orden long, en timestamp, texto string"
+    batches = [
+        [(1, 1, day(1), "a"), (2, 2, day(1), None), (3, 3, day(1), "c"), (3, 4, day(1), "c2")],
+        [(2, 5, day(2), "b"), (2, 6, day(1, 12), "older"), (None, 7, day(2), "null key"), (4, 8, None, "no time")],
+        [(2, 9, day(6), "d"), (3, 10, day(6), "e")],
+        [(2, 11, day(7), "f")],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, fields).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    schema = spark.read.parquet(f"{base}/in").schema
+    changes = expiring_latest(stream.read_stream(spark, f"{base}/in", schema, files_per_batch=1), ["clave"], "en", ["orden"], dt.timedelta(days=3))
+    before = spark.conf.get(PROVIDER_SETTING, None)
+    with rocksdb(spark):
+        query = stream.write_updates(changes, f"{base}/t", f"{base}/cp")
+        query.awaitTermination()
+    assert spark.conf.get(PROVIDER_SETTING, None) == before
+    told = sorted(((r.lote, r.clave, r.orden, r.vigente, r.registros, r.vence.day) for r in spark.read.parquet(f"{base}/t").collect()), key=str)
+    ended = sorted(((c, o, n, due) for _, c, o, holds, n, due in told if not holds), key=str)
+    assert ended == sorted([(1, 1, 1, 4), (2, 5, 3, 5), (3, 4, 2, 4), (None, 7, 1, 5)], key=str)
+    live = {}
+    for _, c, o, holds, n, due in sorted(told, key=lambda r: (r[0], r[5], not r[3])):
+        live[c] = (o, n) if holds else None
+    assert live == {1: None, 2: (11, 2), 3: (10, 1), None: None}
+    rows = [p["stateOperators"][0]["numRowsTotal"] for p in (json.loads(x.json) for x in query.recentProgress) if p["stateOperators"]]
+    assert rows and rows[-1] < max(rows)
