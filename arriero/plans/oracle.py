@@ -573,3 +573,20 @@ ORACLE["stream_state_ttl"] = """
     SELECT user_id, count(*) FILTER (vencido) AS vencimientos, arg_max(ultimo, run) AS ultimo, NOT arg_max(vencido, run) AS vigente,
            arg_max(registros, run) AS registros
     FROM spans GROUP BY user_id"""
+
+ORACLE["changed_real_files"] = """
+    SELECT strftime(o_orderdate, '%Y-%m') AS mes, count(*) AS lineas FROM orders WHERE month(o_orderdate) % 3 <> 0 GROUP BY 1"""
+ORACLE["dictionary_file"] = _with(DECO, "SELECT * FROM deco")
+ORACLE["minimised_items"] = _with(RAW, """
+    SELECT id_item, codigo, CAST(cantidad AS DOUBLE) AS cantidad, CAST(total_linea_neto AS DOUBLE) AS total_linea_neto, sector FROM raw_rows""")
+
+# Both runs see the star of all months; the second finds the first one's volumes, which are its own.
+def _star_checks(at: str) -> str:
+    block = ORDERS + CHECKS.removeprefix(STAGE)
+    for old, new in (("FROM headers WHERE tipo = 'P' GROUP BY mes", "FROM oc GROUP BY mes"), ("CAST(CAST(l.n * 3.3 AS DECIMAL(20,2)) AS DOUBLE) AS prev", "CAST(NULL AS DOUBLE) AS prev"),
+                     ("modificado, TIMESTAMP '2024-02-01 00:00:00')", f"modificado, TIMESTAMP '{at}')")):
+        block = block.replace(old, new)
+    return _with(block, f"SELECT *, '{at}.000000' AS ejecutado_en FROM checks")
+
+
+ORACLE["monitoring_log"] = "\nUNION ALL\n".join(f"SELECT * FROM ({_star_checks(at)})" for at in ("2024-02-01 00:00:00", "2024-02-01 01:00:00"))

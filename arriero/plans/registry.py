@@ -15,7 +15,7 @@ from arriero.functions.text import decimal_comma
 from arriero.operators import concentration as conc
 from arriero.operators import dims, facts, incremental, integrity, quality, serving
 from arriero.operators.dedupe import keep_latest
-from arriero.operators.privacy import pseudonymise
+from arriero.operators.privacy import keep_only, pseudonymise
 from arriero.plans import fixtures as fx
 from arriero.plans import jobs
 from arriero.plans.oracle import PERSON_KEY
@@ -24,6 +24,8 @@ from arriero.session import scratch_dir
 from arriero.sinks.publish import publish_months
 from arriero.sinks.tables import register_table, replace_partitions
 from arriero.sources import positions as pos
+from arriero.sources.dictionary import DICTIONARY_COLUMNS, read_dictionary_csv
+from arriero.sources.files import content_digests
 from arriero.sources.procurement import CSV_OPTIONS, read_items_csv, read_orders_json, typed_items, typed_orders
 from arriero.streaming import positions as stream
 from arriero.streaming.expiry import expiring_latest, rocksdb
@@ -346,24 +348,34 @@ def month_replace(spark: SparkSession, sf: str) -> DataFrame:
     return plain(jobs.read_months(spark, root, schema=items.schema).select(*items.columns))
 
 
+def _star_stage(spark: SparkSession, sf: str) -> DataFrame:
+    stage = fx.stage(spark, sf).withColumn("rut_unidad", F.lit(None).cast("string")).withColumn("actividad_proveedor", F.lit(None).cast("string"))
+    return fx.written(stage, "stage", "mes")
+
+
 @register
 def warehouse_months(spark: SparkSession, sf: str) -> DataFrame:
     """The star of all months in one load through the publication registry, then summarised and published as documents."""
     base = scratch_dir(spark, "bodega")
-    stage = fx.stage(spark, sf).withColumn("rut_unidad", F.lit(None).cast("string")).withColumn("actividad_proveedor", F.lit(None).cast("string"))
-    stage = fx.written(stage, "stage", "mes")
+    stage = _star_stage(spark, sf)
     months = fx.order_month_list(stage)
     jobs.backfill_months(spark, stage, base, months, moment(LOAD_1, "timestamp"), calendar=dims.calendar_dim(spark, "1990-01-01"))
     jobs.summary_job(spark, base, months, f"{base}/api")
     return exploded(jobs.read_documents(spark, f"{base}/api"))
 
 
+@register
+def minimised_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items without any column of a person, by an allow-list that also names columns the table lacks."""
+    rows = fx.decorated(fx.item_lines(spark, sf), spark, sf)
+    return plain(keep_only(rows, ["id_item", "codigo", "cantidad", "total_linea_neto", "sector", "no_existe"]))
+
+
 @register
 def warehouse_increment(spark: SparkSession, sf: str) -> DataFrame:
     """The star of every second month, then of the months between them in one plan; summarised and published."""
     base = scratch_dir(spark, "bodega")
-    stage = fx.stage(spark, sf).withColumn("rut_unidad", F.lit(None).cast("string")).withColumn("actividad_proveedor", F.lit(None).cast("string"))
-    stage = fx.written(stage, "stage", "mes")
+    stage = _star_stage(spark, sf)
     months, calendar = fx.order_month_list(stage), dims.calendar_dim(spark, "1990-01-01")
     for some in (months[::2], months[1::2]):
         jobs.increment_months(spark, stage, base, some, moment(LOAD_1, "timestamp"), calendar)
@@ -458,6 +470,17 @@ def run_checks(spark: SparkSession, sf: str) -> DataFrame:
     return plain(_checks(spark, sf).drop("chequeo_id"))
 
 
+@register
+def monitoring_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The check log of a loaded star after two runs an hour apart; the first was made twice and is logged once."""
+    base = scratch_dir(spark, "monitoreo")
+    stage = _star_stage(spark, sf)
+    jobs.backfill_months(spark, stage, f"{base}/bodega", fx.order_month_list(stage), moment(LOAD_1, "timestamp"), calendar=dims.calendar_dim(spark, "1990-01-01"))
+    for at in (fx.RUN_AT, fx.RUN_AT, "2024-02-01 01:00:00"):
+        jobs.monitoring_job(spark, f"{base}/bodega", fx.months_expected(spark, sf), fx.listing(spark, sf), f"{base}/log", moment(at))
+    return plain(jobs.check_log(spark, f"{base}/log").drop("chequeo_id"))
+
+
 @register
 def check_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return plain(quality.alerts_from(_checks(spark, sf)).select("creada_en", "mensaje", "explicacion"))
@@ -525,6 +548,20 @@ def _positions(spark: SparkSession, sf: str) -> DataFrame:
     return pos.parse_positions(fx.position_records(spark, sf), F.col("ahora"))
 
 
+@register
+def changed_real_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored files against a manifest of what their month held at the last load: every file was written again, a third of the months
+    with the same orders, a third with other amounts, and a third had no file before."""
+    base = scratch_dir(spark, "archivos")
+    orders = fx.table(spark, sf, "orders").withColumn("mes", month_of("o_orderdate")).select("mes", "o_orderkey", "o_custkey", F.col("o_totalprice").alias("monto"))
+    kind = F.right("mes", F.lit(2)).cast("int") % 3
+    one_file = lambda rows, path: rows.repartition("mes").write.partitionBy("mes").csv(f"{base}/{path}")
+    one_file(orders.where(kind != 2), "antes")
+    manifest = fx.written(content_digests(spark, f"{base}/antes", "*.csv").select("mes", "huella"), "manifiesto")
+    one_file(orders.withColumn("monto", F.when(kind == 1, F.col("monto") + 1).otherwise(F.col("monto"))).sort("o_custkey"), "ahora")
+    return incremental.changed_files(content_digests(spark, f"{base}/ahora", "*.csv"), manifest).select("mes", "lineas")
+
+
 @register
 def parse_positions(spark: SparkSession, sf: str) -> DataFrame:
     return plain(_positions(spark, sf))
@@ -706,6 +743,15 @@ def route_dim(spark: SparkSession, sf: str) -> DataFrame:
     return plain(_dictionary_dims(spark, sf)[1])
 
 
+@register
+def dictionary_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The service dictionary through its file."""
+    path = scratch_dir(spark, "diccionario")
+    deco = fx.dictionary(spark, sf)
+    deco.select(*[F.col(c.lower()).alias(c) for c in DICTIONARY_COLUMNS]).write.options(header="true", sep=";").csv(path)
+    return read_dictionary_csv(spark, path)
+
+
 @register
 def dictionary_summary(spark: SparkSession, sf: str) -> DataFrame:
     return dims.dictionary_summary(*_dictionary_dims(spark, sf))

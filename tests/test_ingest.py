@@ -12,7 +12,7 @@ from arriero.plans import jobs
 from arriero.sinks import fs
 from arriero.sinks.tables import register_table, replace_partitions
 from arriero.sources.dictionary import read_dictionary_csv
-from arriero.sources.files import file_listing
+from arriero.sources.files import content_digests, file_listing
 from arriero.sources.procurement import ITEM_FIELDS, read_items_csv, read_months, read_orders_json, typed_items, typed_items_schema, typed_orders
 from arriero.sources.warehouse import Split, query_options
 from tests.conftest import rows
@@ -224,3 +224,19 @@ def test_replace_text(spark, tmp_path):
     fs.replace_text(spark, path, "dos ñ")
     assert fs.read_text(spark, path) == "dos ñ"
     assert [f for f in os.listdir(tmp_path) if "tmp" in f] == []
+
+
+def test_digests_follow_the_content_alone(spark, tmp_path):
+    def put(name, data):
+        path = tmp_path / "r" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(data)
+
+    put("mes=2026-01/a b+c%.csv", b"x;1\ny;2\ny;2\n")
+    put("mes=2026-02/a.csv", b"y;2\r\nx;1\r\ny;2")
+    put("mes=2026-03/a.csv", b"x;1\ny;2\n")
+    put("mes=2026-04/a.csv", b"")
+    put("mes=2026-05/a.csv", b"x;1\nx;1\ny;2\n")
+    got = {r.mes: r for r in content_digests(spark, str(tmp_path / "r"), "*.csv").collect()}
+    assert {m: r.lineas for m, r in got.items()} == {"2026-01": 3, "2026-02": 3, "2026-03": 2, "2026-05": 3}
+    assert got["2026-01"].huella == got["2026-02"].huella and len({r.huella for r in got.values()}) == 3
