@@ -18,7 +18,8 @@ from arriero.operators.dedupe import keep_latest
 from arriero.sinks import fs
 from arriero.sinks.tables import observed, written
 
-POINTER = "_vigente.json"
+#: Numbered versions of a snapshot, each created only if absent; how many are kept, and how often a writer tries again.
+VERSIONS, KEPT_VERSIONS, ATTEMPTS = "_versiones", 10, 20
 STREAM_FILE = "_flujo"
 #: Hash buckets of a snapshot table; a batch rewrites only those it touches.
 BUCKETS = 64
@@ -61,14 +62,25 @@ def merge_latest(previous: DataFrame | None, batch: DataFrame, keys: Sequence[st
     return keep_latest(rows, keys, order)
 
 
-def _pointer(spark: SparkSession, root: str) -> dict:
-    text = fs.read_text(spark, f"{root}/{POINTER}")
-    return json.loads(text) if text else {"cubetas": {}, "retiradas": [], "vistos": {}}
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    return sorted(fs.files(spark, f"{root}/{VERSIONS}/*.json"))
+
+
+def _version(spark: SparkSession, root: str) -> tuple[int, dict]:
+    """Number and content of the newest version: the folder of each bucket, and the folders it took the place of."""
+    for _ in range(ATTEMPTS):
+        records = _versions(spark, root)
+        if not records:
+            return 0, {"cubetas": {}, "retiradas": []}
+        text = fs.read_text(spark, records[-1])
+        if text:  # else others wrote so many versions meanwhile that this one was deleted
+            return int(records[-1].rpartition("/")[2].split(".")[0]), json.loads(text)
+    raise RuntimeError(f"{root}: no version could be read")
 
 
 def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     """The live rows: one folder per bucket, whatever number of updates there were. None before the first batch."""
-    folders = sorted(_pointer(spark, root)["cubetas"].values())
+    folders = sorted(_version(spark, root)[1]["cubetas"].values())
     return spark.read.parquet(*[f"{root}/{f}" for f in folders]) if folders else None
 
 
@@ -76,32 +88,51 @@ def apply_batch(root: str, batch: DataFrame, batch_id: int, keys: Sequence[str],
                 keep: Column | None = None, buckets: int = BUCKETS) -> None:
     """Merge one micro-batch into the snapshot table, whose rows are dealt to hash buckets of their keys.
 
-    Only buckets the batch has keys of are read and written, to new folders; the pointer flips last. A replay merges the same
-    rows again, which changes nothing. ``keep`` expires rows of the touched buckets. Folders that one flip retires are deleted by
-    the next, so readers of the version before finish. One stream writes a table at a time.
+    Only buckets the batch has keys of are read and written, to new folders; a numbered version, created only if absent, then makes
+    them visible. Several streams may write one table: who finds the number taken merges its batch with the newer version instead.
+    A replay merges the same rows again, which changes nothing. ``keep`` expires rows of the touched buckets. Folders that one
+    version retires are deleted by the next, so readers of the version before finish.
     """
     spark = batch.sparkSession
-    state = _pointer(spark, root)
     dealt = batch.withColumn("cubeta", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     touched = [r.cubeta for r in dealt.select("cubeta").distinct().collect()]  # at most ``buckets``
     if not touched:
         return
+    for _ in range(ATTEMPTS):
+        number, state = _version(spark, root)
+        folder = f"version={stream or 'directo'}-{batch_id}-{uuid.uuid4().hex[:8]}"
+        try:
+            live = _merge_into(root, folder, state, dealt, touched, keys, order, keep, buckets)
+        except Exception:
+            fs.delete(spark, f"{root}/{folder}")
+            if _version(spark, root)[0] == number:
+                raise
+            continue  # others moved on twice and deleted what this attempt read
+        old = state["retiradas"]
+        after = {"cubetas": dict(state["cubetas"]), "retiradas": live}
+        for b in touched:
+            if fs.exists(spark, f"{root}/{folder}/cubeta={b}"):
+                after["cubetas"][str(b)] = f"{folder}/cubeta={b}"
+            else:
+                after["cubetas"].pop(str(b), None)
+        if fs.create_text(spark, f"{root}/{VERSIONS}/{number + 1:012d}.json", json.dumps(after, sort_keys=True)):
+            for path in [*(f"{root}/{f}" for f in old), *_versions(spark, root)[:-KEPT_VERSIONS]]:
+                fs.delete(spark, path)
+            return
+        fs.delete(spark, f"{root}/{folder}")
+    raise RuntimeError(f"{root}: {ATTEMPTS} attempts met other writers")
+
+
+def _merge_into(root: str, folder: str, state: dict, dealt: DataFrame, touched: Sequence[int], keys: Sequence[str], order: Sequence[str],
+                keep: Column | None, buckets: int) -> list[str]:
+    """Write the touched buckets with the batch's rows to a new folder; returns the folders they take the place of."""
+    spark = dealt.sparkSession
     live = [state["cubetas"][str(b)] for b in touched if str(b) in state["cubetas"]]
     previous = spark.read.parquet(*[f"{root}/{f}" for f in live]).withColumn("cubeta", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")) if live else None
     merged = merge_latest(previous, dealt, ["cubeta", *keys], order)
     merged = merged if keep is None else merged.where(keep)
-    folder = f"version={stream or 'directo'}-{batch_id}-{uuid.uuid4().hex[:8]}"
     merged.hint("rebalance", "cubeta").write.partitionBy("cubeta").parquet(f"{root}/{folder}")
-    for b in touched:
-        if fs.exists(spark, f"{root}/{folder}/cubeta={b}"):
-            state["cubetas"][str(b)] = f"{folder}/cubeta={b}"
-        else:
-            state["cubetas"].pop(str(b), None)
-    before, state["retiradas"] = state["retiradas"], live
-    state["vistos"][stream] = batch_id
-    fs.replace_text(spark, f"{root}/{POINTER}", json.dumps(state, sort_keys=True))
-    for old in before:
-        fs.delete(spark, f"{root}/{old}")
+    return live
 
 
 def latest_state(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], order: Sequence[str],

@@ -102,7 +102,7 @@ def test_snapshot_equals_batch_over_many_micro_batches(spark, event_files, tmp_p
     source = stream.read_stream(spark, event_files, SCHEMA, files_per_batch=1)
     stream.latest_state(source, root, cp, ["user_id"], ["ts", "event_id"]).awaitTermination()
     assert rows(stream.current_snapshot(spark, root)) == expected(spark, event_files)
-    assert list(json.loads(open(f"{root}/_vigente.json").read())["vistos"].values()) == [3]
+    assert stream._version(spark, root)[0] == 4
     late = spark.createDataFrame([(9999, dt.datetime(2025, 1, 1), 0, 1.0), (10000, dt.datetime(2027, 1, 1), 77, 1.0)], SCHEMA)
     late.coalesce(1).write.mode("append").parquet(event_files)
     stream.latest_state(stream.read_stream(spark, event_files, SCHEMA, files_per_batch=1), root, cp, ["user_id"], ["ts", "event_id"]).awaitTermination()
@@ -212,9 +212,9 @@ def test_a_replay_in_another_hour_replaces_the_history_of_its_batch(spark, tmp_p
 def test_a_batch_rewrites_only_the_buckets_it_touches(spark, tmp_path):
     root = str(tmp_path / "t")
     stream.apply_batch(root, spark.range(200).selectExpr("id event_id", "timestamp_ntz'2026-01-01' ts", "id user_id", "1D value"), 0, ["user_id"], ["ts", "event_id"])
-    before = json.loads(open(f"{root}/_vigente.json").read())["cubetas"]
+    before = stream._version(spark, root)[1]["cubetas"]
     stream.apply_batch(root, spark.createDataFrame([(999, NOW, 7, 2.0)], SCHEMA), 1, ["user_id"], ["ts", "event_id"])
-    after = json.loads(open(f"{root}/_vigente.json").read())["cubetas"]
+    after = stream._version(spark, root)[1]["cubetas"]
     assert sum(before[b] != after[b] for b in after) == 1 and stream.current_snapshot(spark, root).count() == 200
     old = F.col("ts") >= F.lit("2026-06-01").cast("timestamp_ntz")
     stream.apply_batch(root, spark.createDataFrame([(1000, NOW, 7, 2.0)], SCHEMA), 2, ["user_id"], ["ts", "event_id"], keep=old)
@@ -290,3 +290,29 @@ def test_silent_keys_expire_by_a_timer(spark, tmp_path):
     assert live == {1: None, 2: (11, 2), 3: (10, 1), None: None}
     rows = [p["stateOperators"][0]["numRowsTotal"] for p in (json.loads(x.json) for x in query.recentProgress) if p["stateOperators"]]
     assert rows and rows[-1] < max(rows)
+
+
+def test_two_writers_of_one_snapshot_lose_nothing(spark, tmp_path, monkeypatch):
+    """While one batch is about to become visible two of another stream do, in the same buckets, and delete what the first one read."""
+    root, fields = str(tmp_path / "t"), "k long, at long, who string"
+    batch = lambda who, at: spark.createDataFrame([(k, at + (k % 2 if who == "a" else 0), who) for k in range(20)] + [(100 + at, at, who)], fields)
+    apply = lambda who, n, at: stream.apply_batch(root, batch(who, at), n, ["k"], ["at", "who"], who, buckets=4)
+    apply("a", 0, 1)
+    create, pending = stream.fs.create_text, [5, 6]
+
+    def interrupted(session, path, text):
+        if pending:
+            at = pending.pop()
+            apply("b", at, at)
+        return create(session, path, text)
+
+    monkeypatch.setattr(stream.fs, "create_text", interrupted)
+    apply("a", 1, 6)
+    got = {r.k: (r.at, r.who) for r in stream.current_snapshot(spark, root).collect()}
+    assert got == {**{k: (7, "a") if k % 2 else (6, "b") for k in range(20)}, 101: (1, "a"), 105: (5, "b"), 106: (6, "b")} and not pending
+    spark.createDataFrame([(1, 9, "c")], fields).write.parquet(str(tmp_path / "in"))
+    before = stream.current_snapshot(spark, root).count()
+    for n in range(14):  # old versions and folders go
+        stream.apply_batch(root, spark.read.parquet(str(tmp_path / "in")), n, ["k"], ["at", "who"], "c", buckets=4)
+    assert stream.current_snapshot(spark, root).count() == before
+    assert len(list((tmp_path / "t" / stream.VERSIONS).glob("*.json"))) == stream.KEPT_VERSIONS
