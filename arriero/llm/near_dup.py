@@ -1,12 +1,12 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
-Every document's shingle set gets ``trees`` x ``levels`` minima. A tree is one sorted order of all signatures; neighbours in
-that order share the longest prefixes, so the depth at which two rows meet adapts to the region: shallow where texts are
-sparse, deep where many are alike. Neighbours that share at least ``least_depth`` values are candidates (at most two per row
-and tree, whatever a group's size), of whatever sizes: a row between two near copies must not part them. Rows connected by candidates form a neighbourhood; within it every pair is decided exactly on
-the full sets, so a link needs no direct adjacency. A neighbourhood too large for one task is cut into regions: per tree, rows
-that share a prefix, as deep as it takes for the region to fit. What stays apart from its neighbourhood's main component is then
-compared, in blocks, with all of that neighbourhood.
+Every document's shingle set gets ``trees`` x ``levels`` minima, and as many more of which a byte each is kept as marks. A tree is
+one order of all signatures; rows that share at least ``least_depth`` values at its top are neighbours, whatever rows stand between
+them. Around a passage that many documents share most neighbours are far under the threshold, so neighbours become candidates only if
+their sizes allow a link and their marks agree as often as those of near copies do. Rows connected by candidates form a neighbourhood;
+within it every pair is decided exactly on the full sets, so a link needs no direct adjacency. A neighbourhood too large for one task
+is cut into regions: per tree, rows that share a prefix, as deep as it takes for the region to fit. What stays apart from its
+neighbourhood's main component is then compared, in blocks, with all of that neighbourhood.
 
 Identical sets are one class from the start, so copies cost nothing beyond an aggregate.
 """
@@ -18,9 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arriero.llm import blocks
 from arriero.llm.graph import components
 from arriero.llm.prefilter import with_possible_match
 from arriero.llm.ragged import CHUNK_BYTES, chunks, mixed, shingle_sets
@@ -30,6 +31,8 @@ WIDTH = 5
 TREES = 16
 LEVELS = 5
 LEAST_DEPTH = 2
+#: How far under their usual number the equal marks of a candidate may be, in deviations: that loses some 1e-8 of the pairs at the threshold.
+DEVIATIONS = 5.5
 #: Rows and text bytes that are decided together.
 BLOCK_ROWS = 300
 BLOCK_BYTES = 2 << 20
@@ -39,8 +42,8 @@ REGION_TREES = 3
 
 def _sketcher(width: int, minima: int):
     rng = np.random.default_rng(7)
-    factors = rng.integers(0, 1 << 63, minima, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shifts = rng.integers(0, 1 << 63, minima, dtype=np.uint64)
+    factors = rng.integers(0, 1 << 63, 2 * minima, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    shifts = rng.integers(0, 1 << 63, 2 * minima, dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,90 +52,82 @@ def _sketcher(width: int, minima: int):
                 sizes = np.array([len(s) for s in sets])
                 full = np.flatnonzero(sizes)
                 low, high = np.zeros(b - a, np.uint64), np.zeros(b - a, np.uint64)
-                signature = np.zeros((b - a, minima), dtype=">u4")
+                signature, marks = np.zeros((b - a, minima), dtype=">u4"), np.zeros((b - a, 2 * minima), np.uint8)
                 if len(full):
                     flat = np.concatenate([sets[i] for i in full])
                     at = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
                     low[full] = np.add.reduceat(flat, at)
                     high[full] = np.add.reduceat(mixed(flat + np.uint64(1)), at)
-                    for k in range(minima):
-                        signature[full, k] = np.minimum.reduceat(flat * factors[k] + shifts[k], at) >> np.uint64(32)
+                    for k in range(2 * minima):
+                        least = np.minimum.reduceat(flat * factors[k] + shifts[k], at) >> np.uint64(32)
+                        marks[full, k] = mixed(least) >> np.uint64(56)
+                        if k < minima:
+                            signature[full, k] = least
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(a, b - a), pa.array(sizes.astype(np.int64)), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)),
-                    pa.array(np.diff(offsets)), pa.array([r.tobytes() for r in signature], type=pa.binary()),
-                ], names=["doc_id", "n_shingles", "low", "high", "n_bytes", "signature"])
+                    pa.array(np.diff(offsets)), pa.array([r.tobytes() for r in signature], type=pa.binary()), pa.array([r.tobytes() for r in marks], type=pa.binary()),
+                ], names=["doc_id", "n_shingles", "low", "high", "n_bytes", "signature", "marks"])
 
     return run
 
 
 def sketches(docs: DataFrame, width: int = WIDTH, trees: int = TREES, levels: int = LEVELS) -> DataFrame:
-    """doc_id, n_shingles, (low, high) as the set's 128-bit identity, n_bytes and the signature: one pass over the whole texts, no shuffle."""
+    """doc_id, n_shingles, (low, high) as the set's 128-bit identity, n_bytes, the signature and the marks: one pass over the whole texts, no shuffle."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _sketcher(width, trees * levels), "doc_id long, n_shingles long, low long, high long, n_bytes long, signature binary")
-
-
-def _neighbours(levels: int, least_depth: int):
-    """Runs of rows in sorted order that share a prefix, as links to the run's least rep; the first and last row
-    of each partition leave as border rows."""
-    columns = ["a", "b", "tree", "key", "rep", "part", "last"]
-
-    def pairs(tree, key, rep):
-        same = (tree[1:] == tree[:-1]) & (key[1:, :least_depth] == key[:-1, :least_depth]).all(axis=1)
-        begins = np.flatnonzero(np.concatenate(([True], ~same)))
-        least = np.repeat(np.minimum.reduceat(rep, begins), np.diff(np.concatenate((begins, [len(rep)]))))
-        own = rep != least
-        return least[own], rep[own]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, part = None, None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            if last is None:
-                part = int(pdf.part.iloc[0])
-                yield pdf.iloc[:1].assign(a=None, b=None, last=False)[columns]
-            else:
-                pdf = pd.concat([last, pdf], ignore_index=True)
-            key = np.frombuffer(b"".join(pdf.key), dtype=">u4").reshape(len(pdf), levels)
-            a, b = pairs(pdf.tree.to_numpy(), key, pdf.rep.to_numpy())
-            yield pd.DataFrame({"a": a, "b": b, "tree": None, "key": None, "rep": None, "part": part, "last": None})
-            last = pdf.iloc[-1:]
-        if last is not None:
-            yield last.assign(a=None, b=None, last=True)[columns]
-
-    return run, pairs
-
-
-def candidates(classes: DataFrame, trees: int = TREES, levels: int = LEVELS, least_depth: int = LEAST_DEPTH) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that connect class representatives as their neighbours in some tree do.
-
-    ``classes``: rep, signature. The orders are range-partitioned by (tree, prefix, rep), so no region, however large, is one
-    task; the two rows at each partition border (as many as there are partitions) are paired in a second small step.
+        _sketcher(width, trees * levels), "doc_id long, n_shingles long, low long, high long, n_bytes long, signature binary, marks binary")
+
+
+def least_marks(percent: int, marks: int) -> int:
+    """Equal marks that two sets at the threshold have but for a deviation of DEVIATIONS times the usual one."""
+    p = percent / 100
+    return max(1, int(marks * (p - DEVIATIONS * (p * (1 - p) / marks) ** 0.5)))
+
+
+def _near_in_blocks(percent: int):
+    """Rows sorted by block to links (u, v): each row to the least row that pairs with enough equal marks join it to in the block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in blocks.whole(batches):
+            rep, n = table.column("rep").to_numpy(), table.column("n_shingles").to_numpy()
+            marks = blocks.fixed_bytes(table.column("marks"))
+            by_mark = np.ascontiguousarray(marks.T)
+            least = least_marks(percent, len(by_mark))
+            begins, sizes = blocks.spans(table.column("block").to_numpy())
+            label = np.arange(len(rep))
+            for i, j in blocks.pairs_of_small(begins, sizes):
+                fit = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+                i, j = i[fit], j[fit]
+                near = (marks[i] == marks[j]).sum(axis=1) >= least
+                label = blocks.joined(label, i[near], j[near])
+            for a, b, end in blocks.slices_of_large(begins, sizes):
+                equal = np.zeros((b - a, end - a), np.uint16)
+                for mark in by_mark:
+                    equal += mark[a:b, None] == mark[None, a:end]
+                near = (equal >= least) & (100 * np.minimum(n[a:b, None], n[None, a:end]) >= percent * np.maximum(n[a:b, None], n[None, a:end]))
+                i, j = np.nonzero(near)
+                label = blocks.joined(label, i + a, j + a)
+            other = rep != rep[label]
+            yield pa.RecordBatch.from_arrays([pa.array(rep[other]), pa.array(rep[label][other])], names=["u", "v"])
+
+    return run
+
+
+def candidates(classes: DataFrame, trees: int = TREES, levels: int = LEVELS, least_depth: int = LEAST_DEPTH, percent: int = 75, block_rows: int = blocks.ROWS) -> DataFrame:
+    """Distinct pairs (a, b), a > b, that connect class representatives as their neighbours in some tree do.
+
+    ``classes``: rep, n_shingles, signature, and marks (without them the signature's bytes are the marks). Neighbours are rows that
+    share ``least_depth`` minima of a tree; every two of them, of sizes that allow the threshold, are candidates if enough of their
+    marks are equal. Most rows have no neighbour; only the others carry their marks along, and a large region is dealt in blocks.
     """
-    spark = classes.sparkSession
-    rows = classes.select(
-        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("signature", t * (4 * levels) + 1, F.lit(4 * levels)))).alias("tree", "key"),
-        "rep")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = rows.repartitionByRange(parts, "tree", "key", "rep").sortWithinPartitions("tree", "key", "rep").withColumn("part", F.spark_partition_id())
-    run, pairs = _neighbours(levels, least_depth)
-    found = written(ordered.mapInPandas(run, "a long, b long, tree int, key binary, rep long, part int, last boolean"), "neighbours")
-
-    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                key = np.frombuffer(b"".join(x for kk in zip(pdf.k1, pdf.k2) for x in kk), dtype=">u4").reshape(-1, levels)
-                two = lambda x, y: np.stack([pdf[x].to_numpy(), pdf[y].to_numpy()], 1).reshape(-1)
-                tree = np.repeat(np.arange(len(pdf)), 2)
-                a, b = pairs(tree, key, two("r1", "r2"))
-                yield pd.DataFrame({"a": a, "b": b})
-
-    borders = found.where(F.col("last").isNotNull())
-    next_part = borders.select("part").distinct().select(F.col("part").alias("p1"), F.lead("part").over(Window.orderBy("part")).alias("p2"))
-    ends = borders.where("last").select(F.col("part").alias("p1"), F.col("tree").alias("t1"), F.col("key").alias("k1"), F.col("rep").alias("r1"))
-    begins = borders.where("not last").select(F.col("part").alias("p2"), F.col("tree").alias("t2"), F.col("key").alias("k2"), F.col("rep").alias("r2"))
-    bridged = ends.join(next_part, "p1").join(begins, "p2").where("t1 = t2").select("k1", "k2", "r1", "r2").mapInPandas(across, "a long, b long")
-    return found.where("a is not null").select("a", "b").union(bridged).where("a != b").distinct()
+    parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    marked = classes if "marks" in classes.columns else classes.withColumn("marks", F.col("signature"))
+    of_tree = lambda t: F.xxhash64(t, F.substring("signature", t * (4 * levels) + 1, F.lit(4 * least_depth)))
+    rows = marked.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), of_tree)).alias("region"), "rep")
+    regions = rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(rows.join(regions, "region"), "neighbours")
+    carried = shared.join(marked.select("rep", "n_shingles", "marks"), "rep")
+    near = blocks.dealt(carried, F.col("region"), F.col("n"), F.col("rep"), parts, block_rows).select("block", "rep", "n_shingles", "marks")
+    return near.mapInArrow(_near_in_blocks(percent), "u long, v long").select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).where("a != b").distinct()
 
 
 def _sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -280,9 +275,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WIDTH, tree
     marks = written(sketches(texts, width, trees, levels), "sketches")
     # copies: one class per identical set; its least doc_id stands for it
     classes = written(marks.where("n_shingles > 0 and doc_id is not null").groupBy("low", "high", "n_shingles").agg(
-        F.min_by(F.struct("signature", "n_bytes"), "doc_id").alias("one"), F.min("doc_id").alias("rep")).select(
-        "low", "high", "n_shingles", "rep", "one.signature", "one.n_bytes"), "classes")
-    hoods = components(candidates(classes, trees, levels, least_depth).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        F.min_by(F.struct("signature", "marks", "n_bytes"), "doc_id").alias("one"), F.min("doc_id").alias("rep")).select(
+        "low", "high", "n_shingles", "rep", "one.signature", "one.marks", "one.n_bytes"), "classes")
+    hoods = components(candidates(classes, trees, levels, least_depth, percent).select(F.col("a").alias("u"), F.col("b").alias("v")))
     members = classes.join(hoods.select(F.col("node").alias("rep"), F.col("component").alias("hood")), "rep").select("rep", "hood", "n_bytes", "signature")
     crowds = members.groupBy("hood").agg(F.count("*").alias("rows"), F.sum("n_bytes").alias("bytes"))
     placed = written(members.join(crowds, "hood").withColumn("large", (F.col("rows") > block_rows) | ((F.col("bytes") > block_bytes) & (F.col("rows") > 2))), "placed")
@@ -306,6 +301,6 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WIDTH, tree
     else:
         marks = marks.withColumn("of_id", F.lit(None).cast("long"))
     named = classes.join(links, classes.rep == links.node, "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("c"))
-    return marks.drop("signature").join(named, ["low", "high", "n_shingles"], "left").select(
+    return marks.drop("signature", "marks").join(named, ["low", "high", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("c")), "of_id", "doc_id")).alias("component_id"),
         "n_bytes").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

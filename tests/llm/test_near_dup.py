@@ -106,3 +106,30 @@ def test_an_id_with_several_texts_joins_their_components(spark):
     rows = [(3, a), (5, a), (5, b), (9, b), (9, c), (7, d), (8, d), (8, ""), (2, c + " end"), (11, words(rng, 30)), (11, words(rng, 30))]
     got = near_dup.near_duplicates(frame(spark, [(i, t, "en", "s") for i, t in rows]))
     assert tuples(got, *COLUMNS) == brute(rows) and {r.component_id for r in got.collect() if r.doc_id in (2, 3, 5, 9)} == {2}
+
+
+def test_a_crowd_around_a_passage_is_no_neighbourhood(spark):
+    """300 documents at a third of similarity to each other: hardly a candidate, though most share minima; the near copies are found."""
+    rng = random.Random(21)
+    passage = words(rng, 70).split()
+    rows = [(i, " ".join(passage + words(rng, 70).split()), "en", "a") for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " end", "en", "a") for i in range(0, 300, 50)]
+    docs = frame(spark, rows).repartition(5)
+    marks = near_dup.sketches(docs).withColumnRenamed("doc_id", "rep")
+    few = tuples(near_dup.candidates(marks, block_rows=40))
+    assert {(1000 + i, i) for i in range(0, 300, 50)} <= set(few) and len(few) < 20
+    assert tuples(near_dup.near_duplicates(docs), *COLUMNS) == brute(rows)
+
+
+def test_recall_at_the_threshold_beside_a_crowd(spark):
+    """Pairs at similarity 0.75 to 0.8 among documents that share a passage with them: all are candidates of some block."""
+    rng = random.Random(33)
+    passage = words(rng, 60).split()
+    rows = [(i, " ".join(passage + words(rng, 90).split()), "en", "a") for i in range(400)]
+    for i in range(120):
+        w = rows[i][1].split()
+        for k in range(3):
+            w[20 + 45 * k] = f"other{i}x{k}"
+        rows.append((1000 + i, " ".join([*w, *words(rng, 3).split()]), "en", "a"))
+    got = tuples(near_dup.near_duplicates(frame(spark, rows).repartition(6)), *COLUMNS)
+    assert got == brute(rows) and sum(r[0] >= 1000 and r[2] < 1000 for r in got) >= 100
