@@ -19,11 +19,13 @@ PAIRS = 20_000
 def dealt(rows: DataFrame, group: Column, n: Column, item: Column, parts: int, block_rows: int = ROWS) -> DataFrame:
     """``rows`` sorted by ``block`` in ``parts`` partitions: a group of up to ``block_rows`` rows (``n`` of them) is one block.
 
-    A larger one is dealt by ``item``, and each two of its parts make a block, so a row is copied n / block_rows times.
+    A larger one is dealt by ``item``, and each two of its parts make a block, so a row is copied n / block_rows times. ``piece`` is a
+    row's part; ``alone`` marks the blocks of one part, where the pairs inside a part are to be counted.
     """
     pieces = F.ceil(n / block_rows)
     own = F.pmod(F.xxhash64(item), pieces)
-    named = rows.withColumn("block", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), pieces - 1), lambda q: F.xxhash64(group, F.least(own, q), F.greatest(own, q)))))
+    of = lambda q: F.struct(F.xxhash64(group, F.least(own, q), F.greatest(own, q)).alias("block"), (own == q).alias("alone"))
+    named = rows.withColumn("piece", own).withColumn("at", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), pieces - 1), of))).select("*", "at.*").drop("at")
     return named.repartition(parts, "block").sortWithinPartitions("block")
 
 
@@ -82,9 +84,8 @@ def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     apart = label[i] != label[j]
     i, j = i[apart], j[apart]
     while len(i):
-        least = np.minimum(label[i], label[j])
-        for of in (label[i], label[j], i, j):
-            np.minimum.at(label, of, least)
+        a, b = label[i], label[j]  # roots; a root hooked below two others at once is hooked again in the next turn
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
         while True:
             further = label[label]
             if (further == label).all():

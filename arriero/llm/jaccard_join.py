@@ -8,8 +8,10 @@ candidate has to share more of it, so documents whose prefix meets frequent shin
 The frequencies come from counters of fixed size over all shingles of the corpus; they choose orders and lengths, never results.
 
 Links are decided on full sets. First each document meets, for its lists, the one member that comes first in a random order (linear
-in the rows); what that links is one component. Lists whose members are one component already need nothing more. In the others all
-members of different components that share enough prefix shingles are decided, so no link between components is lost.
+in the rows); what that links is one component. Lists whose members are one component already need nothing more. In the others every
+two members of different components meet in blocks of bounded rows, as parity bitmaps of their sets: bits that differ are shingles of
+one set only, so a pair with more of them than the threshold allows is no link, and is never written out. What is left and shares
+enough prefix shingles is decided, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arriero.llm import blocks
 from arriero.llm.graph import components
 from arriero.llm.prefilter import with_possible_match
 from arriero.llm.ragged import chunks, mixed, shingle_sets
@@ -36,6 +39,8 @@ MATCHES = (1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2)
 CANDIDATE_COST, USUAL_PARTNERS = 4, 0.5
 #: Members a document meets in each round, rounds, and documents that meet one member in one group.
 MEETS, MEET_ROUNDS, GROUP = 2, 2, 200
+#: Bits of a set's parity bitmap.
+BITS = 1024
 
 
 def _marks(width: int):
@@ -158,6 +163,63 @@ def _linked(width: int, percent: int):
     return run
 
 
+def _bitmaps(width: int):
+    """Parity bitmaps: a bit is set if an odd number of the set's shingles falls on it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in chunks(batch.column("text")):
+                sets = shingle_sets(data, offsets, width)
+                bits = [np.packbits((np.bincount((s >> np.uint64(20)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1).astype(np.uint8)).tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([batch.column("doc").slice(a, b - a), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(bits, type=pa.binary())],
+                                                 names=["doc", "n", "bits"])
+
+    return run
+
+
+def _differing(percent: int, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Shingles of one set only that two linked sets of these sizes can have; below 0 if none of these sizes link."""
+    both = n_a + n_b
+    most = both - 2 * -(-percent * both // (100 + percent))
+    return np.where(100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b), most, -1)
+
+
+def _open_pairs(percent: int):
+    """Rows of lists in blocks to the pairs of different components that may link, once for each list that holds both."""
+    names = ["a", "b", "n_a", "m_a", "n_b", "m_b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in blocks.whole(batches):
+            doc, n, m, c, piece = (table.column(x).to_numpy() for x in ("doc", "n", "m", "c", "piece"))
+            alone = np.array(table.column("alone").to_pylist(), dtype=bool)
+            bits = blocks.fixed_bytes(table.column("bits")).view(np.uint64)
+            begins, sizes = blocks.spans(table.column("block").to_numpy())
+            words = np.ascontiguousarray(bits.T)
+
+            def near_pairs():
+                for i, j in blocks.pairs_of_small(begins, sizes):
+                    fit = (c[i] != c[j]) & ((piece[i] != piece[j]) | alone[i])
+                    i, j = i[fit], j[fit]
+                    near = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) <= _differing(percent, n[i], n[j])
+                    yield i[near], j[near]
+                for a, b, end in blocks.slices_of_large(begins, sizes):
+                    differ = np.zeros((b - a, end - a), np.uint16)
+                    for word in words:
+                        differ += np.bitwise_count(word[a:b, None] ^ word[None, a:end])
+                    near = (differ <= _differing(percent, n[a:b, None], n[None, a:end])) & (c[a:b, None] != c[None, a:end])
+                    near &= (piece[a:b, None] != piece[None, a:end]) | alone[a:b, None]
+                    i, j = np.nonzero(np.triu(near))
+                    yield i + a, j + a
+
+            for i, j in near_pairs():
+                if len(i):
+                    turned = c[i] > c[j]
+                    i, j = np.where(turned, j, i), np.where(turned, i, j)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[i], doc[j], n[i], m[i], n[j], m[j])], names=names)
+
+    return run
+
+
 def decided(pairs: DataFrame, held: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (u, v) among distinct ``pairs`` (a, b), on the full sets of their texts in ``held`` (doc, text).
 
@@ -169,10 +231,6 @@ def decided(pairs: DataFrame, held: DataFrame, width: int, percent: int) -> Data
     return left.join(right, ["b", "part"]).select("a", "b", "text_a", "text_b").mapInArrow(_linked(width, percent), "u long, v long")
 
 
-def _near(n: str, other: str, percent: int):
-    return 100 * F.least(n, other) >= percent * F.greatest(n, other)
-
-
 def _asked(percent: int):
     """Prefix shingles that two sets of these sizes have to share: of the one whose prefix ends first, all but the rest behind it."""
     least = lambda n: F.ceil(percent * F.col(n) / 100)
@@ -180,7 +238,7 @@ def _asked(percent: int):
     return both - F.greatest(least("n_a") - F.col("m_a"), least("n_b") - F.col("m_b"))
 
 
-def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_rounds: int = MEET_ROUNDS) -> DataFrame:
+def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_rounds: int = MEET_ROUNDS, block_rows: int = blocks.ROWS) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text; other columns are ignored).
 
     Two rows link if 100 |A ∩ B| >= percent |A ∪ B| on their sets of shingles (``width`` words, A-Z lower-cased; fewer words: all as one
@@ -232,10 +290,12 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_round
             # another first member: the first one, in a new order, of the component that has the most members in the list
             most = open_rows.groupBy("token", "c").agg(F.count("*").alias("k"), F.min_by("doc", F.xxhash64("doc", F.lit(turn))).alias("d")).groupBy("token").agg(F.max_by(F.struct("c", "d"), F.struct("k", "c")).alias("w"))
             lists = open_rows.join(most, "token").where("c != w.c").select("doc", "m", F.col("w.d").alias("first"))
-    a, b = (open_rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "m", "c")]) for side in "ab")
-    near = a.join(b, "token").where(F.col("c_a") < F.col("c_b")).where(_near("n_a", "n_b", percent))
-    pairs = near.groupBy(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).agg(
-        F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("n_a", "m_a", "n_b", "m_b")]).where(F.col("shared") >= _asked(percent))
+    lists_open = open_rows.groupBy("token").agg(F.count("*").alias("rows"))
+    members = open_rows.select(F.col("doc").alias("a"), F.col("doc").alias("b"))
+    bits = written(held(members).select("doc", "text").mapInArrow(_bitmaps(width), "doc long, n long, bits binary"), "bitmaps")
+    meeting = blocks.dealt(open_rows.join(lists_open, "token").join(bits, ["doc", "n"]), F.col("token"), F.col("rows"), F.col("doc"), parts, block_rows)
+    near = meeting.select("block", "alone", "piece", "doc", "n", "m", "c", "bits").mapInArrow(_open_pairs(percent), "a long, b long, n_a long, m_a int, n_b long, m_b int")
+    pairs = near.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("n_a", "m_a", "n_b", "m_b")]).where(F.col("shared") >= _asked(percent))
     pairs = written(pairs.select("a", "b"), "candidates")
     found = components(written(links.unionByName(decided(pairs, held(pairs), width, percent)), "links"))
     groups = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("c"))

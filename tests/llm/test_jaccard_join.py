@@ -75,3 +75,26 @@ def test_lists_over_batches():
         batches = [pa.RecordBatch.from_pydict({"token": [t for t, _ in rows[k:k + step]], "doc": [d for _, d in rows[k:k + step]], "n": [1] * len(rows[k:k + step]), "m": [1] * len(rows[k:k + step])}) for k in range(0, len(rows), step)]
         got = [tuple(r.values()) for b in jaccard_join._lists(iter(batches)) for r in b.select(["token", "doc", "first"]).to_pylist()]
         assert sorted(got) == [(2, 3, 7), (2, 7, 7), (2, 9, 7), (5, 2, 2), (5, 4, 2), (5, 6, 2), (5, 8, 2)]
+
+
+def test_crowds_in_small_blocks_equal_brute_force(spark):
+    """Lists of 90 members just around the threshold, dealt in parts of 20 rows."""
+    rng = random.Random(14)
+    base = words(rng, 90).split()
+    rows = [(i, edited(rng, base, 5), "en", "a") for i in range(90)] + [(200 + i, words(rng, 30), "en", "a") for i in range(10)]
+    got = jaccard_join.join(frame(spark, rows).repartition(5), meet_rounds=1, block_rows=20)
+    assert tuples(got, *COLUMNS) == expected(rows)
+
+
+def test_bitmaps_never_part_linked_sets():
+    rng = np.random.default_rng(3)
+    seen = 0
+    for _ in range(400):
+        x = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 4000)).astype(np.uint64))
+        y = np.concatenate((rng.permutation(x)[rng.integers(0, len(x) // 6 + 1):], rng.integers(0, 1 << 63, rng.integers(0, len(x) // 6 + 1)).astype(np.uint64)))
+        common = len(np.intersect1d(x, y))
+        bits = [np.bincount((s >> np.uint64(20)).astype(np.int64) & (jaccard_join.BITS - 1), minlength=jaccard_join.BITS) & 1 for s in (x, y)]
+        if 100 * common >= 80 * (len(x) + len(y) - common):
+            seen += 1
+            assert (bits[0] != bits[1]).sum() <= jaccard_join._differing(80, np.array(len(x)), np.array(len(y)))
+    assert seen > 50
