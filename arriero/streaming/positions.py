@@ -131,7 +131,10 @@ def _merge_into(root: str, folder: str, state: dict, dealt: DataFrame, touched:
     previous = spark.read.parquet(*[f"{root}/{f}" for f in live]).withColumn("cubeta", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")) if live else None
     merged = merge_latest(previous, dealt, ["cubeta", *keys], order)
     merged = merged if keep is None else merged.where(keep)
-    merged.hint("rebalance", "cubeta").write.partitionBy("cubeta").parquet(f"{root}/{folder}")
+    # inside a stream AQE is off and the hint deals nothing: every task would write a file of every bucket
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    merged = merged.hint("rebalance", "cubeta") if adaptive else merged.repartition("cubeta")
+    merged.write.partitionBy("cubeta").parquet(f"{root}/{folder}")
     return live
 
 
