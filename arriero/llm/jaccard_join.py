@@ -10,8 +10,8 @@ The frequencies come from counters of fixed size over all shingles of the corpus
 Links are decided on full sets. First each document meets, for its lists, the one member that comes first in a random order (linear
 in the rows); what that links is one component. Lists whose members are one component already need nothing more. In the others every
 two members of different components meet in blocks of bounded rows, as parity bitmaps of their sets: bits that differ are shingles of
-one set only, so a pair with more of them than the threshold allows is no link, and is never written out. What is left and shares
-enough prefix shingles is decided, so no link between components is lost.
+one set only, so a pair with more of them than the threshold allows is no link, and is never written out. Nor is a pair written out for
+lists behind which one of the two has too few left to share enough. What is left is decided, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ MATCHES = (1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2)
 CANDIDATE_COST, USUAL_PARTNERS = 4, 0.5
 #: Members a document meets in each round, rounds, and documents that meet one member in one group.
 MEETS, MEET_ROUNDS, GROUP = 2, 2, 200
-#: Bits of a set's parity bitmap.
-BITS = 1024
+#: Bits of a set's parity bitmap, and pairs that a task holds to name each of them once.
+BITS, HELD_PAIRS = 1024, 500_000
 
 
 def _marks(width: int):
@@ -184,17 +184,35 @@ def _differing(percent: int, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return np.where(100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b), most, -1)
 
 
-def _open_pairs(percent: int):
-    """Rows of lists in blocks to the pairs of different components that may link, once for each list that holds both."""
-    names = ["a", "b", "n_a", "m_a", "n_b", "m_b"]
+def _asked(percent: int, n_a: np.ndarray, m_a: np.ndarray, n_b: np.ndarray, m_b: np.ndarray) -> np.ndarray:
+    """Prefix shingles that two linked sets of these sizes share: of the one whose prefix ends first, all but the rest behind it."""
+    least = lambda n: -(-percent * n // 100)
+    return -(-percent * (n_a + n_b) // (100 + percent)) - np.maximum(least(n_a) - m_a, least(n_b) - m_b)
+
+
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(a)]
+    return a[new], b[new]
+
+
+def _open_pairs(percent: int, most_held: int = HELD_PAIRS):
+    """Rows of lists in blocks to the pairs of different components that may link, mostly once a task.
+
+    ``place`` numbers a set's ``places`` rows in one order of all lists. Sets that share ``asked`` shingles have as many rows from the
+    first shared one on, so only lists that leave both sets that many rows name the pair: the rarest ones, as the order begins with them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = 0
         for table in blocks.whole(batches):
-            doc, n, m, c, piece = (table.column(x).to_numpy() for x in ("doc", "n", "m", "c", "piece"))
+            doc, n, m, c, piece, place, places = (table.column(x).to_numpy() for x in ("doc", "n", "m", "c", "piece", "place", "places"))
             alone = np.array(table.column("alone").to_pylist(), dtype=bool)
             bits = blocks.fixed_bytes(table.column("bits")).view(np.uint64)
             begins, sizes = blocks.spans(table.column("block").to_numpy())
-            words = np.ascontiguousarray(bits.T)
+            words, m, left = np.ascontiguousarray(bits.T), m.astype(np.int64), places.astype(np.int64) - place + 1  # rows from this one on
 
             def near_pairs():
                 for i, j in blocks.pairs_of_small(begins, sizes):
@@ -212,10 +230,20 @@ def _open_pairs(percent: int):
                     yield i + a, j + a
 
             for i, j in near_pairs():
+                enough = np.minimum(left[i], left[j]) >= _asked(percent, n[i], m[i], n[j], m[j])
+                i, j = i[enough], j[enough]
                 if len(i):
                     turned = c[i] > c[j]
-                    i, j = np.where(turned, j, i), np.where(turned, i, j)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[i], doc[j], n[i], m[i], n[j], m[j])], names=names)
+                    held.append((doc[np.where(turned, j, i)], doc[np.where(turned, i, j)]))
+                    rows += len(i)
+                if rows > most_held:
+                    held = [_distinct(*map(np.concatenate, zip(*held)))]
+                    rows = len(held[0][0])
+                    if rows > most_held // 2:  # few repeat
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["a", "b"])
+                        held, rows = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _distinct(*map(np.concatenate, zip(*held)))], names=["a", "b"])
 
     return run
 
@@ -231,13 +259,6 @@ def decided(pairs: DataFrame, held: DataFrame, width: int, percent: int) -> Data
     return left.join(right, ["b", "part"]).select("a", "b", "text_a", "text_b").mapInArrow(_linked(width, percent), "u long, v long")
 
 
-def _asked(percent: int):
-    """Prefix shingles that two sets of these sizes have to share: of the one whose prefix ends first, all but the rest behind it."""
-    least = lambda n: F.ceil(percent * F.col(n) / 100)
-    both = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
-    return both - F.greatest(least("n_a") - F.col("m_a"), least("n_b") - F.col("m_b"))
-
-
 def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_rounds: int = MEET_ROUNDS, block_rows: int = blocks.ROWS) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -291,12 +312,15 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_round
             most = open_rows.groupBy("token", "c").agg(F.count("*").alias("k"), F.min_by("doc", F.xxhash64("doc", F.lit(turn))).alias("d")).groupBy("token").agg(F.max_by(F.struct("c", "d"), F.struct("k", "c")).alias("w"))
             lists = open_rows.join(most, "token").where("c != w.c").select("doc", "m", F.col("w.d").alias("first"))
     lists_open = open_rows.groupBy("token").agg(F.count("*").alias("rows"))
-    members = open_rows.select(F.col("doc").alias("a"), F.col("doc").alias("b"))
-    bits = written(held(members).select("doc", "text").mapInArrow(_bitmaps(width), "doc long, n long, bits binary"), "bitmaps")
-    meeting = blocks.dealt(open_rows.join(lists_open, "token").join(bits, ["doc", "n"]), F.col("token"), F.col("rows"), F.col("doc"), parts, block_rows)
-    near = meeting.select("block", "alone", "piece", "doc", "n", "m", "c", "bits").mapInArrow(_open_pairs(percent), "a long, b long, n_a long, m_a int, n_b long, m_b int")
-    pairs = near.groupBy("a", "b").agg(F.count("*").alias("shared"), *[F.max(c).alias(c) for c in ("n_a", "m_a", "n_b", "m_b")]).where(F.col("shared") >= _asked(percent))
-    pairs = written(pairs.select("a", "b"), "candidates")
+    members = written(open_rows.select(F.col("doc").alias("member")).distinct(), "members")
+    # bitmaps where the texts are, which stay there
+    texts_open = with_possible_match(own, "doc_id", members, "member", "is_member").where("is_member").select(F.col("doc_id").alias("doc"), "text")
+    bits = written(texts_open.mapInArrow(_bitmaps(width), "doc long, n long, bits binary").distinct(), "bitmaps")
+    of_set = Window.partitionBy("doc", "n")
+    placed = open_rows.join(lists_open, "token").withColumn("place", F.row_number().over(of_set.orderBy("rows", "token"))).withColumn("places", F.count("*").over(of_set))
+    meeting = blocks.dealt(placed.join(bits, ["doc", "n"]), F.col("token"), F.col("rows"), F.col("doc"), parts, block_rows)
+    near = meeting.select("block", "alone", "piece", "doc", "n", "m", "c", "place", "places", "bits").mapInArrow(_open_pairs(percent), "a long, b long")
+    pairs = written(near.distinct(), "candidates")
     found = components(written(links.unionByName(decided(pairs, held(pairs), width, percent)), "links"))
     groups = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("c"))
     return marks.join(groups, ["low", "high", "n_shingles"], "left").select(
