@@ -311,13 +311,15 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_round
             # another first member: the first one, in a new order, of the component that has the most members in the list
             most = open_rows.groupBy("token", "c").agg(F.count("*").alias("k"), F.min_by("doc", F.xxhash64("doc", F.lit(turn))).alias("d")).groupBy("token").agg(F.max_by(F.struct("c", "d"), F.struct("k", "c")).alias("w"))
             lists = open_rows.join(most, "token").where("c != w.c").select("doc", "m", F.col("w.d").alias("first"))
-    lists_open = open_rows.groupBy("token").agg(F.count("*").alias("rows"))
-    members = written(open_rows.select(F.col("doc").alias("member")).distinct(), "members")
+    lists_open = open_rows.groupBy("token").agg(F.count("*").alias("rows"), F.min("m").alias("least_m"))
+    of_set = Window.partitionBy("doc", "n")
+    numbered = open_rows.join(lists_open, "token").withColumn("place", F.row_number().over(of_set.orderBy("rows", "token"))).withColumn("places", F.count("*").over(of_set))
+    # two sets share the matches of one of them or more, so a row with fewer rows left names no pair
+    placed = written(numbered.where(F.col("places") - F.col("place") + 1 >= F.col("least_m")).drop("least_m"), "placed")
+    members = written(placed.select(F.col("doc").alias("member")).distinct(), "members")
     # bitmaps where the texts are, which stay there
     texts_open = with_possible_match(own, "doc_id", members, "member", "is_member").where("is_member").select(F.col("doc_id").alias("doc"), "text")
     bits = written(texts_open.mapInArrow(_bitmaps(width), "doc long, n long, bits binary").distinct(), "bitmaps")
-    of_set = Window.partitionBy("doc", "n")
-    placed = open_rows.join(lists_open, "token").withColumn("place", F.row_number().over(of_set.orderBy("rows", "token"))).withColumn("places", F.count("*").over(of_set))
     meeting = blocks.dealt(placed.join(bits, ["doc", "n"]), F.col("token"), F.col("rows"), F.col("doc"), parts, block_rows)
     near = meeting.select("block", "alone", "piece", "doc", "n", "m", "c", "place", "places", "bits").mapInArrow(_open_pairs(percent), "a long, b long")
     pairs = written(near.distinct(), "candidates")
