@@ -79,6 +79,15 @@ def fixed_bytes(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), -1)
 
 
+def spanning(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer than one pair for each id that connect what the pairs (i, j) of ids connect: each id with the least one it hangs together with."""
+    ids, at = np.unique(np.concatenate((i, j)), return_inverse=True)
+    own = np.arange(len(ids))
+    label = joined(own.copy(), at[: len(i)], at[len(i):])
+    other = label != own
+    return ids[other], ids[label[other]]
+
+
 def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Labels (of each row the least row it is known to be joined with) after the rows i and j are joined."""
     apart = label[i] != label[j]

@@ -10,8 +10,9 @@ The frequencies come from counters of fixed size over all shingles of the corpus
 Links are decided on full sets. First each document meets, for its lists, the one member that comes first in a random order (linear
 in the rows); what that links is one component. Lists whose members are one component already need nothing more. In the others every
 two members of different components meet in blocks of bounded rows, as parity bitmaps of their sets: bits that differ are shingles of
-one set only, so a pair with more of them than the threshold allows is no link, and is never written out. Nor is a pair written out for
-lists behind which one of the two has too few left to share enough. What is left is decided, so no link between components is lost.
+one set only, so a pair with more of them than the threshold allows is no link. Nor does a pair count in lists behind which one of the
+two has too few left to share enough. A task writes out no pairs, but what its pairs connect, with less than one row for each set; so sets
+that pairs connect form neighbourhoods, and in each of those all sets are decided together. So no link between components is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arriero.llm import blocks
+from arriero.llm import blocks, near_dup
 from arriero.llm.graph import components
 from arriero.llm.prefilter import with_possible_match
 from arriero.llm.ragged import chunks, mixed, shingle_sets
@@ -197,8 +198,8 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
-def _open_pairs(percent: int, most_held: int = HELD_PAIRS):
-    """Rows of lists in blocks to the pairs of different components that may link, mostly once a task.
+def _open_pairs(percent: int, most_held: int = HELD_PAIRS, reduced=_distinct):
+    """Rows of lists in blocks to the pairs of different components that may link, ``reduced`` as often as a task holds enough of them.
 
     ``place`` numbers a set's ``places`` rows in one order of all lists. Sets that share ``asked`` shingles have as many rows from the
     first shared one on, so only lists that leave both sets that many rows name the pair: the rarest ones, as the order begins with them.
@@ -237,13 +238,13 @@ def _open_pairs(percent: int, most_held: int = HELD_PAIRS):
                     held.append((doc[np.where(turned, j, i)], doc[np.where(turned, i, j)]))
                     rows += len(i)
                 if rows > most_held:
-                    held = [_distinct(*map(np.concatenate, zip(*held)))]
+                    held = [reduced(*map(np.concatenate, zip(*held)))]
                     rows = len(held[0][0])
-                    if rows > most_held // 2:  # few repeat
+                    if rows > most_held // 2:  # most are needed
                         yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["a", "b"])
                         held, rows = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _distinct(*map(np.concatenate, zip(*held)))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in reduced(*map(np.concatenate, zip(*held)))], names=["a", "b"])
 
     return run
 
@@ -259,7 +260,21 @@ def decided(pairs: DataFrame, held: DataFrame, width: int, percent: int) -> Data
     return left.join(right, ["b", "part"]).select("a", "b", "text_a", "text_b").mapInArrow(_linked(width, percent), "u long, v long")
 
 
-def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_rounds: int = MEET_ROUNDS, block_rows: int = blocks.ROWS) -> DataFrame:
+def decided_hoods(rows: DataFrame, width: int, percent: int, hood_rows: int, hood_bytes: int = near_dup.BLOCK_BYTES) -> DataFrame:
+    """Links (u, v) that connect what any links inside the hoods connect. ``rows``: rep, hood, n_bytes, text and c, the component known so far.
+
+    Small hoods are decided whole, many to a task; in larger ones all that is not of the largest component meets all of the hood in blocks.
+    """
+    crowds = rows.groupBy("hood").agg(F.count("*").alias("rows"), F.sum("n_bytes").alias("bytes"))
+    large = (F.col("rows") > hood_rows) | ((F.col("bytes") > hood_bytes) & (F.col("rows") > 2))
+    placed = written(rows.join(crowds, "hood").select(*rows.columns, large.alias("large")), "hood_rows")
+    links = near_dup.decided_blocks(placed.where("not large").select("rep", "text", "n_bytes", F.col("hood").alias("block")), width, percent, hood_bytes)
+    if placed.where("large").limit(1).count():
+        links = links.union(near_dup.rest_with_all(placed.where("large"), width, percent, hood_rows))
+    return links
+
+
+def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_rounds: int = MEET_ROUNDS, block_rows: int = blocks.ROWS, hood_rows: int = near_dup.BLOCK_ROWS) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text; other columns are ignored).
 
     Two rows link if 100 |A ∩ B| >= percent |A ∪ B| on their sets of shingles (``width`` words, A-Z lower-cased; fewer words: all as one
@@ -321,9 +336,12 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, meet_round
     texts_open = with_possible_match(own, "doc_id", members, "member", "is_member").where("is_member").select(F.col("doc_id").alias("doc"), "text")
     bits = written(texts_open.mapInArrow(_bitmaps(width), "doc long, n long, bits binary").distinct(), "bitmaps")
     meeting = blocks.dealt(placed.join(bits, ["doc", "n"]), F.col("token"), F.col("rows"), F.col("doc"), parts, block_rows)
-    near = meeting.select("block", "alone", "piece", "doc", "n", "m", "c", "place", "places", "bits").mapInArrow(_open_pairs(percent), "a long, b long")
-    pairs = written(near.distinct(), "candidates")
-    found = components(written(links.unionByName(decided(pairs, held(pairs), width, percent)), "links"))
+    near = meeting.select("block", "alone", "piece", "doc", "n", "m", "c", "place", "places", "bits").mapInArrow(_open_pairs(percent, reduced=blocks.spanning), "a long, b long")
+    hoods = written(components(near.select(F.col("a").alias("u"), F.col("b").alias("v"))), "hoods")
+    known = hoods.join(state.select("node", F.col("component").alias("c")), "node", "left").select(F.col("node").alias("rep"), F.col("component").alias("hood"), "c")
+    crowded = held(hoods.select(F.col("node").alias("a"), F.col("component").alias("b"))).join(known, F.col("doc") == F.col("rep")).select(
+        "rep", "hood", F.octet_length("text").cast("long").alias("n_bytes"), "text", F.coalesce("c", "rep").alias("c"))
+    found = components(written(links.unionByName(decided_hoods(crowded, width, percent, hood_rows)), "links"))
     groups = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("c"))
     return marks.join(groups, ["low", "high", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))

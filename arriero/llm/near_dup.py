@@ -206,13 +206,13 @@ def _decide_two(width: int, percent: int):
         if not len(left) or not len(right):
             return pd.DataFrame({"u": [], "v": []}).astype("int64")
         i, j = linked(_sets(left.text.tolist(), width), _sets(right.text_r.tolist(), width), percent)
-        u, v = left.rep.to_numpy()[i], right.c_r.to_numpy()[j]  # one link for each component that a row reaches
-        return pd.DataFrame({"u": u, "v": v}).drop_duplicates()
+        u, v = blocks.spanning(left.rep.to_numpy()[i], right.c_r.to_numpy()[j])  # no more links than rows and components
+        return pd.DataFrame({"u": u, "v": v}).astype("int64")
 
     return run
 
 
-def _decided(rows: DataFrame, width: int, percent: int, block_bytes: int) -> DataFrame:
+def decided_blocks(rows: DataFrame, width: int, percent: int, block_bytes: int) -> DataFrame:
     """``_decide_blocks`` over rows (rep, text, n_bytes, block), many small blocks to a task."""
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     tasks = max(1, -(-total // block_bytes))
@@ -242,10 +242,18 @@ def _large_hoods(crowd: DataFrame, rows: DataFrame, width: int, percent: int, le
         one = _regions(crowd, tree, levels, block_rows)
         regions = one if regions is None else regions.union(one)
     parts = rows.select("rep", "n_bytes", "text").join(regions, "rep")
-    links = written(_decided(parts, width, percent, block_bytes), "regions")
+    links = written(decided_blocks(parts, width, percent, block_bytes), "regions")
     found = written(components(links), "regional")
     state = written(rows.select("rep", "hood", "n_bytes", "text").join(found, F.col("rep") == F.col("node"), "left").select(
         "rep", "hood", "n_bytes", "text", F.coalesce("component", "rep").alias("c")), "state")
+    return found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(rest_with_all(state, width, percent, block_rows))
+
+
+def rest_with_all(state: DataFrame, width: int, percent: int, block_rows: int) -> DataFrame:
+    """Links (u, v) that join the components in a hood: what is not of its largest one meets all of the hood, in blocks.
+
+    ``state``: rep, hood, text and c, the component known so far; it is read several times.
+    """
     sizes = state.groupBy("hood", "c").agg(F.count("*").alias("n"))
     main = sizes.groupBy("hood").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.sum("n").alias("rows"))
     dealt = lambda df, n: F.pmod(F.xxhash64("rep"), F.ceil(n / block_rows))
@@ -257,8 +265,7 @@ def _large_hoods(crowd: DataFrame, rows: DataFrame, width: int, percent: int, le
     left = left.select("rep", "text", "hood", "kl", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("all") / block_rows) - 1).cast("long"))).alias("kr"))
     right = every.join(lefts.select("hood", "rest"), "hood").select(
         F.col("rep").alias("rep_r"), F.col("text").alias("text_r"), F.col("c").alias("c_r"), F.col("hood").alias("hood_r"), F.col("kr").alias("kr_r"), F.explode(F.sequence(F.lit(0), (F.ceil(F.col("rest") / block_rows) - 1).cast("long"))).alias("kl_r"))
-    late = left.groupBy("hood", "kl", "kr").cogroup(right.groupBy("hood_r", "kl_r", "kr_r")).applyInPandas(_decide_two(width, percent), "u long, v long")
-    return found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(late)
+    return left.groupBy("hood", "kl", "kr").cogroup(right.groupBy("hood_r", "kl_r", "kr_r")).applyInPandas(_decide_two(width, percent), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WIDTH, trees: int = TREES, levels: int = LEVELS,
@@ -283,7 +290,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = WIDTH, tree
     placed = written(members.join(crowds, "hood").withColumn("large", (F.col("rows") > block_rows) | ((F.col("bytes") > block_bytes) & (F.col("rows") > 2))), "placed")
     maybe = with_possible_match(texts, "doc_id", placed, "rep", "maybe").where("maybe")  # most texts have no candidate and need no shuffle
     held = written(maybe.join(placed.select("rep", "hood", "n_bytes", "large"), F.col("doc_id") == F.col("rep")).select("rep", "hood", "n_bytes", "large", "text"), "held")
-    small = written(_decided(held.where("not large").select("rep", "text", "n_bytes", F.col("hood").alias("block")), width, percent, block_bytes), "decided")
+    small = written(decided_blocks(held.where("not large").select("rep", "text", "n_bytes", F.col("hood").alias("block")), width, percent, block_bytes), "decided")
     links = small.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     if placed.where("large").limit(1).count():
         crowd = placed.where("large").select("rep", "hood", "signature")
