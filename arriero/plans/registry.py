@@ -215,13 +215,13 @@ def person_dictionary_job(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def typed_items_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
     """Bulk files whose months differ in column order, with an extra column or without an optional one."""
-    raw = fx.raw_items(spark, sf)
+    raw = fx.written(fx.raw_items(spark, sf), "textos")  # read three times
     root = f"{scratch_dir(spark, 'mixto')}/items"
     month = F.substring("mes", 6, 2).cast("int") % 3
     shapes = [raw.columns, list(reversed(raw.columns)), ["Extra", *[c for c in raw.columns if c != "Estado"]]]
     for i, columns in enumerate(shapes):
         part = raw.withColumn("Extra", F.lit("sobra")).where(month == i).select(*columns)
-        part.write.mode("append").options(**RAW_OPTIONS).partitionBy("mes").csv(root)
+        write_raw_items(part, root, "append")
     return plain(typed_items(read_items_csv(spark, root)).select(*ITEM_OUTPUT))
 
 

@@ -80,3 +80,40 @@ def test_months_are_loaded_in_batches_of_bounded_size(spark, sf, tmp_path, monke
         assert all(len(b) == 1 or sum(sizes[months.index(m)] for m in b) <= size for b in masked)
     assert got["una"] == got["varias"]
     assert jobs.month_batches(spark, raw, []) == [[]] and jobs.month_batches(spark, raw, ["2050-01"]) == [["2050-01"]]
+
+
+def labels_written(monkeypatch) -> list[tuple]:
+    """What a query writes to scratch tables: label and partition columns of each."""
+    seen = []
+
+    def recorded(df, label, *partition):
+        seen.append((label, *partition))
+        return written(df, label, *partition)
+
+    monkeypatch.setattr(fx, "written", recorded)
+    return seen
+
+
+def test_bulk_texts_of_different_headers_are_made_once(spark, sf, monkeypatch):
+    seen = labels_written(monkeypatch)
+    registry.typed_items_mixed_headers(spark, sf)
+    assert seen == [("textos",)]
+
+
+def test_order_files_leave_no_shuffle_files(spark, sf):
+    assert left_by(spark, lambda: registry.raw_order_files(spark, sf)) == set()
+
+
+def test_facts_that_every_rule_reads_are_written_once(spark, sf, monkeypatch):
+    seen = labels_written(monkeypatch)
+    registry.integrity_suite(spark, sf)
+    assert [label for (label,) in seen] == ["stage", "organismo", "unidad", "proveedor", "items", "pedidos"]
+
+
+def test_the_stage_of_an_increment_is_not_gathered_by_month(spark, sf, monkeypatch):
+    seen = labels_written(monkeypatch)
+    monkeypatch.setattr(registry.jobs, "increment_months", lambda *a: None)
+    monkeypatch.setattr(registry.jobs, "summary_job", lambda *a: None)
+    monkeypatch.setattr(registry.jobs, "read_documents", lambda *a: registry.fx.table(spark, sf, "nation").selectExpr("array(struct(1 posicion, 1 codigo_proveedor, 1 nombre_proveedor, 1 rut_proveedor, 1 monto_clp, 1 ordenes, 1 pct_monto)) principales_proveedores"))
+    registry.warehouse_increment(spark, sf)
+    assert seen == [("stage",)]
