@@ -187,9 +187,7 @@ def typed_items_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def typed_orders_nested(spark: SparkSession, sf: str) -> DataFrame:
-    path = f"{scratch_dir(spark, 'crudo')}/ordenes"
-    fx.raw_orders(spark, sf).write.option("compression", "gzip").text(path)
-    orders = typed_orders(read_orders_json(spark, path))
+    orders = typed_orders(read_orders_json(spark, raw_order_files(spark, sf)))
     return plain(orders.drop("estado", "fecha_aceptacion", "fecha_cancelacion", "impuestos", "rut_unidad", "nombre_unidad",
                              "comuna_unidad", "actividad_proveedor"))
 
@@ -229,8 +227,7 @@ def typed_items_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
 def orders_job_table(spark: SparkSession, sf: str) -> DataFrame:
     """The orders job: nested files to a masked partition, registered in the catalog and read through it."""
     base = scratch_dir(spark, "ordenes")
-    fx.raw_orders(spark, sf).write.option("compression", "gzip").text(f"{base}/crudo")
-    jobs.orders_job(spark, f"{base}/crudo", "2024-01-31", f"{base}/ordenes", f"{base}/sensible", PERSON_KEY, "arriero_ordenes")
+    jobs.orders_job(spark, raw_order_files(spark, sf), "2024-01-31", f"{base}/ordenes", f"{base}/sensible", PERSON_KEY, "arriero_ordenes")
     return plain(spark.table("arriero_ordenes").select("codigo", "codigo_organismo", "codigo_proveedor", "total", "fecha"))
 
 
