@@ -530,7 +530,8 @@ def reconcile_raw_layer(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def integrity_suite(spark: SparkSession, sf: str) -> DataFrame:
     stage, agency, unit, supplier = star_inputs(spark, sf)
-    items, orders = facts.load_fact_items(stage, agency, supplier), facts.load_fact_orders(stage, agency, unit, supplier)
+    items = fx.written(facts.load_fact_items(stage, agency, supplier), "items")  # each rule reads them
+    orders = fx.written(facts.load_fact_orders(stage, agency, unit, supplier), "pedidos")
     return integrity.integrity_suite(stage, agency, unit, supplier, dims.calendar_dim(spark, "1990-01-01"), items, orders)
 
 
